@@ -1,0 +1,81 @@
+import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sparkload.functions.copytext import row_bytes, unescape_text
+from sparkload.sinks import encode_copy_text, read_manifest, write_copy_text
+from sparkload.sources.copytext import CORRUPT, decode_lines, read_copy_text
+
+
+def lines(spark, rows, schema):
+    return [r.value for r in encode_copy_text(spark.createDataFrame(rows, schema)).collect()]
+
+
+@pytest.mark.parametrize(
+    "row,schema,want",
+    [
+        (("hello", 42, 3.14), "a string, b bigint, c double", "hello\t42\t3.14"),
+        ((None, "text", None), "a int, b string, c double", "\\N\ttext\t\\N"),
+        ((True, False), "a boolean, b boolean", "t\tf"),
+        (("tab\there",), "a string", "tab\\there"),
+        (("new\nline",), "a string", "new\\nline"),
+        (("back\\slash",), "a string", "back\\\\slash"),
+        (("\r\b\f\v",), "a string", "\\r\\b\\f\\v"),
+        ((bytearray(b"binary"),), "a binary", "\\\\x62696e617279"),
+        ((123, 456, 78, 9), "a bigint, b int, c smallint, d tinyint", "123\t456\t78\t9"),
+        ((2.5,), "a float", "2.5"),
+        ((Decimal("1.50"), datetime.date(2024, 1, 15)), "a decimal(5,2), b date", "1.50\t2024-01-15"),
+        ((datetime.datetime(2024, 1, 15, 10, 30),), "a timestamp", "2024-01-15 10:30:00.000000+00:00"),
+        ((datetime.datetime(2024, 1, 15, 10, 30),), "a timestamp_ntz", "2024-01-15 10:30:00"),
+        ((["a", 'q"\\', None],), "a array<string>", '{"a","q\\\\"\\\\\\\\",NULL}'),
+        (("\\N",), "a string", "\\\\N"),
+    ],
+)
+def test_row_encoding(spark, row, schema, want):
+    assert lines(spark, [row], schema) == [want]
+
+
+def test_row_bytes_count_the_newline(spark):
+    df = spark.createDataFrame([("é", 1)], "a string, b int")
+    assert df.select(row_bytes(df.schema).alias("n")).first().n == len("é\t1\n".encode())
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [("a\\tb", "a\tb"), ("a\\\\tb", "a\\tb"), ("\\\\\\n", "\\\n"), ("plain", "plain"), ("\\q", "q"), ("", ""),
+     ("\\\\\\\\", "\\\\"), ("a\\\\", "a\\")],
+)
+def test_unescape(spark, text, want):
+    df = spark.createDataFrame([(text,)], "v string")
+    assert df.select(unescape_text(F.col("v")).alias("v")).first().v == want
+
+
+NASTY = [
+    (1, "tab\tnl\nbs\\ cr\r"), (2, None), (3, ""), (4, "\\N"), (5, "é – 漢字 \x0b\x08"), (6, "\\\\t\\n"), (7, "\\."),
+]
+
+
+@pytest.mark.parametrize("partitions", [1, 8])
+def test_round_trip(spark, tmp_path, partitions):
+    df = spark.createDataFrame(NASTY, "id bigint, v string").repartition(partitions)
+    data = write_copy_text(df, str(tmp_path / "t"), "public.t")
+    back = read_copy_text(spark, data, ["id", "v"]).orderBy("id")
+    assert [(int(r.id), r.v) for r in back.collect()] == NASTY
+    assert read_manifest(spark, str(tmp_path / "t")) == {"table": "public.t", "columns": ["id", "v"]}
+
+
+def test_ragged_lines(spark):
+    df = spark.createDataFrame([("1\ta",), ("2",), ("3\tb\tc",)], "value string")
+    kept = decode_lines(df, ["id", "v"], on_ragged="reject").collect()
+    assert [r[CORRUPT] for r in kept] == [None, "2", "3\tb\tc"] and kept[0].v == "a"
+    with pytest.raises(Exception, match="expected 2 fields"):
+        decode_lines(df, ["id", "v"]).select("id").collect()
+
+
+def test_end_mark_and_bare_carriage_return(spark, tmp_path):
+    path = tmp_path / "x.copy"
+    path.write_bytes(b"1\ta\rb\n2\t\\N\n\\.\n")
+    assert [tuple(r) for r in read_copy_text(spark, str(path), ["id", "v"]).collect()] == [("1", "a\rb"), ("2", None)]
