@@ -28,16 +28,19 @@ def escape_text(c: Column) -> Column:
 
 
 def unescape_text(c: Column) -> Column:
-    """Undo ``escape_text``; a backslash before any other character just goes away."""
-    # Double backslashes are cut out first, so that what is left holds single escapes only.
-    def piece(p: Column) -> Column:
-        for char, letter in ESCAPES[1:]:
-            p = F.replace(p, F.lit("\\" + letter), F.lit(char))
-        return F.replace(p, F.lit("\\"), F.lit(""))
-
-    pieces = F.transform(F.split(c, r"\\\\"), piece)
-    decoded = F.array_join(pieces, "\\")
-    return F.when(F.contains(c, F.lit("\\")), decoded).otherwise(c)
+    """Undo ``escape_text`` on a field; a backslash before any other character just goes away.
+
+    A field holds no raw TAB, so a TAB can stand for an escaped backslash while the other
+    escapes are undone. In the end a lone backslash stands for an escaped TAB, and both swap.
+    """
+    out = F.replace(c, F.lit("\\\\"), F.lit("\t"))
+    for char, letter in ESCAPES:
+        if char not in ("\\", "\t"):
+            out = F.replace(out, F.lit("\\" + letter), F.lit(char))
+    out = F.regexp_replace(out, r"\\(?!t)", "")
+    out = F.replace(out, F.lit("\\t"), F.lit("\\"))
+    swapped = F.translate(out, "\\\t", "\t\\")
+    return F.when(F.contains(c, F.lit("\\")), swapped).otherwise(c)
 
 
 def value_text(c: Column, dt: T.DataType) -> Column:

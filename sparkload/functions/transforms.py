@@ -174,6 +174,14 @@ def wkt_to_geometry(c: Column, dt: T.DataType = STRING) -> Column:
     )
 
 
+# Money text is negative in parentheses or with a minus before its first digit.
+NEGATIVE_MONEY = r"(?s)^\(.*\)$|^[^0-9]*-[^0-9]*[0-9]"
+# Only one kind of separator, several times: it groups thousands.
+GROUPED_ONLY = r"^[0-9]*(,[0-9]*){2,}$|^[0-9]*(\.[0-9]*){2,}$"
+# A separator of the other kind than the last one.
+NOT_LAST_SEPARATOR = r"\.(?=.*,[0-9]*$)|,(?=.*\.[0-9]*$)"
+
+
 def money_to_numeric(c: Column, dt: T.DataType = STRING) -> Column:
     """Formatted money text as plain numeric text.
 
@@ -186,21 +194,14 @@ def money_to_numeric(c: Column, dt: T.DataType = STRING) -> Column:
     if not _is_text(dt):
         return c
     text = trim_space(c)
-    negative = text.rlike(r"(?s)^\(.*\)$") | text.rlike(r"^[^0-9]*-[^0-9]*[0-9]")
     digits = F.regexp_replace(text, "[^0-9.,]", "")
-    dots = F.length(digits) - F.length(F.replace(digits, F.lit("."), F.lit("")))
-    commas = F.length(digits) - F.length(F.replace(digits, F.lit(","), F.lit("")))
-    last = F.regexp_extract(digits, r"([.,])[0-9]*$", 1)
-    grouping = ((dots == 0) & (commas > 1)) | ((commas == 0) & (dots > 1))
-    plain = (
-        F.when((dots + commas) == 0, digits)
-        .when(grouping, F.translate(digits, ".,", ""))
-        .when(last == ",", F.translate(digits, ",.", "."))
-        .otherwise(F.translate(digits, ",", ""))
+    # Every step names its input as few times as it can: expressions are inlined, so a
+    # value used twice at each of five steps would be computed 32 times.
+    plain = F.when(digits.rlike(GROUPED_ONLY), F.translate(digits, ".,", "")).otherwise(
+        F.translate(F.regexp_replace(digits, NOT_LAST_SEPARATOR, ""), ",", ".")
     )
-    plain = F.when(plain == "", F.lit("0")).otherwise(plain)
-    signed = F.when(negative, F.concat(F.lit("-"), plain)).otherwise(plain)
-    return F.when(c == "", c).otherwise(signed)
+    sign = F.when(text.rlike(NEGATIVE_MONEY), F.lit("-")).otherwise(F.lit(""))
+    return F.when(c == "", c).otherwise(F.concat(sign, F.regexp_replace(plain, "^$", "0")))
 
 
 def float_to_string(c: Column, dt: T.DataType = STRING) -> Column:

@@ -110,7 +110,7 @@ def _to_target(plan: CastPlan, v: Column, dt: T.DataType) -> Column:
             return F.when(v == 1, True).when(v == 0, False)
         return v.try_cast(target)
     if isinstance(target, T.VariantType):
-        return F.try_parse_json(v) if is_text else F.try_parse_json(v.cast("string"))
+        return _strict_json(v if is_text else v.cast("string"))
     if isinstance(target, T.BinaryType):
         if not is_text:
             return v.try_cast(target)
@@ -152,6 +152,18 @@ def _to_target(plan: CastPlan, v: Column, dt: T.DataType) -> Column:
     return v.try_cast(target)
 
 
+def _strict_json(v: Column) -> Column:
+    """JSON text as a variant, NULL unless the whole text is one JSON value.
+
+    The parser stops after the first value and ignores what follows. Text that is valid
+    both as the only element of an array and as the only member of an object can have
+    nothing after its first value: a comma there suits just one of the two.
+    """
+    as_element = F.try_parse_json(F.concat(F.lit("["), v, F.lit("]")))
+    as_member = F.try_parse_json(F.concat(F.lit('{"v":'), v, F.lit("}")))
+    return F.when(as_element.isNotNull() & as_member.isNotNull(), F.try_parse_json(v))
+
+
 def _padded_time(c: Column) -> Column:
     """``H:m[:s[.f]]`` -> ``HH:mm:ss[.f]``."""
     padded = F.regexp_replace(c, r"(?<![0-9.])([0-9])(?![0-9])", "0$1")
@@ -245,23 +257,28 @@ def cast_table(
 
     reasons = cast_df.select("*", *[r.alias(f"_e{i}") for i, (_, _, r, _) in enumerate(outputs)])
     any_error = F.coalesce(*[F.col(f"_e{i}") for i in range(len(outputs))]).isNotNull()
-    all_errors = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(f"_e{i}").isNotNull(),
+    # Concatenated one-element arrays stay in generated code, where filtering an array would not.
+    none = F.array().cast(ERROR_TYPE)
+    all_errors = F.concat(
+        *[
+            F.when(
+                F.col(f"_e{i}").isNotNull(),
+                F.array(
                     F.struct(
                         F.lit(plan.column.name).alias("column"),
                         shown.alias("value"),
                         F.col(f"_e{i}").alias("reason"),
-                    ),
-                )
-                for i, (plan, _, _, shown) in enumerate(outputs)
-            ]
-        )
-    ).cast(ERROR_TYPE)
-    # Good rows carry NULL and never build the array.
-    checked = reasons.select(*targets, *kept, F.when(any_error, all_errors).alias(ERRORS))
+                    )
+                ).cast(ERROR_TYPE),
+            ).otherwise(none)
+            for i, (plan, _, _, shown) in enumerate(outputs)
+        ]
+    )
+    # Good rows carry NULL and never build the array. The partition number, always zero or
+    # more, keeps the optimizer from moving a filter on the errors below the projections,
+    # where it would compute every cast a second time.
+    computed_here = F.spark_partition_id() >= 0
+    checked = reasons.select(*targets, *kept, F.when(any_error & computed_here, all_errors).alias(ERRORS))
     if on_error == "fail":
         ok = F.when(F.col(ERRORS).isNull(), F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit("bad row: "), F.to_json(F.col(ERRORS)))).cast("boolean")

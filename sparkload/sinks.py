@@ -11,6 +11,7 @@ from .functions.copytext import encode_row
 from .functions.text import quote
 from .model import PartitionSpec
 from .operators.partitioning import PARTITION, route_partition
+from .session import session_conf
 
 MODES = ("drop_create", "create", "truncate", "append")
 
@@ -109,15 +110,26 @@ def _write_jdbc(rows: DataFrame, target: str, mode: str, options: dict, batch_ro
 
 
 def write_partitioned(
-    df: DataFrame, spec: PartitionSpec, path: str, mode: str = "overwrite", fmt: str = "parquet"
+    df: DataFrame,
+    spec: PartitionSpec,
+    path: str,
+    mode: str = "overwrite",
+    fmt: str = "parquet",
+    gather: bool = True,
+    open_files: int = 64,
 ) -> DataFrame:
     """Write rows below ``path``/partition_name=<name>; returns the rows no partition takes.
 
-    The rebalance hint gathers the rows of a partition into few files, and adaptive
-    execution splits a partition that is far larger than the others, so a hot
-    partition is written by many tasks.
+    ``gather`` shuffles the rows of a partition into few files; adaptive execution splits a
+    partition that is far larger than the others, so a hot partition is still written by
+    many tasks. Without it nothing is shuffled and every task writes its own file per
+    partition, which suits few partitions. A task keeps up to ``open_files`` files open
+    before it falls back to sorting.
     """
     routed = route_partition(df, spec)
-    writer = routed.filter(F.col(PARTITION).isNotNull()).hint("rebalance", F.col(PARTITION)).write
-    writer.mode(mode).partitionBy(PARTITION).format(fmt).save(path)
+    rows = routed.filter(F.col(PARTITION).isNotNull())
+    if gather:
+        rows = rows.hint("rebalance", F.col(PARTITION))
+    with session_conf(df.sparkSession, spark__sql__maxConcurrentOutputFileWriters=str(open_files)):
+        rows.write.mode(mode).partitionBy(PARTITION).format(fmt).save(path)
     return routed.filter(F.col(PARTITION).isNull()).drop(PARTITION)

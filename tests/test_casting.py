@@ -102,8 +102,15 @@ def test_enum_and_not_null(spark):
 
 
 def test_json(spark):
-    got = cast_values(spark, "json", ['{"k": 1}', "{bad", None])
-    assert got == [('{"k":1}', None), (None, "invalid JSON"), (None, None)]
+    got = cast_values(spark, "json", ['{"k": 1}', "{bad", None, " [1, 2] ", "null", '"x"'])
+    assert got == [
+        ('{"k":1}', None), (None, "invalid JSON"), (None, None), ("[1,2]", None), ("null", None), ('"x"', None)
+    ]
+
+
+@pytest.mark.parametrize("text", ["{}}", "1 2", "1,2", "1],[2", '1},{"a":1', "", "{} x", '1,"b":2', "]", "//"])
+def test_text_after_the_json_value_is_invalid(spark, text):
+    assert cast_values(spark, "json", [text]) == [(None, "invalid JSON")]
 
 
 def test_binary_stays_binary(spark):
