@@ -1 +1,30 @@
 """Typed bulk loading and migration checks on Spark DataFrames."""
+
+from .load import LoadOptions, format_report, load_database, load_report, load_table, publish_table
+from .model import CastRule, ColumnSpec, ForeignKeySpec, KeySpec, PartitionSpec, TableSpec
+from .operators.casting import cast_table, resolve_casts, target_schema
+from .operators.collect import collect_ordered
+from .operators.compare import compare_tables, row_difference, table_counts
+from .operators.integrity import (
+    check_key,
+    check_table,
+    child_parent_join,
+    enum_violations,
+    fk_orphan_rows,
+    fk_orphans,
+    key_violation_rows,
+    key_violations,
+    null_violations,
+    sequence_state,
+)
+from .operators.partitioning import route_partition
+from .operators.rejects import load_with_rejects
+from .operators.sharding import pk_ranges, shard_by_pk
+from .sinks import encode_copy_text, write_copy_text, write_partitioned, write_table
+from .sources.copytext import read_copy_text
+from .sources.delimited import profile_delimited, read_delimited
+from .sources.jdbc import list_jdbc_tables, read_jdbc_table
+from .sources.sqlite import list_sqlite_tables, read_sqlite_table
+from .sources.tables import list_tables, materialize_views, select_tables
+
+__all__ = [name for name in dir() if not name.startswith("_")]

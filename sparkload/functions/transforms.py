@@ -178,6 +178,8 @@ def wkt_to_geometry(c: Column, dt: T.DataType = STRING) -> Column:
 NEGATIVE_MONEY = r"(?s)^\(.*\)$|^[^0-9]*-[^0-9]*[0-9]"
 # Only one kind of separator, several times: it groups thousands.
 GROUPED_ONLY = r"^[0-9]*(,[0-9]*){2,}$|^[0-9]*(\.[0-9]*){2,}$"
+# Dollars and cents, with commas only where a point follows and so shows what they are.
+DOLLARS = r"^-?\$?([0-9]+|[0-9]{1,3}(,[0-9]{3})+(?=\.))(\.[0-9]+)?$"
 # A separator of the other kind than the last one.
 NOT_LAST_SEPARATOR = r"\.(?=.*,[0-9]*$)|,(?=.*\.[0-9]*$)"
 
@@ -201,7 +203,9 @@ def money_to_numeric(c: Column, dt: T.DataType = STRING) -> Column:
         F.translate(F.regexp_replace(digits, NOT_LAST_SEPARATOR, ""), ",", ".")
     )
     sign = F.when(text.rlike(NEGATIVE_MONEY), F.lit("-")).otherwise(F.lit(""))
-    return F.when(c == "", c).otherwise(F.concat(sign, F.regexp_replace(plain, "^$", "0")))
+    general = F.concat(sign, F.regexp_replace(plain, "^$", "0"))
+    # The common notation needs one pattern only.
+    return F.when(c.rlike(DOLLARS), F.translate(c, "$,", "")).when(c == "", c).otherwise(general)
 
 
 def float_to_string(c: Column, dt: T.DataType = STRING) -> Column:

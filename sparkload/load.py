@@ -17,16 +17,23 @@ from .operators.integrity import check_table, sequence_state
 from .operators.rejects import GOOD, OUTCOME, REJECTED, LoadResult, checked_rows, reject_rows
 from .operators.partitioning import PARTITION, route_partition
 from .session import session_conf
+from .sinks import SAVE_MODES, require_same_columns, write_table
 
 REPORT_SCHEMA = "table string, errors bigint, rows bigint, bytes bigint, seconds double"
 
 
 @dataclass(frozen=True)
 class LoadOptions:
-    """schema_only writes no rows; data_only skips the checks; on_error 'stop' fails on a bad row."""
+    """How to load.
 
+    mode is a load mode of ``sinks.write_table``. schema_only writes no rows, data_only skips
+    all checks, on_error 'stop' fails the run at a bad row where 'reject' sets it aside.
+    """
+
+    mode: str = "drop_create"
     schema_only: bool = False
     data_only: bool = False
+    keys: bool = True
     foreign_keys: bool = True
     reset_sequences: bool = True
     on_error: str = "reject"
@@ -107,8 +114,10 @@ def load_table(raw: DataFrame, spec: TableSpec, dialect: str, target: str, optio
         F.sum(F.when(is_good, size)).alias("bytes"),
     )
     path = table_path(target, spec)
+    if options.mode == "truncate":
+        require_same_columns(spark.read.format(options.fmt).load(path), measured)
     with session_conf(spark, spark__sql__maxConcurrentOutputFileWriters=str(options.open_files)):
-        measured.write.mode("overwrite").partitionBy(*layout).format(options.fmt).save(path)
+        measured.write.mode(SAVE_MODES[options.mode]).partitionBy(*layout).format(options.fmt).save(path)
     counts = seen.get
     stored = spark.read.schema(outcome.schema).format(options.fmt).load(path)
     good = stored.filter(F.col(OUTCOME) == GOOD).select(*names)
@@ -142,7 +151,9 @@ def load_database(
     if not options.data_only:
         parents = {name: t.good for name, t in report.tables.items()}
         for loaded in report.tables.values():
-            loaded.checks = check_table(loaded.good, loaded.spec, parents if options.foreign_keys else None)
+            loaded.checks = check_table(
+                loaded.good, loaded.spec, parents if options.foreign_keys else None, options.keys
+            )
             counters = [c.name for c in loaded.spec.columns if c.auto_increment]
             if counters and options.reset_sequences:
                 loaded.sequences = sequence_state(loaded.good, counters)
@@ -151,6 +162,11 @@ def load_database(
     return report
 
 
+def publish_table(loaded: TableLoad, target: str, mode: str = "create", fmt: str = "table", jdbc: dict | None = None) -> None:
+    """Copy the good rows of a load to a catalog table or, over JDBC, to a database."""
+    write_table(loaded.good, target, mode, fmt, jdbc=jdbc, comment=loaded.spec.comment)
+
+
 # --- report --------------------------------------------------------------------------
 
 

@@ -161,7 +161,7 @@ def _strict_json(v: Column) -> Column:
     """
     as_element = F.try_parse_json(F.concat(F.lit("["), v, F.lit("]")))
     as_member = F.try_parse_json(F.concat(F.lit('{"v":'), v, F.lit("}")))
-    return F.when(as_element.isNotNull() & as_member.isNotNull(), F.try_parse_json(v))
+    return F.when(as_element.isNotNull(), F.try_variant_get(as_member, "$.v", "variant"))
 
 
 def _padded_time(c: Column) -> Column:
@@ -170,24 +170,32 @@ def _padded_time(c: Column) -> Column:
     return F.when(padded.rlike(r"^[0-9]{2}:[0-9]{2}$"), F.concat(padded, F.lit(":00"))).otherwise(padded)
 
 
+# An array item: quoted with backslash escapes, or plain.
+ARRAY_ITEM = r'"(?:[^"\\]|\\.)*+"|[^,"{}]+'
+ARRAY_SHAPE = rf"(?s)^\{{\s*(?:(?:{ARRAY_ITEM})\s*(?:,\s*(?:{ARRAY_ITEM})\s*)*+)?\}}$"
+
+
 def _array_literal(v: Column, target: T.ArrayType) -> Column:
     """``{a,"b c",NULL}`` -> array; NULL when an element does not fit or arrays are nested."""
     text = tf.trim_space(v)
-    body = F.regexp_extract(text, r"(?s)^\{(.*)\}$", 1)
-    item = r'(?s)"(?:[^"\\]|\\.)*+"|[^,"{}]+'
-    shape = rf"(?s)^\{{\s*(?:(?:{item})\s*(?:,\s*(?:{item})\s*)*+)?\}}$".replace("(?s)", "", 0)
-    raw = F.regexp_extract_all(body, F.lit(item), F.lit(0))
-    unquoted = F.transform(
-        raw,
-        lambda e: F.when(
-            F.startswith(tf.trim_space(e), F.lit('"')),
-            F.regexp_replace(F.regexp_extract(tf.trim_space(e), r'(?s)^"(.*)"$', 1), r"(?s)\\(.)", "$1"),
-        ).when(F.upper(tf.trim_space(e)) != "NULL", tf.trim_space(e)),
+    body = F.substr(text, F.lit(2), F.length(text) - 2)
+    items = F.when(F.contains(v, F.lit('"')), F.regexp_extract_all(body, F.lit("(?s)" + ARRAY_ITEM), F.lit(0))).otherwise(
+        F.split(body, ",")
     )
-    cast = F.transform(unquoted, lambda e: e.try_cast(target.elementType))
-    bad = F.exists(F.arrays_zip(unquoted.alias("u"), cast.alias("c")), lambda z: z["u"].isNotNull() & z["c"].isNull())
-    empty = F.when(text.rlike(r"^\{\s*\}$"), F.array().cast(target))
-    return F.coalesce(empty, F.when(text.rlike(shape) & ~bad, cast))
+
+    def item_text(e: Column) -> Column:
+        inner = F.regexp_replace(F.regexp_replace(tf.trim_space(e), '^"|"$', ""), r"(?s)\\(.)", "$1")
+        plain = F.when(F.upper(tf.trim_space(e)) != "NULL", tf.trim_space(e))
+        return F.when(F.contains(e, F.lit('"')), inner).otherwise(plain)
+
+    texts = F.transform(items, item_text)
+    values = texts
+    if not isinstance(target.elementType, T.StringType):
+        typed = F.transform(texts, lambda e: F.struct(e.isNotNull().alias("given"), e.try_cast(target.elementType).alias("v")))
+        fits = ~F.exists(typed, lambda e: e["given"] & e["v"].isNull())
+        values = F.when(fits, F.transform(typed, lambda e: e["v"]))
+    empty = text.rlike(r"^\{\s*\}$")
+    return F.when(empty, F.array().cast(target)).when(text.rlike(ARRAY_SHAPE), values)
 
 
 def _reason(plan: CastPlan, raw: Column, prepared: Column, cast: Column) -> Column:

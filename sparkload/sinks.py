@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .functions.copytext import encode_row
 from .functions.text import quote
@@ -13,7 +14,9 @@ from .model import PartitionSpec
 from .operators.partitioning import PARTITION, route_partition
 from .session import session_conf
 
-MODES = ("drop_create", "create", "truncate", "append")
+# Load mode -> save mode of a file target.
+SAVE_MODES = {"drop_create": "overwrite", "create": "errorifexists", "truncate": "overwrite", "append": "append"}
+MODES = tuple(SAVE_MODES)
 
 
 # --- COPY text -----------------------------------------------------------------------
@@ -55,13 +58,14 @@ def write_table(
     jdbc: dict | None = None,
     batch_rows: int = 50_000,
     max_records_per_file: int = 0,
+    comment: str | None = None,
 ) -> None:
     """Write a table by load mode.
 
     drop_create replaces table and schema, create refuses an existing one, truncate
     empties it and keeps its schema, append adds. ``fmt`` is a file format (``target`` is
     a path), 'table' (a catalog table) or 'jdbc' (a table behind ``jdbc['url']``).
-    ``schema_only`` writes no rows.
+    ``schema_only`` writes no rows. ``comment`` is kept with a catalog table.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -69,23 +73,23 @@ def write_table(
     if fmt == "jdbc":
         _write_jdbc(rows, target, mode, dict(jdbc or {}), batch_rows)
     elif fmt == "table":
-        _write_catalog_table(rows, target, mode, max_records_per_file)
+        _write_catalog_table(rows, target, mode, max_records_per_file, comment)
     else:
-        save_mode = {"drop_create": "overwrite", "create": "errorifexists", "append": "append"}.get(mode)
         if mode == "truncate":
-            rows, save_mode = _as_stored(rows, target, fmt), "overwrite"
-        rows.write.format(fmt).mode(save_mode).option("maxRecordsPerFile", max_records_per_file).save(target)
+            stored = rows.sparkSession.read.format(fmt).load(target)
+            require_same_columns(stored, rows)
+            rows = rows.select(*[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in stored.schema.fields])
+        writer = rows.write.format(fmt).mode(SAVE_MODES[mode]).option("maxRecordsPerFile", max_records_per_file)
+        writer.save(target)
 
 
-def _as_stored(rows: DataFrame, target: str, fmt: str) -> DataFrame:
-    """Columns in the order and types of the stored table."""
-    stored = rows.sparkSession.read.format(fmt).load(target).schema
-    if set(stored.names) != set(rows.columns):
-        raise ValueError(f"truncate keeps the columns {stored.names}, not {rows.columns}")
-    return rows.select(*[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in stored.fields])
+def require_same_columns(stored: DataFrame, rows: DataFrame) -> None:
+    """A truncated table keeps its columns, so the new rows must bring the same ones."""
+    if set(stored.columns) != set(rows.columns):
+        raise ValueError(f"truncate keeps the columns {stored.columns}, not {rows.columns}")
 
 
-def _write_catalog_table(rows: DataFrame, target: str, mode: str, max_records_per_file: int) -> None:
+def _write_catalog_table(rows: DataFrame, target: str, mode: str, max_records_per_file: int, comment) -> None:
     spark = rows.sparkSession
     if mode == "drop_create":
         spark.sql(f"DROP TABLE IF EXISTS {target}")
@@ -93,6 +97,8 @@ def _write_catalog_table(rows: DataFrame, target: str, mode: str, max_records_pe
         rows.write.format("parquet").mode("errorifexists").option(
             "maxRecordsPerFile", max_records_per_file
         ).saveAsTable(target)
+        if comment:
+            spark.sql(f"COMMENT ON TABLE {target} IS :comment", args={"comment": comment})
         return
     columns = spark.table(target).columns
     if mode == "truncate":
@@ -100,9 +106,19 @@ def _write_catalog_table(rows: DataFrame, target: str, mode: str, max_records_pe
     rows.select(*[F.col(quote(c)) for c in columns]).write.insertInto(target)
 
 
+def jdbc_ready(rows: DataFrame) -> DataFrame:
+    """Variants as JSON text, which is what a database driver takes."""
+    return rows.select(
+        *[
+            (F.to_json(F.col(quote(f.name))) if isinstance(f.dataType, T.VariantType) else F.col(quote(f.name))).alias(f.name)
+            for f in rows.schema.fields
+        ]
+    )
+
+
 def _write_jdbc(rows: DataFrame, target: str, mode: str, options: dict, batch_rows: int) -> None:
-    save_mode = {"drop_create": "overwrite", "truncate": "overwrite", "create": "errorifexists"}.get(mode, "append")
-    writer = rows.write.format("jdbc").mode(save_mode).options(**options).option("dbtable", target)
+    rows = jdbc_ready(rows)
+    writer = rows.write.format("jdbc").mode(SAVE_MODES[mode]).options(**options).option("dbtable", target)
     writer.option("batchsize", batch_rows).option("truncate", str(mode == "truncate").lower()).save()
 
 

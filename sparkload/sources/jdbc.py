@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -121,6 +123,24 @@ def list_jdbc_tables(spark: SparkSession, url: str, dialect: str, properties: di
     return found.orderBy("schema_name", "table_name")
 
 
+def normalize_spec(spec: TableSpec, dialect: str) -> TableSpec:
+    """The same rule for the columns, keys and references of a table description."""
+    if dialect != "mssql":
+        return spec
+
+    def lower(names):
+        return tuple(n.lower() for n in names)
+
+    return replace(
+        spec,
+        columns=tuple(replace(c, name=c.name.lower()) for c in spec.columns),
+        keys=tuple(replace(k, columns=lower(k.columns)) for k in spec.keys),
+        foreign_keys=tuple(
+            replace(fk, columns=lower(fk.columns), parent_columns=lower(fk.parent_columns)) for fk in spec.foreign_keys
+        ),
+    )
+
+
 def normalize_names(df: DataFrame, dialect: str) -> DataFrame:
     """SQL Server column names go to lower case; the other dialects keep theirs."""
     return df.toDF(*[c.lower() for c in df.columns]) if dialect == "mssql" else df

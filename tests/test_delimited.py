@@ -50,6 +50,11 @@ def test_empty_file(spark, tmp_path):
     assert read_delimited(spark, path, columns=["a"]).count() == 0
 
 
+def test_comment_before_the_header(spark, tmp_path):
+    df = read_delimited(spark, write(tmp_path, "# note\n\nid,v\n#x\n1,a\n"), header=True, comment="#")
+    assert df.columns == ["id", "v"] and rows(df) == [("1", "a")]
+
+
 def test_skip_header_comment_per_file(spark, tmp_path):
     for i in range(3):
         write(tmp_path, f"exported\nby x,y,z\n# note\nid,v\n{i},a\n{i},b\n", f"d/{i}.csv")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sparkload import sinks
 from sparkload.load import (
     LoadOptions, LoadReport, format_bytes, format_report, format_seconds, load_database, load_report, load_table,
+    publish_table,
 )
 from sparkload.model import ColumnSpec, ForeignKeySpec, KeySpec, PartitionSpec, TableSpec
 from sparkload.operators.partitioning import route_partition, unrouted_rows
@@ -70,6 +71,34 @@ def test_options(spark, raw, tmp_path):
         run(spark, raw, tmp_path / "d", on_error="stop")
 
 
+def test_load_modes(spark, raw, tmp_path):
+    run(spark, raw, tmp_path, mode="create")
+    with pytest.raises(Exception):
+        run(spark, raw, tmp_path, mode="create")
+    again = run(spark, raw, tmp_path, mode="append").tables["app.child"]
+    assert again.rows == 3 and again.good.count() == 6 and again.rejects.count() == 2
+    emptied = run(spark, raw, tmp_path, mode="truncate").tables["app.child"]
+    assert emptied.good.count() == 3
+    raw["app.child"] = raw["app.child"].limit(0)
+    assert run(spark, raw, tmp_path).tables["app.child"].good.count() == 0
+
+
+def test_publish_to_the_catalog(spark, raw, tmp_path):
+    from dataclasses import replace
+
+    spec = replace(PARENT, comment="people", columns=(replace(PARENT.columns[0], comment="the key"), PARENT.columns[1]))
+    loaded = load_table(raw["app.parent"], spec, "mysql", str(tmp_path))
+    publish_table(loaded, "published_parent", "drop_create")
+    assert spark.table("published_parent").count() == 2
+    described = {r.col_name: r for r in spark.sql("DESCRIBE TABLE EXTENDED published_parent").collect()}
+    assert described["Comment"].data_type == "people" and described["id"].comment == "the key"
+
+
+def test_variants_go_to_a_database_as_text(spark):
+    df = spark.sql("SELECT 1 AS id, parse_json('{\"k\": 1}') AS j")
+    assert [tuple(r) for r in sinks.jdbc_ready(df).collect()] == [(1, '{"k":1}')]
+
+
 def test_loading_needs_no_shuffle_and_no_sort(spark, raw, tmp_path):
     loaded = load_table(raw["app.parent"], PARENT, "mysql", str(tmp_path))
     assert loaded.rows == 2 and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkload.model import ColumnSpec, KeySpec, TableSpec
+from sparkload.model import ColumnSpec, ForeignKeySpec, KeySpec, TableSpec
 from sparkload.operators.casting import cast_table
 from sparkload.operators.sharding import pk_ranges, shard_by_pk, shard_predicates
 from sparkload.sources import jdbc
@@ -98,6 +98,13 @@ def test_mssql_names_go_to_lower_case(spark):
     df = spark.createDataFrame([(1,)], "Id int")
     assert jdbc.normalize_names(df, "mssql").columns == ["id"]
     assert jdbc.normalize_names(df, "mysql").columns == ["Id"]
+    spec = TableSpec(
+        "T", (ColumnSpec("Id", "int"), ColumnSpec("Pid", "int")), keys=(KeySpec(("Id",), True),),
+        foreign_keys=(ForeignKeySpec(("Pid",), "P", ("Id",)),),
+    )
+    low = jdbc.normalize_spec(spec, "mssql")
+    assert (low.column_names, low.primary_key, low.foreign_keys[0].columns) == (["id", "pid"], ("id",), ("pid",))
+    assert low.foreign_keys[0].parent_columns == ("id",) and jdbc.normalize_spec(spec, "mysql") == spec
 
 
 # --- SQLite --------------------------------------------------------------------------

@@ -56,6 +56,7 @@ CASES = {
         ("1.234,56 €", "1234.56"), ("($1,234.56)", "-1234.56"), ("$0.00", "0.00"), ("$1.99", "1.99"),
         ("$1", "1"), ("", ""), (None, None), ("-$5", "-5"), ("$-5.25", "-5.25"), ("1,234,567", "1234567"),
         ("1.234.567", "1234567"), ("12,5", "12.5"), ("abc", "0"), ("1.234.567,8", "1234567.8"),
+        ("-$1,234.50", "-1234.50"), ("$1,234", "1.234"), ("12.", "12."), ("$12,34.5", "1234.5"), (" $7 ", "7"),
     ],
     ("money-to-numeric", BINARY): [(b"$500", "500"), (None, None)],
     ("sql-server-bit-to-boolean", LONG): [(0, False), (1, True), (None, None)],
