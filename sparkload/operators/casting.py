@@ -26,6 +26,7 @@ NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 SPECIAL_FLOATS = ("nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 DATE_PATTERN = r"^\s*[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"
 TIME_PATTERN = r"^([01]?[0-9]|2[0-3]):[0-5]?[0-9](:[0-5]?[0-9](\.[0-9]{1,6})?)?$|^24:00(:00(\.0{1,6})?)?$"
+TIME_TARGETS = ("time", "time without time zone", "timetz", "time with time zone")
 UUID_PATTERN = r"^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$"
 TRUE_WORDS = ("t", "tr", "tru", "true", "y", "ye", "yes", "on", "1")
 FALSE_WORDS = ("f", "fa", "fal", "fals", "false", "n", "no", "of", "off", "0")
@@ -76,6 +77,12 @@ def _prepared(plan: CastPlan, raw: Column, dt: T.DataType, dialect: str) -> tupl
         dt, (T.StringType, T.BinaryType)
     ):
         return raw, dt
+    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        # Drivers hand over a year as a date and a time of day as a timestamp.
+        if isinstance(plan.field.dataType, T.IntegralType):
+            return F.year(raw), T.IntegerType()
+        if plan.target in TIME_TARGETS and not isinstance(dt, T.DateType):
+            return F.date_format(raw, "HH:mm:ss.SSSSSS"), T.StringType()
     value = tf.normalize_value(raw, dt, dialect)
     if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType)):
         dt = T.LongType()
@@ -136,7 +143,7 @@ def _to_target(plan: CastPlan, v: Column, dt: T.DataType) -> Column:
         return F.when(v.rlike(DATE_PATTERN), v.try_cast(target)) if is_text else v.try_cast(target)
     if isinstance(target, T.StringType):
         text = v if is_text else v.cast("string")
-        if plan.target.startswith("time") and not plan.target.startswith("timestamp"):
+        if plan.target in TIME_TARGETS:
             return F.when(tf.trim_space(text).rlike(TIME_PATTERN), _padded_time(tf.trim_space(text)))
         if plan.target == "uuid":
             return F.when(F.lower(text).rlike(UUID_PATTERN), F.lower(text))

@@ -26,7 +26,8 @@ from ..plans.rules import base_type
 BATCH_ROWS = 10_000
 
 # Tasks get these classes by value, so executors need no copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+for _code in (__name__, pk_ranges.__module__):
+    cloudpickle.register_pickle_by_value(sys.modules[_code])
 
 
 def local_path(path: str) -> str:
