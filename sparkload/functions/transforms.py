@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import trim_space
+from .text import WHITESPACE, trim_space
 
 Transform = Callable[[Column, T.DataType], Column]
 
@@ -157,19 +157,25 @@ def uniqueidentifier_to_uuid(c: Column, dt: T.DataType = STRING) -> Column:
 # --- geometry, money, floats ---------------------------------------------------------
 
 
+SPACE = f"[{WHITESPACE}]"
+FIELD = f"[^{WHITESPACE},]+"
+# A point of exactly two coordinates, with any blanks around; anything else stays as it is.
+POINT = rf"(?s)^{SPACE}*POINT\({SPACE}*([^{WHITESPACE}]+){SPACE}+([^{WHITESPACE}]+){SPACE}*\){SPACE}*$"
+
+
 def wkt_to_geometry(c: Column, dt: T.DataType = STRING) -> Column:
     """``POINT(x y)`` -> ``(x,y)``; ``LINESTRING(x y, ...)`` -> ``((x,y),...)``; else unchanged."""
     if not _is_text(dt):
         return c
     text = trim_space(c)
-    point = r"(?s)^POINT\(\s*(\S+)\s+(\S+)\s*\)$"
-    line = r"(?s)^LINESTRING\((.*)\)$"
     # Blanks around the commas go first; then every point of two fields becomes a pair.
-    inner = F.regexp_replace(trim_space(F.regexp_extract(text, line, 1)), r"\s*,\s*", ",")
-    pairs = F.regexp_replace(inner, r"(?<=^|,)([^\s,]+)\s+([^\s,]+)(?=,|$)", "($1,$2)")
+    inner = trim_space(F.substr(text, F.lit(12), F.length(text) - 12))
+    points = F.regexp_replace(inner, rf"{SPACE}*,{SPACE}*", ",")
+    pairs = F.regexp_replace(points, rf"(?<=^|,)({FIELD}){SPACE}+({FIELD})(?=,|$)", "($1,$2)")
+    is_line = F.startswith(text, F.lit("LINESTRING(")) & F.endswith(text, F.lit(")"))
     return (
-        F.when(text.rlike(point), F.regexp_replace(text, point, "($1,$2)"))
-        .when(text.rlike(line), F.concat(F.lit("("), pairs, F.lit(")")))
+        F.when(F.startswith(text, F.lit("POINT(")), F.regexp_replace(c, POINT, "($1,$2)"))
+        .when(is_line, F.concat(F.lit("("), pairs, F.lit(")")))
         .otherwise(c)
     )
 
@@ -231,6 +237,17 @@ def normalize_value(c: Column, dt: T.DataType, dialect: str) -> Column:
     return c
 
 
+def normalized_type(dt: T.DataType, dialect: str) -> T.DataType:
+    """The type that ``normalize_value`` gives."""
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType)):
+        return T.LongType()
+    if isinstance(dt, T.FloatType):
+        return T.DoubleType()
+    if isinstance(dt, T.BooleanType) and dialect in ("sqlite", "mssql"):
+        return T.LongType()
+    return STRING if isinstance(dt, (T.TimestampType, T.TimestampNTZType)) else dt
+
+
 # --- registry ------------------------------------------------------------------------
 
 TRANSFORMS: dict[str, Transform] = {

@@ -14,7 +14,7 @@ from .functions.text import quote
 from .model import TableSpec
 from .operators.casting import ERRORS
 from .operators.integrity import check_table, sequence_state
-from .operators.rejects import GOOD, OUTCOME, REJECTED, LoadResult, checked_rows, reject_rows
+from .operators.rejects import GOOD, OUTCOME, REJECTED, checked_rows, reject_rows
 from .operators.partitioning import PARTITION, route_partition
 from .session import session_conf
 from .sinks import SAVE_MODES, require_same_columns, write_table

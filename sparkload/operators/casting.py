@@ -66,48 +66,32 @@ def target_schema(columns, dialect: str, user_rules=()) -> T.StructType:
 # --- one column ----------------------------------------------------------------------
 
 
-def _prepared(plan: CastPlan, raw: Column, dt: T.DataType, dialect: str) -> tuple[Column, T.DataType]:
-    """Raw value -> value ready for the final cast, and its type."""
-    keeps_bytes = plan.transform == "byte-vector-to-bytea" and isinstance(dt, T.BinaryType)
-    if keeps_bytes:
-        return raw, dt
+def _prepared(plan: CastPlan, raw: Column, dt: T.DataType, dialect: str) -> Column:
+    """Raw value -> transformed value, ready for the final cast."""
+    target = plan.field.dataType
+    if isinstance(target, T.BinaryType) and isinstance(dt, T.BinaryType):
+        return raw  # bytes stay bytes, with no detour over hex text
     if plan.transform == "bit-to-binstr":
-        return tf.bit_to_binstr(raw, dt, plan.length), T.StringType()
-    if isinstance(plan.field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)) and not isinstance(
-        dt, (T.StringType, T.BinaryType)
-    ):
-        return raw, dt
+        return tf.bit_to_binstr(raw, dt, plan.length)
     if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        if isinstance(target, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return raw
         # Drivers hand over a year as a date and a time of day as a timestamp.
-        if isinstance(plan.field.dataType, T.IntegralType):
-            return F.year(raw), T.IntegerType()
+        if isinstance(target, T.IntegralType):
+            return F.year(raw)
         if plan.target in TIME_TARGETS and not isinstance(dt, T.DateType):
-            return F.date_format(raw, "HH:mm:ss.SSSSSS"), T.StringType()
-    value = tf.normalize_value(raw, dt, dialect)
-    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType)):
-        dt = T.LongType()
-    elif isinstance(dt, T.FloatType):
-        dt = T.DoubleType()
-    elif isinstance(dt, T.BooleanType) and dialect in ("sqlite", "mssql"):
-        dt = T.LongType()
-    elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        dt = T.StringType()
-    out = tf.apply_transform(plan.transform, value, dt)
-    if plan.transform in ("tinyint-to-bool", "bit-to-bool", "sql-server-bit-to-boolean"):
-        return out, T.BooleanType()
-    if plan.transform == "float-to-string":
-        return out, T.StringType()
-    if plan.transform in ("money-to-numeric", "sql-server-uniqueidentifier-to-uuid", "byte-vector-to-bytea"):
-        dt = T.StringType() if isinstance(dt, T.BinaryType) else dt
-    if isinstance(dt, T.BinaryType) and not isinstance(plan.field.dataType, T.BinaryType):
-        # Bytes in a non-binary column are text of unknown quality.
-        return tf.sanitize_utf8(out, dt), T.StringType()
-    return out, dt
+            return F.date_format(raw, "HH:mm:ss.SSSSSS")
+    return tf.apply_transform(
+        plan.transform, tf.normalize_value(raw, dt, dialect), tf.normalized_type(dt, dialect)
+    )
 
 
 def _to_target(plan: CastPlan, v: Column, dt: T.DataType) -> Column:
     """Prepared value -> target type; NULL where the value is not acceptable."""
     target = plan.field.dataType
+    if isinstance(dt, T.BinaryType) and not isinstance(target, T.BinaryType):
+        # Bytes in a column of another type are text of unknown quality.
+        v, dt = tf.sanitize_utf8(v, dt), T.StringType()
     is_text = isinstance(dt, T.StringType)
     if isinstance(target, T.BooleanType):
         if is_text:
@@ -205,7 +189,7 @@ def _array_literal(v: Column, target: T.ArrayType) -> Column:
     return F.when(empty, F.array().cast(target)).when(text.rlike(ARRAY_SHAPE), values)
 
 
-def _reason(plan: CastPlan, raw: Column, prepared: Column, cast: Column) -> Column:
+def _reason(plan: CastPlan, prepared: Column, cast: Column) -> Column:
     """Why the row is bad in this column, or NULL."""
     wrong = prepared.isNotNull() & cast.isNull()
     type_text = plan.field.metadata["target_type"]
@@ -249,29 +233,29 @@ def cast_table(
     if missing:
         raise ValueError(f"columns not in the source: {missing}")
 
-    # Two projections: values first, errors second, so that no cast is computed twice.
-    values, errors, outputs = [], [], []
-    for i, plan in enumerate(plans):
-        name = plan.column.name
-        raw, dt = F.col(quote(name)), source[name]
-        prepared, prepared_type = _prepared(plan, raw, dt, dialect)
-        values += [prepared.alias(f"_v{i}"), raw.alias(f"_r{i}")]
-        cast = _to_target(plan, F.col(f"_v{i}"), prepared_type)
-        reason = _reason(plan, F.col(f"_r{i}"), F.col(f"_v{i}"), F.col(f"_c{i}"))
-        outputs.append((plan, cast, reason, _shown(F.col(f"_r{i}"), dt)))
+    # Projections one after the other: values, casts, reasons. Each refers to the columns of
+    # the one before, so nothing is computed twice.
     kept = [F.col(quote(k)) for k in keep]
-    prepared_df = df.select(*values, *kept)
-    cast_df = prepared_df.select("*", *[cast.alias(f"_c{i}") for i, (_, cast, _, _) in enumerate(outputs)])
-
+    values = []
+    for i, plan in enumerate(plans):
+        raw = F.col(quote(plan.column.name))
+        values += [_prepared(plan, raw, source[plan.column.name], dialect).alias(f"_v{i}"), raw.alias(f"_r{i}")]
+    prepared = df.select(*values, *kept)
+    # The analysed schema knows the type that a transform gives, a user's own included.
+    types = prepared.schema
+    cast_df = prepared.select(
+        "*", *[_to_target(p, F.col(f"_v{i}"), types[f"_v{i}"].dataType).alias(f"_c{i}") for i, p in enumerate(plans)]
+    )
     targets = [
-        F.col(f"_c{i}").alias(plan.column.name, metadata=plan.field.metadata)
-        for i, (plan, _, _, _) in enumerate(outputs)
+        F.col(f"_c{i}").alias(plan.column.name, metadata=plan.field.metadata) for i, plan in enumerate(plans)
     ]
     if on_error == "null":
         return cast_df.select(*targets, *kept)
 
-    reasons = cast_df.select("*", *[r.alias(f"_e{i}") for i, (_, _, r, _) in enumerate(outputs)])
-    any_error = F.coalesce(*[F.col(f"_e{i}") for i in range(len(outputs))]).isNotNull()
+    reasons = cast_df.select(
+        "*", *[_reason(p, F.col(f"_v{i}"), F.col(f"_c{i}")).alias(f"_e{i}") for i, p in enumerate(plans)]
+    )
+    any_error = F.coalesce(*[F.col(f"_e{i}") for i in range(len(plans))]).isNotNull()
     # Concatenated one-element arrays stay in generated code, where filtering an array would not.
     none = F.array().cast(ERROR_TYPE)
     all_errors = F.concat(
@@ -281,12 +265,12 @@ def cast_table(
                 F.array(
                     F.struct(
                         F.lit(plan.column.name).alias("column"),
-                        shown.alias("value"),
+                        _shown(F.col(f"_r{i}"), types[f"_r{i}"].dataType).alias("value"),
                         F.col(f"_e{i}").alias("reason"),
                     )
                 ).cast(ERROR_TYPE),
             ).otherwise(none)
-            for i, (plan, _, _, shown) in enumerate(outputs)
+            for i, plan in enumerate(plans)
         ]
     )
     # Good rows carry NULL and never build the array. The partition number, always zero or

@@ -38,40 +38,35 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(F.octet_length(row) + F.lit(64)).cast("bigint").alias("b")).first().b or 0
 
 
-def small_or_merge(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a stored frame for a join by its measured size.
-
-    Below the limit it is broadcast. Above it a sort-merge join is asked for, whose skewed
-    partitions adaptive execution splits.
-    """
-    return F.broadcast(df) if measured_bytes(df) <= limit else df.hint("merge")
-
-
-def rows_with_keys(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys``.
+def rows_with_keys(df: DataFrame, keys: DataFrame, on, min_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows of ``df`` whose key is in ``keys`` (distinct keys).
 
     ``keys`` is stored and measured first. A small set is broadcast and ``df`` is not
-    shuffled at all, so hot keys do not matter.
+    shuffled at all; with a large one only the rows of hot keys are spared the shuffle.
     """
-    return df.join(small_or_merge(stored(keys.select(*[quote(c) for c in on]), "keys")), list(on), "left_semi")
+    found = stored(keys.select(*[quote(c) for c in on]), "keys")
+    if measured_bytes(found) <= BROADCAST_BYTES:
+        return df.join(F.broadcast(found), list(on), "left_semi")
+    return skew_join(df, found, on, "left_semi", min_rows)
 
 
-def skew_join(left: DataFrame, right: DataFrame, on, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Inner join on equally named columns where keys of ``left`` may be hot.
+def skew_join(left: DataFrame, right: DataFrame, on, how: str = "inner", min_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner or left semi join on equally named columns where keys of ``left`` may be hot.
 
     Rows of hot keys meet a broadcast copy of their few right-hand rows and are never
     shuffled; all other rows take an ordinary join. Without hot keys, or where the
-    right-hand rows of the hot keys are too large to broadcast, one ordinary join does it.
+    right-hand rows of the hot keys are too large to broadcast, one ordinary join does it,
+    whose skewed partitions adaptive execution splits.
     """
+    if how not in ("inner", "left_semi"):
+        raise ValueError(f"how must be inner or left_semi, not {how!r}")
     on = list(on)
     hot = stored(hot_keys(left, on, min_rows), "hot")
     if hot.isEmpty():
-        return left.join(right, on)
+        return left.join(right, on, how)
     hot_right = stored(right.join(F.broadcast(hot), on, "left_semi"), "hot-right")
     if measured_bytes(hot_right) > BROADCAST_BYTES:
-        return left.join(right, on)
-    hot_rows = left.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_right), on)
-    other_rows = left.join(F.broadcast(hot), on, "left_anti").join(right, on)
+        return left.join(right, on, how)
+    hot_rows = left.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_right), on, how)
+    other_rows = left.join(F.broadcast(hot), on, "left_anti").join(right, on, how)
     return hot_rows.unionByName(other_rows)
-
-

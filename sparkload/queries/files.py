@@ -6,7 +6,6 @@ import os
 import sqlite3
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import quote
 from ..model import ColumnSpec, KeySpec, PartitionSpec, TableSpec

@@ -36,7 +36,7 @@ SPECS = (
         "s_suppkey",
         (ForeignKeySpec(("s_nationkey",), "nation", ("n_nationkey",)),),
     ),
-    # Customer names of 18 characters end in a key: those of 2 and more digits with a 9 are too long here.
+    # Customer names have 18 characters, and one more where the source below adds it.
     _spec(
         "customer",
         (("c_custkey", "bigint(20)"), ("c_name", "varchar(18)"), ("c_nationkey", "int(11)"), ("c_acctbal", "decimal(15,2)")),

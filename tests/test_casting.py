@@ -157,6 +157,19 @@ def test_user_rule_beats_default(spark):
     assert cast_table(df, [ColumnSpec("v", "tinyint(1)")], "mysql", rules).schema["v"].dataType == T.ShortType()
 
 
+def test_registered_transform_may_change_the_type(spark):
+    from sparkload.functions import transforms as tf
+
+    tf.register("cents", lambda c, dt: c.cast("decimal(18,0)") / 100)
+    try:
+        rules = [CastRule("bigint", "numeric(12,2)", drop_typemod=True, transform="cents")]
+        df = spark.createDataFrame([(1250,), (None,)], "v bigint")
+        out = cast_table(df, [ColumnSpec("v", "bigint(20)")], "mysql", rules, on_error="fail")
+        assert [r.v for r in out.collect()] == [Decimal("12.50"), None]
+    finally:
+        del tf.TRANSFORMS["cents"]
+
+
 def test_on_error_modes(spark):
     df = spark.createDataFrame([("1",), ("x",)], "v string")
     columns = [ColumnSpec("v", "int(11)")]

@@ -3,7 +3,6 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparkload.functions.copytext import row_bytes, unescape_text
 from sparkload.sinks import encode_copy_text, read_manifest, write_copy_text

@@ -5,7 +5,8 @@ from sparkload.model import ColumnSpec, ForeignKeySpec, KeySpec, TableSpec
 from sparkload.operators import integrity as ig
 from sparkload.operators.collect import collect_ordered
 from sparkload.operators.compare import compare_tables, fingerprint, row_difference, table_counts
-from sparkload.operators.skew import hot_keys, skew_join, small_or_merge, stored
+from sparkload.operators import skew
+from sparkload.operators.skew import hot_keys, skew_join
 
 
 def rows(df):
@@ -123,12 +124,18 @@ def test_skew_join_gives_the_same_rows_as_a_plain_join(spark):
     assert "BroadcastHashJoin" in plan(skewed) and "Union" in plan(skewed)
 
 
-def test_measured_size_decides_on_broadcast(spark):
-    keys = stored(spark.range(100), "k")
-    assert "BroadcastHashJoin" in plan(spark.range(10).join(small_or_merge(keys), "id"))
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in plan(spark.range(10).join(small_or_merge(keys, limit=10), "id"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+def test_measured_size_decides_on_broadcast(spark, monkeypatch):
+    df = spark.range(0, 3000, 1, 4).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"))
+    keys = spark.range(0, 3000, 5).select(F.col("id").alias("k"))
+    wanted = rows(df.join(keys, "k", "left_semi"))
+    small = skew.rows_with_keys(df, keys, ["k"])
+    assert rows(small) == wanted and "Exchange hashpartitioning" not in plan(small)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 5_000)
+    large = skew.rows_with_keys(df, keys, ["k"], min_rows=100)
+    assert rows(large) == wanted and "Union" in plan(large)
+    assert rows(skew.rows_with_keys(df, keys, ["k"], min_rows=10**9)) == wanted
+    with pytest.raises(ValueError):
+        skew_join(df, keys, ["k"], "full")
 
 
 # --- values --------------------------------------------------------------------------

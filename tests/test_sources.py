@@ -1,7 +1,6 @@
 import sqlite3
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkload.model import ColumnSpec, ForeignKeySpec, KeySpec, TableSpec
