@@ -117,7 +117,9 @@ def load_table(raw: DataFrame, spec: TableSpec, dialect: str, target: str, optio
     if options.mode == "truncate":
         require_same_columns(spark.read.format(options.fmt).load(path), measured)
     with session_conf(spark, spark__sql__maxConcurrentOutputFileWriters=str(options.open_files)):
-        measured.write.mode(SAVE_MODES[options.mode]).partitionBy(*layout).format(options.fmt).save(path)
+        # Static overwrite: a load without rejects must also remove the rejects of the one before.
+        writer = measured.write.mode(SAVE_MODES[options.mode]).option("partitionOverwriteMode", "static")
+        writer.partitionBy(*layout).format(options.fmt).save(path)
     counts = seen.get
     stored = spark.read.schema(outcome.schema).format(options.fmt).load(path)
     good = stored.filter(F.col(OUTCOME) == GOOD).select(*names)

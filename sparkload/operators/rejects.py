@@ -66,9 +66,9 @@ def write_checked(checked: DataFrame, path: str, columns, table: str, key_column
     ``load_outcome=rejected`` below ``path``.
     """
     outcome = F.when(F.col(ERRORS).isNull(), GOOD).otherwise(REJECTED)
-    checked.withColumn(OUTCOME, outcome).write.mode("overwrite").partitionBy(OUTCOME).format(fmt).save(path)
-    stored = checked.sparkSession.read.schema(
-        checked.withColumn(OUTCOME, outcome).schema
-    ).format(fmt).load(path)
+    rows = checked.withColumn(OUTCOME, outcome)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(OUTCOME)
+    writer.format(fmt).save(path)
+    stored = checked.sparkSession.read.schema(rows.schema).format(fmt).load(path)
     good = stored.filter(F.col(OUTCOME) == GOOD).select(*[F.col(quote(c.name)) for c in columns])
     return LoadResult(good, reject_rows(stored.filter(F.col(OUTCOME) == REJECTED), table, key_columns))

@@ -176,20 +176,25 @@ def count_tables(spark, sf_dir):
 
 
 def _altered_orders(spark, sf_dir):
-    """A copy of orders with rows lost, doubled and changed at fixed keys."""
+    """A copy of orders that lost its low open orders, doubled the high ones, and changed urgent ones."""
     orders = table(spark, sf_dir, "orders")
-    key = F.col("o_orderkey")
-    changed = orders.filter(key % 50 != 7).withColumn(
-        "o_orderstatus", F.when(key % 50 == 9, "X").otherwise(F.col("o_orderstatus"))
-    )
-    return changed.unionByName(changed.filter(key % 50 == 11))
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    lost = (status == "O") & (priority == "5-LOW")
+    doubled = (status == "O") & (priority == "2-HIGH")
+    changed = (status == "F") & (priority == "1-URGENT")
+    copies = F.array_repeat(F.lit(1), F.when(lost, 0).when(doubled, 2).otherwise(1))
+    return orders.select(
+        *[c for c in orders.columns if c != "o_orderstatus"],
+        F.when(changed, "X").otherwise(status).alias("o_orderstatus"),
+        F.explode(copies).alias("copy"),
+    ).select(*orders.columns)
 
 
 _ALTERED = """
-WITH changed AS (
-  SELECT * REPLACE (CASE WHEN o_orderkey % 50 = 9 THEN 'X' ELSE o_orderstatus END AS o_orderstatus)
-  FROM orders WHERE o_orderkey % 50 <> 7),
-tgt AS (SELECT * FROM changed UNION ALL SELECT * FROM changed WHERE o_orderkey % 50 = 11)
+WITH tgt AS (
+  SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'X' ELSE o_orderstatus END AS o_orderstatus)
+  FROM orders WHERE NOT (o_orderstatus = 'O' AND o_orderpriority = '5-LOW')
+  UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '2-HIGH')
 """
 
 _COMPARED = _ALTERED + """
@@ -212,8 +217,9 @@ def compare_fingerprints(spark, sf_dir):
 
 @query(_ALTERED + """
 SELECT 'orders' AS "table", (SELECT count(*) FROM orders) AS src_rows, (SELECT count(*) FROM tgt) AS tgt_rows,
-       (SELECT count(*) FROM orders WHERE o_orderkey % 50 = 7) AS missing, 0::BIGINT AS extra,
-       (SELECT count(*) FROM orders WHERE o_orderkey % 50 IN (9, 11)) AS changed
+       (SELECT count(*) FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '5-LOW') AS missing, 0::BIGINT AS extra,
+       (SELECT count(*) FROM orders WHERE (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')
+                                       OR (o_orderstatus = 'O' AND o_orderpriority = '2-HIGH')) AS changed
 """)
 def compare_by_key(spark, sf_dir):
     return compare_tables(
@@ -252,7 +258,7 @@ def collect_turns(spark, sf_dir):
 
 
 @query("""
-SELECT l_orderkey, (l_linenumber - 1) // 3 AS block, CAST(count(*) AS INTEGER) AS n,
+SELECT l_orderkey, CAST((l_linenumber - 1) // 3 AS BIGINT) AS block, CAST(count(*) AS INTEGER) AS n,
        string_agg(CAST(part AS VARCHAR), ',' ORDER BY l_linenumber) AS parts
 FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part FROM lineitem GROUP BY ALL)
 GROUP BY l_orderkey, 2

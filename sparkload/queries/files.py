@@ -69,7 +69,7 @@ def delimited_multiline(spark, sf_dir):
     docs.write.option("quoteAll", "true").option("escape", '"').csv(path)
     back = read_delimited(spark, path, columns=["doc_id", "lang", "text"], multiline=True, keep_empty=True)
     return back.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.length("text").alias("n"), F.md5("text").alias("digest")
+        F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.length("text").cast("bigint").alias("n"), F.md5("text").alias("digest")
     )
 
 
@@ -137,7 +137,7 @@ def copy_text_encode(spark, sf_dir):
     lines = encode_copy_text(documents_row(spark, sf_dir))
     return lines.select(
         F.split_part("value", F.lit("\t"), F.lit(2)).alias("doc_id"),
-        F.octet_length("value").alias("n_bytes"),
+        F.octet_length("value").cast("bigint").alias("n_bytes"),
         F.md5("value").alias("digest"),
     )
 
@@ -221,8 +221,11 @@ def jdbc_shard_predicates(spark, sf_dir):
 # --- SQLite --------------------------------------------------------------------------
 
 
+FILE_ROWS = 200_000
+
+
 def write_sqlite_parts(df, spec: TableSpec, folder: str):
-    """Every partition as an SQLite file of its own; returns the number of files and rows.
+    """Every partition as SQLite files of at most ``FILE_ROWS`` rows; returns files and rows.
 
     A file is built in memory and appears under its final name in one step, so a task
     that is run again just replaces it.
@@ -230,28 +233,40 @@ def write_sqlite_parts(df, spec: TableSpec, folder: str):
     types = {"c_custkey": "integer primary key", "c_nationkey": "int"}
     columns = ", ".join(f'"{c.name}" {types.get(c.name, c.source_type)}' for c in spec.columns)
     marks = ", ".join("?" for _ in spec.columns)
-    name = spec.name
+    name, limit = spec.name, FILE_ROWS
 
     def build(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        connection = sqlite3.connect(":memory:")
-        connection.execute(f'CREATE TABLE "{name}" ({columns})')
-        n = 0
+        context = TaskContext.get()
+        os.makedirs(folder, exist_ok=True)
+
+        def empty():
+            connection = sqlite3.connect(":memory:")
+            connection.execute(f'CREATE TABLE "{name}" ({columns})')
+            return connection
+
+        def save(connection, number):
+            connection.commit()
+            part = f"part-{context.partitionId():05d}-{number:04d}.db"
+            draft = os.path.join(folder, f".{part}-{context.taskAttemptId()}")
+            with open(draft, "wb") as f:
+                f.write(connection.serialize())
+            connection.close()
+            os.replace(draft, os.path.join(folder, part))
+
+        connection, rows, number = empty(), 0, 0
         for batch in batches:
             connection.executemany(f'INSERT INTO "{name}" VALUES ({marks})', zip(*[c.to_pylist() for c in batch.columns]))
-            n += batch.num_rows
-        connection.commit()
-        os.makedirs(folder, exist_ok=True)
-        context = TaskContext.get()
-        final = os.path.join(folder, f"part-{context.partitionId():05d}.db")
-        draft = os.path.join(folder, f".part-{context.partitionId():05d}-{context.taskAttemptId()}")
-        with open(draft, "wb") as f:
-            f.write(connection.serialize())
-        os.replace(draft, final)
-        connection.close()
-        yield pa.RecordBatch.from_pydict({"n_rows": [n]})
+            rows += batch.num_rows
+            if rows >= limit:
+                save(connection, number)
+                yield pa.RecordBatch.from_pydict({"n_rows": [rows]})
+                connection, rows, number = empty(), 0, number + 1
+        if rows:
+            save(connection, number)
+            yield pa.RecordBatch.from_pydict({"n_rows": [rows]})
 
     return df.mapInArrow(build, "n_rows bigint").agg(F.count(F.lit(1)), F.sum("n_rows")).first()
 
@@ -260,7 +275,7 @@ def write_sqlite_parts(df, spec: TableSpec, folder: str):
 def sqlite_scan(spark, sf_dir):
     folder = local_path(scratch_dir(spark, "sqlite"))
     rows = customer_text(spark, sf_dir).withColumn("c_acctbal", F.col("c_acctbal").cast("string"))
-    write_sqlite_parts(rows.repartition(4, "c_custkey"), CUSTOMER, folder)
+    write_sqlite_parts(rows, CUSTOMER, folder)
     return cast_customer(read_sqlite_table(spark, folder, CUSTOMER, shards=3))
 
 

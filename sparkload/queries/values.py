@@ -64,7 +64,7 @@ def remove_null_chars(spark, sf_dir):
     raw = F.translate("text", " ", "\u0000")
     rows = table(spark, sf_dir, "documents").select("doc_id", raw.alias("raw"))
     clean = rows.select("doc_id", tf.remove_null_chars(F.col("raw")).alias("clean"))
-    return clean.select("doc_id", F.length("clean").alias("n"), F.md5("clean").alias("digest"))
+    return clean.select("doc_id", F.length("clean").cast("bigint").alias("n"), F.md5("clean").alias("digest"))
 
 
 @query("""
@@ -83,7 +83,7 @@ def utf8_sanitize(spark, sf_dir):
     raw = F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("FF")))
     rows = table(spark, sf_dir, "documents").select("doc_id", raw.alias("raw"))
     clean = rows.select("doc_id", tf.sanitize_utf8(F.col("raw"), BINARY).alias("clean"))
-    return clean.select("doc_id", F.length("clean").alias("n"), F.md5("clean").alias("digest"))
+    return clean.select("doc_id", F.length("clean").cast("bigint").alias("n"), F.md5("clean").alias("digest"))
 
 
 @query("""
@@ -162,7 +162,7 @@ def wkt_to_geometry(spark, sf_dir):
 
 
 @query("""
-SELECT c_custkey, CAST(c_acctbal AS DECIMAL(15,2)) * CASE c_mktsegment WHEN 'AUTOMOBILE' THEN -1 ELSE 1 END AS amount
+SELECT c_custkey, CAST(CASE c_mktsegment WHEN 'AUTOMOBILE' THEN -c_acctbal ELSE c_acctbal END AS DECIMAL(15,2)) AS amount
 FROM customer
 """)
 def money_to_numeric(spark, sf_dir):

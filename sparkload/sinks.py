@@ -147,5 +147,6 @@ def write_partitioned(
     if gather:
         rows = rows.hint("rebalance", F.col(PARTITION))
     with session_conf(df.sparkSession, spark__sql__maxConcurrentOutputFileWriters=str(open_files)):
-        rows.write.mode(mode).partitionBy(PARTITION).format(fmt).save(path)
+        writer = rows.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(PARTITION)
+        writer.format(fmt).save(path)
     return routed.filter(F.col(PARTITION).isNull()).drop(PARTITION)

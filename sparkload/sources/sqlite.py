@@ -31,9 +31,11 @@ for _code in (__name__, pk_ranges.__module__):
 
 
 def local_path(path: str) -> str:
-    """``file:/x`` and ``file:///x`` as a plain path."""
+    """``file:/x`` and ``file:///x`` as a plain path; other schemes cannot be opened by SQLite."""
     if path.startswith("file:"):
         return "/" + path[len("file:"):].lstrip("/")
+    if "://" in path:
+        raise ValueError(f"SQLite needs a mounted file system, not {path}")
     return path
 
 
