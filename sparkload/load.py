@@ -39,6 +39,8 @@ class LoadOptions:
     on_error: str = "reject"
     user_rules: tuple = ()
     fmt: str = "parquet"
+    # Bytes in the report are those of COPY text; counting them costs a little per value.
+    count_bytes: bool = True
     # A handful of open files per task, so that splitting rows by outcome needs no sort.
     open_files: int = 8
 
@@ -105,7 +107,7 @@ def load_table(raw: DataFrame, spec: TableSpec, dialect: str, target: str, optio
     if spec.partitioning:
         outcome = outcome.hint("rebalance", F.col(OUTCOME), F.col(PARTITION))
 
-    size = row_bytes(checked.select(*names).schema)
+    size = row_bytes(checked.select(*names).schema) if options.count_bytes else F.lit(0).cast("bigint")
     seen = Observation()
     measured = outcome.observe(
         seen,

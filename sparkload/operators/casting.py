@@ -23,6 +23,7 @@ ERROR_TYPE = "array<struct<column:string,value:string,reason:string>>"
 
 # What the target's text input accepts.
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+MODEST_NUMBER = r"^[+-]?([0-9]{1,28}(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9])?$"
 SPECIAL_FLOATS = ("nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 DATE_PATTERN = r"^\s*[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"
 TIME_PATTERN = r"^([01]?[0-9]|2[0-3]):[0-5]?[0-9](:[0-5]?[0-9](\.[0-9]{1,6})?)?$|^24:00(:00(\.0{1,6})?)?$"
@@ -115,9 +116,12 @@ def _to_target(plan: CastPlan, v: Column, dt: T.DataType) -> Column:
         cast = v.try_cast(target)
         special = F.abs(cast) == F.lit(float("inf"))
         if is_text:
-            word = F.lower(tf.trim_space(v))
-            known = word.isin(*SPECIAL_FLOATS)
-            return F.when(known | (v.rlike(NUMBER_PATTERN) & ~special), cast)
+            # A number of the common size cannot overflow, so it needs one pattern and one cast.
+            return (
+                F.when(v.rlike(MODEST_NUMBER), cast)
+                .when(v.rlike(NUMBER_PATTERN) & ~special, cast)
+                .when(F.lower(tf.trim_space(v)).isin(*SPECIAL_FLOATS), cast)
+            )
         return F.when(~special | (F.abs(v.cast("double")) == F.lit(float("inf"))), cast)
     if isinstance(target, T.IntegralType):
         if isinstance(dt, (T.DoubleType, T.DecimalType)):

@@ -40,8 +40,8 @@ def test_unsigned_64_bit_value_survives(spark):
 
 
 def test_floats_reject_overflow_and_java_suffixes(spark):
-    got = values_and_flags(cast_values(spark, "double", ["1e400", "1.5d", "1.5", "-Infinity", "nan ", ".5", "5."]))
-    assert [f for _, f in got] == [True, True, False, False, False, False, False]
+    got = values_and_flags(cast_values(spark, "double", ["1e400", "1.5d", "1.5", "-Infinity", "nan ", ".5", "5.", " 1e300 ", "0x1p3", "9" * 400, "1e-400"]))
+    assert [f for _, f in got] == [True, True, False, False, False, False, False, False, True, True, False]
     assert got[2][0] == 1.5 and got[3][0] == float("-inf")
 
 
@@ -50,6 +50,11 @@ def test_real_overflow_from_double(spark):
     assert got == [(None, True), (1.5, False), (float("inf"), False)]
 
 
+def test_real_overflow_from_text(spark):
+    got = values_and_flags(cast_values(spark, "real", ["1e39", "9" * 28 + "e9", "3.4e38", "1.5e3"], dialect="sqlite"))
+    assert [f for _, f in got] == [True, False, False, False] and got[3][0] == 1500.0
+
+
 def test_decimals(spark):
     got = values_and_flags(cast_values(spark, "decimal(6,2)", ["1234.565", "12345.0", "1e2", "abc"]))
     assert got == [(Decimal("1234.57"), False), (None, True), (Decimal("100.00"), False), (None, True)]

@@ -78,3 +78,9 @@ def test_end_mark_and_bare_carriage_return(spark, tmp_path):
     path = tmp_path / "x.copy"
     path.write_bytes(b"1\ta\rb\n2\t\\N\n\\.\n")
     assert [tuple(r) for r in read_copy_text(spark, str(path), ["id", "v"]).collect()] == [("1", "a\rb"), ("2", None)]
+
+
+def test_row_bytes_equal_the_length_of_the_lines(spark):
+    df = spark.createDataFrame([(1, "a\tb", None, True), (22, "é\\", 1.5, None)], "a int, b string, c double, d boolean")
+    both = df.select(row_bytes(df.schema).alias("n")).collect()
+    assert [r.n for r in both] == [len(v.encode()) + 1 for v in lines(spark, df.collect(), df.schema)]

@@ -60,6 +60,8 @@ def test_load_database(spark, raw, tmp_path):
 
 
 def test_options(spark, raw, tmp_path):
+    uncounted = run(spark, raw, tmp_path / "e", count_bytes=False).tables["app.parent"]
+    assert (uncounted.rows, uncounted.bytes) == (2, 0)
     empty = run(spark, raw, tmp_path / "a", schema_only=True)
     assert [t.rows for t in empty.tables.values()] == [0, 0] and empty.tables["app.child"].good.count() == 0
     data = run(spark, raw, tmp_path / "b", data_only=True)
