@@ -27,6 +27,15 @@ def escape_text(c: Column) -> Column:
     return out
 
 
+def escape_string(c: Column) -> Column:
+    """``escape_text`` for a plain column, fast where the newline is all there is to escape."""
+    rare = F.lit(False)
+    for char, _ in ESCAPES:
+        if char != "\n":
+            rare = rare | F.contains(c, F.lit(char))
+    return F.when(rare, escape_text(c)).otherwise(F.replace(F.make_valid_utf8(c), F.lit("\n"), F.lit("\\n")))
+
+
 def unescape_text(c: Column) -> Column:
     """Undo ``escape_text`` on a field; a backslash before any other character just goes away.
 
@@ -40,7 +49,12 @@ def unescape_text(c: Column) -> Column:
     out = F.regexp_replace(out, r"\\(?!t)", "")
     out = F.replace(out, F.lit("\\t"), F.lit("\\"))
     swapped = F.translate(out, "\\\t", "\t\\")
-    return F.when(F.contains(c, F.lit("\\")), swapped).otherwise(c)
+    # Most fields hold no escape at all, or newlines only.
+    return (
+        F.when(~F.contains(c, F.lit("\\")), c)
+        .when(~c.rlike(r"\\([^n]|$)"), F.replace(c, F.lit("\\n"), F.lit("\n")))
+        .otherwise(swapped)
+    )
 
 
 def value_text(c: Column, dt: T.DataType) -> Column:
@@ -77,6 +91,8 @@ def encode_value(c: Column, dt: T.DataType) -> Column:
     text = value_text(c, dt)
     if isinstance(dt, T.BinaryType):
         text = F.concat(F.lit("\\"), text)  # the only character to escape is the leading backslash
+    elif isinstance(dt, T.StringType):
+        text = escape_string(text)
     elif not isinstance(dt, (T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         text = escape_text(text)
     return F.coalesce(text, F.lit(NULL_MARK))

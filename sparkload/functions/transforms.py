@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import WHITESPACE, trim_space
+from .text import trim_space
 
 Transform = Callable[[Column, T.DataType], Column]
 
@@ -157,10 +157,8 @@ def uniqueidentifier_to_uuid(c: Column, dt: T.DataType = STRING) -> Column:
 # --- geometry, money, floats ---------------------------------------------------------
 
 
-SPACE = f"[{WHITESPACE}]"
-FIELD = f"[^{WHITESPACE},]+"
-# A point of exactly two coordinates, with any blanks around; anything else stays as it is.
-POINT = rf"(?s)^{SPACE}*POINT\({SPACE}*([^{WHITESPACE}]+){SPACE}+([^{WHITESPACE}]+){SPACE}*\){SPACE}*$"
+# A point of exactly two coordinates.
+POINT = r"(?s)^POINT\(\s*(\S+)\s+(\S+)\s*\)$"
 
 
 def wkt_to_geometry(c: Column, dt: T.DataType = STRING) -> Column:
@@ -170,11 +168,12 @@ def wkt_to_geometry(c: Column, dt: T.DataType = STRING) -> Column:
     text = trim_space(c)
     # Blanks around the commas go first; then every point of two fields becomes a pair.
     inner = trim_space(F.substr(text, F.lit(12), F.length(text) - 12))
-    points = F.regexp_replace(inner, rf"{SPACE}*,{SPACE}*", ",")
-    pairs = F.regexp_replace(points, rf"(?<=^|,)({FIELD}){SPACE}+({FIELD})(?=,|$)", "($1,$2)")
+    points = F.regexp_replace(inner, r"\s*,\s*", ",")
+    pairs = F.regexp_replace(points, r"(?<=^|,)([^\s,]+)\s+([^\s,]+)(?=,|$)", "($1,$2)")
+    is_point = F.startswith(text, F.lit("POINT(")) & text.rlike(POINT)
     is_line = F.startswith(text, F.lit("LINESTRING(")) & F.endswith(text, F.lit(")"))
     return (
-        F.when(F.startswith(text, F.lit("POINT(")), F.regexp_replace(c, POINT, "($1,$2)"))
+        F.when(is_point, F.regexp_replace(text, POINT, "($1,$2)"))
         .when(is_line, F.concat(F.lit("("), pairs, F.lit(")")))
         .otherwise(c)
     )

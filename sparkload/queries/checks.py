@@ -99,21 +99,15 @@ def fk_composite_orphans(spark, sf_dir):
 @query("""
 SELECT part, l_suppkey, count(*) AS n_rows, CASE WHEN part IS NULL THEN 'partly null key' ELSE 'no parent' END AS reason
 FROM (SELECT CASE WHEN l_quantity > 40 THEN NULL ELSE l_partkey END AS part, l_suppkey FROM lineitem) c
-WHERE part IS NULL OR NOT EXISTS (SELECT 1 FROM part p, supplier s WHERE p.p_partkey = c.part AND s.s_suppkey = c.l_suppkey
-                                  AND p.p_partkey % 10 = s.s_suppkey % 10)
+WHERE part IS NULL
+   OR NOT EXISTS (SELECT 1 FROM lineitem p WHERE p.l_linestatus = 'O' AND p.l_partkey = c.part AND p.l_suppkey = c.l_suppkey)
 GROUP BY part, l_suppkey
 """)
 def fk_match_full(spark, sf_dir):
-    child = table(spark, sf_dir, "lineitem").select(
-        F.when(F.col("l_quantity") <= 40, F.col("l_partkey")).alias("part"), "l_suppkey"
-    )
-    # A parent pair exists where both keys end in the same digit.
-    parent = (
-        table(spark, sf_dir, "part")
-        .select("p_partkey", (F.col("p_partkey") % 10).alias("digit"))
-        .join(table(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_suppkey") % 10).alias("digit")), "digit")
-    )
-    fk = ForeignKeySpec(("part", "l_suppkey"), "pairs", ("p_partkey", "s_suppkey"), match="full")
+    lines = table(spark, sf_dir, "lineitem")
+    child = lines.select(F.when(F.col("l_quantity") <= 40, F.col("l_partkey")).alias("part"), "l_suppkey")
+    parent = lines.filter(F.col("l_linestatus") == "O").select(F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"))
+    fk = ForeignKeySpec(("part", "l_suppkey"), "pairs", ("p", "s"), match="full")
     return ig.fk_orphans(child, parent, fk)
 
 
