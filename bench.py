@@ -26,15 +26,15 @@ HEADLINE = (
     "fk_composite_orphans",
     "child_parent_join",
     "pk_range_shards",
-    "compare_rows",
+    "compare_tables",
     "compare_fingerprints",
     "compare_by_key",
     "collect_line_parts",
     "route_partition_range",
     "money_to_numeric",
     "wkt_to_geometry",
-    "resolve_column_casts",
-    "load_report_tables",
+    "resolve_casts",
+    "load_report",
 )
 
 

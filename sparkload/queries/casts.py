@@ -262,7 +262,7 @@ SELECT p_partkey, column_type, extra,
        coalesce(replace(target, '$mod', regexp_extract(column_type, '\\((.*)\\)', 1)), lower(column_type)) AS target_type,
        coalesce(dropped, false) AS drop_typemod, transform
 FROM matched WHERE rn = 1
-""")
+""", name="resolve_casts")
 def resolve_column_casts(spark, sf_dir):
     size = F.col("p_size").cast("string")
     kinds = [

@@ -164,7 +164,7 @@ TABLES = (
 )
 
 
-@query(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in TABLES))
+@query(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in TABLES), name="table_counts")
 def count_tables(spark, sf_dir):
     return table_counts({t: table(spark, sf_dir, t) for t in TABLES})
 
@@ -198,7 +198,7 @@ SELECT 'orders' AS "table", (SELECT count(*) FROM orders) AS src_rows, (SELECT c
 """
 
 
-@query(_COMPARED)
+@query(_COMPARED, name="compare_tables")
 def compare_rows(spark, sf_dir):
     return compare_tables(table(spark, sf_dir, "orders"), _altered_orders(spark, sf_dir), table="orders")
 
@@ -242,7 +242,7 @@ def differing_rows(spark, sf_dir):
 SELECT conv_id, 0::BIGINT AS block, CAST(count(*) AS INTEGER) AS n,
        string_agg(role || ':' || length(text), ',' ORDER BY turn) AS turns
 FROM conversations GROUP BY conv_id
-""")
+""", name="collect_ordered")
 def collect_turns(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", F.concat("role", F.lit(":"), F.length("text").cast("string")).alias("said")

@@ -73,6 +73,27 @@ def delimited_multiline(spark, sf_dir):
     )
 
 
+@query(CUSTOMER_SQL)
+def delimited_skip(spark, sf_dir):
+    """Each file opens with two lines of remarks, one of them ragged, and a header."""
+    path = scratch_dir(spark, "skip")
+    rows = customer_text(spark, sf_dir)
+    head = ["exported customers", "one,two", ",".join(rows.columns)]
+
+    def with_head(batches):
+        import pyarrow as pa
+
+        for i, batch in enumerate(batches):
+            if i == 0:
+                yield pa.RecordBatch.from_pydict({"value": head}, schema=batch.schema)
+            yield batch
+
+    fields = [F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"')) for c in rows.columns]
+    lines = rows.select(F.concat_ws(",", *fields).alias("value"))
+    lines.mapInArrow(with_head, "value string").write.text(path)
+    return cast_customer(read_delimited(spark, path, skip_records=2, header=True))
+
+
 @query("""
 SELECT c_mktsegment, count(*) FILTER (c_custkey % 19 <> 4) AS whole, count(*) FILTER (c_custkey % 19 = 4) AS ragged
 FROM customer GROUP BY c_mktsegment
@@ -94,7 +115,7 @@ SELECT c_nationkey AS nation,
        CASE c_nationkey % 5 WHEN 0 THEN ',' WHEN 1 THEN ';' WHEN 2 THEN '|' WHEN 3 THEN chr(9) ELSE '^' END AS delimiter,
        false AS header, 4 AS n_cols
 FROM customer GROUP BY c_nationkey
-""")
+""", name="profile_delimited")
 def profile_files(spark, sf_dir):
     path = scratch_dir(spark, "profile")
     rows = customer_text(spark, sf_dir)
@@ -286,7 +307,7 @@ def sqlite_scan(spark, sf_dir):
 SELECT c_name AS table_name FROM customer
 WHERE (regexp_matches(c_name, '0[13]5') OR c_name ILIKE 'customer#%7' OR lower(c_name) = 'customer#000000012')
   AND NOT (c_name ILIKE 'customer#%_07' OR regexp_matches(c_name, '33'))
-""")
+""", name="select_tables")
 def select_table_names(spark, sf_dir):
     names = table(spark, sf_dir, "customer").select(F.col("c_name").alias("table_name"))
     return select_tables(

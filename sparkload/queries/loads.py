@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..load import LoadOptions, load_database, load_report
-from ..model import ColumnSpec, ForeignKeySpec, KeySpec, TableSpec
+from ..load import LoadOptions, load_database, load_report, load_table, table_path
+from ..model import ColumnSpec, ForeignKeySpec, KeySpec, PartitionSpec, TableSpec
 from ..session import scratch_dir
 from .registry import query, table
 
@@ -87,7 +87,7 @@ UNION ALL SELECT 'orders', 0, count(*),
        CAST(sum(strlen(o_orderkey || chr(9) || o_custkey || chr(9) || CAST(o_totalprice AS DECIMAL(15,2)) || chr(9) ||
                        strftime(o_orderdate, '%Y-%m-%d')) + 1) AS BIGINT)
 FROM orders
-""")
+""", name="load_report")
 def load_report_tables(spark, sf_dir):
     return load_report(spark, _run(spark, sf_dir, data_only=True)).drop("seconds")
 
@@ -107,3 +107,31 @@ def load_checks(spark, sf_dir):
     report = _run(spark, sf_dir)
     parts = [t.checks.select(F.lit(name).alias("table"), "*") for name, t in report.tables.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+ORDERS_BY_YEAR = TableSpec(
+    "orders_by_year",
+    SPECS[-1].columns,
+    keys=SPECS[-1].keys,
+    partitioning=PartitionSpec(
+        "range",
+        "year(o_orderdate)",
+        tuple((f"y{year}", year, year + 1) for year in range(1993, 1999)) + (("later", 1999, None),),
+    ),
+)
+
+
+@query("""
+SELECT CASE WHEN year(o_orderdate) < 1993 THEN NULL WHEN year(o_orderdate) >= 1999 THEN 'later'
+       ELSE 'y' || year(o_orderdate) END AS partition_name,
+       CASE WHEN year(o_orderdate) < 1993 THEN 'rejected' ELSE 'good' END AS load_outcome,
+       count(*) AS n_rows, CAST(sum(CAST(o_totalprice AS DECIMAL(15,2))) AS DECIMAL(38,2)) AS price
+FROM orders GROUP BY ALL
+""")
+def load_partitioned(spark, sf_dir):
+    target = scratch_dir(spark, "load")
+    load_table(table(spark, sf_dir, "orders"), ORDERS_BY_YEAR, "mysql", target)
+    stored = spark.read.parquet(table_path(target, ORDERS_BY_YEAR))
+    return stored.groupBy("partition_name", "load_outcome").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("o_totalprice").cast("decimal(38,2)").alias("price")
+    )

@@ -10,13 +10,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Register the function under its own name, with the SQL that must give the same rows."""
+def query(sql: str | None = None, name: str | None = None):
+    """Register the function, under its own name by default, with the SQL that must give the same rows."""
 
     def add(function):
-        QUERIES[function.__name__] = function
+        key = name or function.__name__
+        QUERIES[key] = function
         if sql:
-            ORACLES[function.__name__] = sql
+            ORACLES[key] = sql
         return function
 
     return add
