@@ -10,7 +10,7 @@ from ..session import scratch_dir
 
 # No more keys than this are ever treated as hot. Any key left over holds less than
 # 1/HOT_KEYS of the rows, which an ordinary shuffle spreads well.
-HOT_KEYS = 256
+HOT_KEYS = 10_000
 HOT_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -62,7 +62,8 @@ def skew_join(left: DataFrame, right: DataFrame, on, how: str = "inner", min_row
         raise ValueError(f"how must be inner or left_semi, not {how!r}")
     on = list(on)
     hot = stored(hot_keys(left, on, min_rows), "hot")
-    if hot.isEmpty():
+    hot_bytes = measured_bytes(hot)
+    if hot_bytes == 0 or hot_bytes > BROADCAST_BYTES:
         return left.join(right, on, how)
     hot_right = stored(right.join(F.broadcast(hot), on, "left_semi"), "hot-right")
     if measured_bytes(hot_right) > BROADCAST_BYTES:

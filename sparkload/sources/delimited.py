@@ -48,8 +48,9 @@ def _skip_records(df: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             data = batch.select([f.name for f in out.fields])
             first_split = pc.equal(batch.column("_start"), 0)
-            if not pc.any(first_split, min_count=0).as_py():
-                yield data
+            files = pc.unique(batch.column("_file").filter(first_split)).to_pylist()
+            if all(seen.get(f, 0) >= n for f in files):
+                yield data  # nothing to skip here: the batch goes on as it is
                 continue
             keep = []
             for file, first in zip(batch.column("_file").to_pylist(), first_split.to_pylist()):

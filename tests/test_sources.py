@@ -93,6 +93,44 @@ def test_shard_key_needs_a_whole_number():
     assert jdbc.shard_key(TableSpec("t", (ColumnSpec("id", "int"),)), "mysql") is None
 
 
+class Recorder:
+    """Stands in for a session: records what would be sent and answers the bounds query."""
+
+    def __init__(self, bounds):
+        self.read, self.bounds, self.calls = self, bounds, []
+
+    def jdbc(self, url, table, predicates=None, properties=None):
+        self.calls.append((table, predicates, properties))
+        return self
+
+    def first(self):
+        return self.bounds
+
+
+def test_sharded_scan_sends_one_query_per_range():
+    spark = Recorder((1, 100))
+    jdbc.read_jdbc_table(spark, "jdbc:x", SPEC, "mysql", shards=4, properties={"user": "u"})
+    bounds, scan = spark.calls
+    assert bounds[0] == "(SELECT MIN(`id`) AS lo, MAX(`id`) AS hi FROM `dbo`.`t x`) b"
+    assert scan[0] == "(SELECT `id`, ST_AsText(`g`) AS `g`, `when` FROM `dbo`.`t x`) t"
+    assert scan[1] == [
+        "`id` >= 1 AND `id` < 25", "`id` >= 25 AND `id` < 49", "`id` >= 49 AND `id` < 73", "`id` >= 73 AND `id` < 101"
+    ]
+    assert scan[2] == {"fetchsize": "10000", "user": "u"}
+
+
+def test_scan_in_one_partition():
+    empty = Recorder((None, None))
+    jdbc.read_jdbc_table(empty, "jdbc:x", SPEC, "mysql", shards=4)
+    assert [c[1] for c in empty.calls] == [None, None]
+    no_key = Recorder((1, 9))
+    jdbc.read_jdbc_table(no_key, "jdbc:x", TableSpec("t", SPEC.columns), "pgsql", shards=4, where="id > 3")
+    assert no_key.calls == [('(SELECT "id", "g", "when" FROM "t" WHERE id > 3) t', None, {"fetchsize": "10000"})]
+    one = Recorder((1, 9))
+    jdbc.read_jdbc_table(one, "jdbc:x", SPEC, "mysql")
+    assert len(one.calls) == 1
+
+
 def test_mssql_names_go_to_lower_case(spark):
     df = spark.createDataFrame([(1,)], "Id int")
     assert jdbc.normalize_names(df, "mssql").columns == ["id"]
