@@ -25,7 +25,7 @@ ERROR_TYPE = "array<struct<column:string,value:string,reason:string>>"
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 MODEST_NUMBER = r"^[+-]?([0-9]{1,28}(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9])?$"
 SPECIAL_FLOATS = ("nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
-DATE_PATTERN = r"^\s*[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"
+DATE_PATTERN = r"^\s*[0-9]{4,}-[0-9]{1,2}-[0-9]"
 TIME_PATTERN = r"^([01]?[0-9]|2[0-3]):[0-5]?[0-9](:[0-5]?[0-9](\.[0-9]{1,6})?)?$|^24:00(:00(\.0{1,6})?)?$"
 TIME_TARGETS = ("time", "time without time zone", "timetz", "time with time zone")
 UUID_PATTERN = r"^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$"

@@ -75,6 +75,11 @@ def test_booleans(spark):
 def test_dates_and_zero_dates(spark):
     got = values_and_flags(cast_values(spark, "date", ["2024-01-15", "0000-00-00", "2024-02-30", "2024", "10:30:00"]))
     assert got == [(datetime.date(2024, 1, 15), False), (None, False), (None, True), (None, True), (None, True)]
+    got = values_and_flags(
+        cast_values(spark, "date", ["2024-1-5", "2024-01-15x", "2024-01", "2024-01-15 10:30:00", "12345-01", "2024-01-15 x"])
+    )
+    day = datetime.date(2024, 1, 15)
+    assert got[:4] == [(datetime.date(2024, 1, 5), False), (None, True), (None, True), (day, False)] and got[4][1]
 
 
 def test_timestamps_keep_microseconds(spark):
