@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import quote
+from ..model import PartitionSpec
+from .partitioning import partition_name
 
 
 def pk_ranges(low: int | None, high: int | None, shards: int) -> list[tuple[int, int]]:
@@ -22,11 +24,57 @@ def pk_ranges(low: int | None, high: int | None, shards: int) -> list[tuple[int,
     return [(s, s + width) for s in starts[:-1]] + [(starts[-1], high + 1)]
 
 
+def range_predicates(quoted_key: str, ranges) -> list[str]:
+    """Ranges as SQL predicates; ranges that cannot hold a key are left out."""
+    return [f"{quoted_key} >= {lo} AND {quoted_key} < {hi}" for lo, hi in ranges if lo < hi]
+
+
 def shard_predicates(quoted_key: str, low, high, shards: int) -> list[str]:
-    """The ranges as SQL predicates; ranges that cannot hold a key are left out."""
-    return [
-        f"{quoted_key} >= {lo} AND {quoted_key} < {hi}" for lo, hi in pk_ranges(low, high, shards) if lo < hi
-    ]
+    return range_predicates(quoted_key, pk_ranges(low, high, shards))
+
+
+def balanced_ranges(low: int | None, high: int | None, shards: int, measure, rounds: int = 4) -> list[tuple[int, int]]:
+    """``pk_ranges``, with the ranges that hold far more rows than others split further.
+
+    Keys cluster: one far-off key makes equal widths put all other rows into one range.
+    ``measure(ranges)`` gives {index: (rows, lowest key, highest key)} for a list of
+    ranges, by one aggregate query. The result always covers ``low`` .. ``high`` without
+    gaps; ranges without rows are joined to a neighbour.
+    """
+    ranges = [r for r in pk_ranges(low, high, shards) if r[0] < r[1]]
+    for _ in range(rounds):
+        found = measure(ranges) if ranges else {}
+        fair = 2 * sum(n for n, _, _ in found.values()) / shards
+        split, grew = [], False
+        for i, (lo, hi) in enumerate(ranges):
+            n, first, last = found.get(i, (0, lo, lo))
+            if n == 0 and split:
+                split[-1] = (split[-1][0], hi)
+            elif n > fair and last > first:
+                # Cut where the rows are; the outer pieces keep the range's own ends.
+                pieces = [p[0] for p in pk_ranges(first, last, shards) if p[0] <= last]
+                cuts = [lo, *pieces[1:], hi]
+                split += list(zip(cuts, cuts[1:]))
+                grew = True
+            else:
+                split.append((lo, hi))
+        ranges = split
+        if not grew:
+            break
+    return ranges
+
+
+def measure_ranges(df: DataFrame, key: str):
+    """The ``measure`` function of ``balanced_ranges`` for a frame: one aggregation per call."""
+
+    def measure(ranges):
+        spec = PartitionSpec("range", quote(key), tuple((str(i), lo, hi) for i, (lo, hi) in enumerate(ranges)))
+        rows = df.groupBy(partition_name(spec).cast("int").alias("i")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(quote(key)).alias("lo"), F.max(quote(key)).alias("hi")
+        )
+        return {r.i: (r.n, int(r.lo), int(r.hi)) for r in rows.filter("i is not null").collect()}
+
+    return measure
 
 
 def is_shardable(data_type: T.DataType) -> bool:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from ..model import ColumnSpec, TableSpec
 from ..operators.casting import plan_casts
-from ..operators.sharding import is_shardable, shard_predicates
+from ..operators.sharding import balanced_ranges, is_shardable, pk_ranges, range_predicates
 from ..plans.rules import base_type, resolve, with_user_rules
 
 # MySQL types that are read as text.
@@ -74,6 +74,15 @@ def bounds_statement(spec: TableSpec, dialect: str, key: str, where: str | None
     return f"SELECT MIN({quoted}) AS lo, MAX({quoted}) AS hi FROM {qualified_table(spec, dialect)}{tail}"
 
 
+def counts_statement(spec: TableSpec, dialect: str, key: str, ranges, where: str | None = None) -> str:
+    """Rows, lowest and highest key of every range, by its position in the list."""
+    quoted = quote_identifier(key, dialect)
+    tests = " ".join(f"WHEN {p} THEN {i}" for i, p in enumerate(range_predicates(quoted, ranges)))
+    tail = f" WHERE {where}" if where else ""
+    numbered = f"SELECT CASE {tests} END AS r, {quoted} AS k FROM {qualified_table(spec, dialect)}{tail}"
+    return f"SELECT r, COUNT(*) AS n, MIN(k) AS lo, MAX(k) AS hi FROM ({numbered}) s GROUP BY r"
+
+
 def read_jdbc_table(
     spark: SparkSession,
     url: str,
@@ -83,11 +92,13 @@ def read_jdbc_table(
     properties: dict | None = None,
     where: str | None = None,
     fetch_size: int = 10_000,
+    balanced: bool = False,
 ) -> DataFrame:
     """Scan a table with its read expressions, one partition per key range.
 
     The bounds of the key come from one aggregate query; every shard then runs its own
-    range query on the database, with later filters pushed into it.
+    range query on the database, with later filters pushed into it. ``balanced`` counts the
+    rows per range first, by further aggregate queries, and splits crowded ranges.
     """
     options = {"fetchsize": str(fetch_size), **(properties or {})}
     table = f"({select_statement(spec, dialect, where)}) t"
@@ -96,7 +107,13 @@ def read_jdbc_table(
         return spark.read.jdbc(url, table, properties=options)
     found = spark.read.jdbc(url, f"({bounds_statement(spec, dialect, key, where)}) b", properties=options).first()
     low, high = (None, None) if found[0] is None else (int(found[0]), int(found[1]))
-    predicates = shard_predicates(quote_identifier(key, dialect), low, high, shards)
+
+    def measure(ranges):
+        counts = spark.read.jdbc(url, f"({counts_statement(spec, dialect, key, ranges, where)}) c", properties=options)
+        return {int(r[0]): (int(r[1]), int(r[2]), int(r[3])) for r in counts.collect() if r[0] is not None}
+
+    ranges = balanced_ranges(low, high, shards, measure) if balanced else pk_ranges(low, high, shards)
+    predicates = range_predicates(quote_identifier(key, dialect), ranges)
     if not predicates:
         return spark.read.jdbc(url, table, properties=options)
     return spark.read.jdbc(url, table, predicates=predicates, properties=options)

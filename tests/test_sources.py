@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from sparkload.model import ColumnSpec, ForeignKeySpec, KeySpec, TableSpec
 from sparkload.operators.casting import cast_table
-from sparkload.operators.sharding import pk_ranges, shard_by_pk, shard_predicates
+from sparkload.operators.sharding import balanced_ranges, measure_ranges, pk_ranges, shard_by_pk, shard_predicates
 from sparkload.sources import jdbc
 from sparkload.sources.sqlite import list_sqlite_tables, read_sqlite_table
 from sparkload.sources.tables import list_tables, materialize_views, select_tables, table_pattern
@@ -22,6 +22,31 @@ def test_ranges_cover_every_key_once(spark, low, high, n):
         assert sum(lo <= key < hi for lo, hi in ranges) == 1
 
 
+@pytest.mark.parametrize(
+    "keys",
+    [list(range(1000)), [*range(1000), 10**15], [-(10**15), *range(500), *range(10**9, 10**9 + 500)], [7] * 50, [1, 2]],
+)
+def test_balanced_ranges_cover_every_key_and_spread_the_rows(keys):
+    def measure(ranges):
+        inside = {i: [k for k in keys if lo <= k < hi] for i, (lo, hi) in enumerate(ranges)}
+        return {i: (len(ks), min(ks), max(ks)) for i, ks in inside.items() if ks}
+
+    ranges = balanced_ranges(min(keys), max(keys), 8, measure)
+    assert ranges[0][0] == min(keys) and ranges[-1][1] > max(keys)
+    assert all(a[1] == b[0] for a, b in zip(ranges, ranges[1:])) and all(lo < hi for lo, hi in ranges)
+    if len(set(keys)) > 100:
+        assert max(n for n, _, _ in measure(ranges).values()) <= 2 * len(keys) / 8
+    assert len(ranges) <= 40
+    assert balanced_ranges(None, None, 8, measure) == []
+
+
+def test_balanced_ranges_of_a_frame(spark):
+    df = spark.range(1000).unionByName(spark.createDataFrame([(10**15,)], "id bigint"))
+    ranges = balanced_ranges(0, 10**15, 8, measure_ranges(df, "id"))
+    counts = measure_ranges(df, "id")(ranges)
+    assert sum(n for n, _, _ in counts.values()) == 1001 and max(n for n, _, _ in counts.values()) <= 251
+
+
 def test_no_ranges_for_empty_tables_or_one_shard():
     assert pk_ranges(None, None, 8) == [] and pk_ranges(1, 10, 1) == []
 
@@ -106,6 +131,9 @@ class Recorder:
     def first(self):
         return self.bounds
 
+    def collect(self):
+        return [(0, 900, 1, 20), (3, 10, 90, 100)]
+
 
 def test_sharded_scan_sends_one_query_per_range():
     spark = Recorder((1, 100))
@@ -119,6 +147,18 @@ def test_sharded_scan_sends_one_query_per_range():
     assert scan[2] == {"fetchsize": "10000", "user": "u"}
 
 
+def test_balanced_scan_splits_crowded_ranges():
+    spark = Recorder((1, 100))
+    jdbc.read_jdbc_table(spark, "jdbc:x", SPEC, "mysql", shards=4, balanced=True)
+    counted = spark.calls[1][0]
+    assert counted.startswith(
+        "(SELECT r, COUNT(*) AS n, MIN(k) AS lo, MAX(k) AS hi FROM (SELECT CASE WHEN `id` >= 1 AND `id` < 25 THEN 0 "
+    )
+    predicates = spark.calls[-1][1]
+    # Rows were found at keys 1 to 20 and 90 to 100 only, most of them in the first range.
+    assert predicates[0] == "`id` >= 1 AND `id` < 5" and predicates[-1].endswith("`id` < 101")
+
+
 def test_scan_in_one_partition():
     empty = Recorder((None, None))
     jdbc.read_jdbc_table(empty, "jdbc:x", SPEC, "mysql", shards=4)
