@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.text import quote
 from ..model import ColumnSpec, KeySpec, PartitionSpec, TableSpec
 from ..operators.casting import ERRORS, cast_table
-from ..operators.sharding import key_bounds, pk_ranges, shard_by_pk, shard_predicates
+from ..operators.partitioning import route_partition
+from ..operators.sharding import balanced_ranges, key_bounds, measure_ranges, pk_ranges, shard_by_pk, shard_predicates
 from ..session import scratch_dir
 from ..sinks import encode_copy_text, write_copy_text, write_partitioned, write_table
 from ..sources.copytext import CORRUPT, read_copy_text
@@ -239,6 +240,26 @@ def jdbc_shard_predicates(spark, sf_dir):
     )
 
 
+@query("""
+SELECT count(*) AS n_rows, 0::BIGINT AS crowded_ranges, min(o_orderkey * o_orderkey) AS low, max(o_orderkey * o_orderkey) AS high
+FROM orders
+""")
+def pk_balanced_shards(spark, sf_dir):
+    """Keys that thin out towards the top: no range may hold more than twice its share."""
+    orders = table(spark, sf_dir, "orders").select((F.col("o_orderkey") * F.col("o_orderkey")).alias("k"))
+    ranges = balanced_ranges(*key_bounds(orders, "k"), 8, measure_ranges(orders, "k"))
+    spec = PartitionSpec("range", "k", tuple((f"s{i}", lo, hi) for i, (lo, hi) in enumerate(ranges)))
+    per_range = route_partition(orders, spec).groupBy("partition_name").agg(
+        F.count(F.lit(1)).alias("n"), F.min("k").alias("low"), F.max("k").alias("high")
+    )
+    totals = per_range.filter("partition_name IS NOT NULL").agg(
+        F.sum("n").alias("n_rows"), F.collect_list("n").alias("sizes"), F.min("low").alias("low"), F.max("high").alias("high")
+    )
+    # There are a few dozen ranges at most, so their sizes fit in one list.
+    crowded = F.size(F.filter("sizes", lambda n: n > F.col("n_rows") / 4)).cast("bigint")
+    return totals.select("n_rows", crowded.alias("crowded_ranges"), "low", "high")
+
+
 # --- SQLite --------------------------------------------------------------------------
 
 

@@ -23,9 +23,13 @@ def _head_record(spark, path, index, delimiter, quote_char, escape, comment, enc
     lines = [r.value for r in reader.csv(path).limit(index + 100).collect() if r.value]
     if comment:
         lines = [line for line in lines if not line.startswith(comment)]
-    options = {"delimiter": delimiter, "quotechar": quote_char, "doublequote": escape == quote_char}
-    if escape != quote_char:
-        options["escapechar"] = escape
+    options = {"delimiter": delimiter}
+    if not quote_char:
+        options["quoting"] = csv.QUOTE_NONE
+    else:
+        options.update(quotechar=quote_char, doublequote=escape == quote_char)
+        if escape and escape != quote_char:
+            options["escapechar"] = escape
     for i, record in enumerate(csv.reader([line + "\n" for line in lines], **options)):
         if i == index:
             return record
@@ -95,7 +99,7 @@ def read_delimited(
     record. Blank lines and comment lines do not count. A record of another width fails
     the job, or with on_ragged='reject' shows in ``_corrupt_record``.
 
-    ``multiline`` allows newlines inside quotes; a file is then read by one task, so
+    An empty ``quote_char`` turns quoting off. ``multiline`` allows newlines inside quotes; a file is then read by one task, so
     leave it off for large files that do not need it. Skipped records must lie in the
     first split of a file.
     """
@@ -116,7 +120,7 @@ def read_delimited(
         spark.read.schema(schema)
         .option("sep", delimiter)
         .option("quote", quote_char)
-        .option("escape", escape)
+        .option("escape", escape if quote_char else "")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         # The parser only sees the width of a record while it parses all of its fields.

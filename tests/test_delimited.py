@@ -105,6 +105,13 @@ def test_strict_and_lazy_quotes(spark, tmp_path):
         read_delimited(spark, path).collect()
 
 
+def test_other_quotes_and_none(spark, tmp_path):
+    path = write(tmp_path, "'a,b','it\\'s',c\n1,2,3\n")
+    assert rows(read_delimited(spark, path, quote_char="'", escape="\\"))[0] == ("a,b", "it's", "c")
+    path = write(tmp_path, 'a"b,"c\n"d,e\n', "q.csv")
+    assert rows(read_delimited(spark, path, quote_char="")) == [('a"b', '"c'), ('"d', "e")]
+
+
 def test_profile(spark, tmp_path):
     vectors = {
         "pipe": ("name|age|city\nAlice|30|NYC\nBob|25|SF\n", "|", True, 3),
