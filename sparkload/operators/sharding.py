@@ -44,16 +44,17 @@ def balanced_ranges(low: int | None, high: int | None, shards: int, measure, rou
     ranges = [r for r in pk_ranges(low, high, shards) if r[0] < r[1]]
     for _ in range(rounds):
         found = measure(ranges) if ranges else {}
-        fair = 2 * sum(n for n, _, _ in found.values()) / shards
+        share = max(1, sum(n for n, _, _ in found.values()) // shards)
         split, grew = [], False
         for i, (lo, hi) in enumerate(ranges):
             n, first, last = found.get(i, (0, lo, lo))
             if n == 0 and split:
                 split[-1] = (split[-1][0], hi)
-            elif n > fair and last > first:
-                # Cut where the rows are; the outer pieces keep the range's own ends.
-                pieces = [p[0] for p in pk_ranges(first, last, shards) if p[0] <= last]
-                cuts = [lo, *pieces[1:], hi]
+            elif n > 2 * share and last > first:
+                # Cut where the rows are, into as many pieces as the rows are shares, so that the
+                # number of ranges stays near ``shards``; the outer pieces keep the range's ends.
+                starts = [p[0] for p in pk_ranges(first, last, 1 + n // share) if p[0] <= last]
+                cuts = [lo, *starts[1:], hi]
                 split += list(zip(cuts, cuts[1:]))
                 grew = True
             else:

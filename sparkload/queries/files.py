@@ -256,7 +256,7 @@ def pk_balanced_shards(spark, sf_dir):
         F.sum("n").alias("n_rows"), F.collect_list("n").alias("sizes"), F.min("low").alias("low"), F.max("high").alias("high")
     )
     # There are a few dozen ranges at most, so their sizes fit in one list.
-    crowded = F.size(F.filter("sizes", lambda n: n > F.col("n_rows") / 4)).cast("bigint")
+    crowded = F.size(F.filter("sizes", lambda n: n > F.ceil(F.col("n_rows") / 4))).cast("bigint")
     return totals.select("n_rows", crowded.alias("crowded_ranges"), "low", "high")
 
 
