@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.text import quote
 from ..operators.skew import stored
 
-__all__ = ["col", "id_and_text", "map_texts", "packed", "query_partitions", "stored", "text_of", "unpacked"]
+__all__ = ["col", "id_and_text", "map_texts", "packed", "query_partitions", "stored", "text_of", "unpacked", "with_ids", "without_ids"]
 
 
 def col(name: str) -> Column:
@@ -52,3 +52,24 @@ def map_texts(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch
                     yield out
 
     return df.mapInArrow(run, schema)
+
+
+BROADCAST_ROWS = 2_000_000  # ids; 8 bytes each, some 100 MB as a relation in memory at most
+
+
+def _sized(ids: DataFrame) -> DataFrame:
+    """Distinct ids, stored and counted: broadcast up to ``BROADCAST_ROWS``, otherwise joined by a shuffle."""
+    found = stored(ids.select(F.col(ids.columns[0]).cast("long").alias("_wanted")).distinct(), "ids")
+    return found.hint("broadcast") if found.count() <= BROADCAST_ROWS else found
+
+
+def with_ids(docs: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
+    """Rows whose id is in the one column of ``ids``; the rows are not shuffled while the ids are few."""
+    found = _sized(ids)
+    return docs.join(found, docs[quote(id_col)] == found["_wanted"], "left_semi")
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
+    """Rows whose id is not in the one column of ``ids``, rows without an id among them."""
+    found = _sized(ids)
+    return docs.join(found, docs[quote(id_col)] == found["_wanted"], "left_anti")

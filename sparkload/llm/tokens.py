@@ -17,71 +17,80 @@ CACHED_SEGMENTS = 500_000
 
 
 class MergeVocabulary:
-    """Pieces of a byte-fallback BPE model with their merge ranks: the better the score, the lower the rank."""
+    """Pieces of a byte-fallback BPE model, and the ranks of those that a merge makes: the better the score, the lower."""
 
     def __init__(self, model_path: str):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=model_path)
-        self.rank: dict[str, float] = {}
+        score: dict[str, float] = {}
         for i in range(model.get_piece_size()):
             if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i) or model.is_unused(i)):
-                self.rank[model.id_to_piece(i)] = -model.get_score(i)
-        longer = [p for p in self.rank if len(p) > 1]
-        merging = set("".join(longer))
+                score[model.id_to_piece(i)] = model.get_score(i)
+        order = {s: k for k, s in enumerate(sorted(set(score.values()), reverse=True))}
+        self.rank = {p: order[s] for p, s in score.items() if len(p) > 1}
+        self.single = {p for p in score if len(p) == 1}
         # A segment can end where no piece spans the boundary: before a space that follows another
         # character, and around a newline, if the vocabulary agrees.
-        self.splits_at_space = not any(SPACE in p.lstrip(SPACE) for p in longer)
-        self.newline_alone = self.splits_at_space and "\n" not in merging
+        self.splits_at_space = not any(SPACE in p.lstrip(SPACE) for p in self.rank)
+        self.newline_alone = self.splits_at_space and not any("\n" in p for p in self.rank)
 
     def count(self, segment: str) -> int:
         """Tokens of one segment: its symbols less the merges made, in order of rank, then of position.
 
-        The symbols are a doubly linked list over positions. The heap holds adjacent pairs; an entry
-        whose pair has changed since it was pushed is skipped. A character without a piece counts as
-        its UTF-8 bytes.
+        The symbols are a doubly linked list over positions. The heap holds adjacent pairs as one number
+        each, rank before position; an entry whose pair has changed since it was pushed is skipped. A character without
+        a piece counts as its UTF-8 bytes.
         """
-        rank = self.rank
         n = len(segment)
-        if n > 1:
-            symbol: list[str | None] = list(segment)
-            after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-            heap = [(rank[pair], i, pair) for i in range(n - 1) if (pair := segment[i : i + 2]) in rank]
-            heapify(heap)
-            while heap:
-                _, left, pair = heappop(heap)
-                right = after[left]
-                if symbol[left] is None or right >= n or symbol[left] + symbol[right] != pair:
-                    continue
-                symbol[left], symbol[right] = pair, None
-                after[left] = following = after[right]
-                if following < n:
-                    before[following] = left
-                    joined = pair + symbol[following]
-                    if joined in rank:
-                        heappush(heap, (rank[joined], left, joined))
-                previous = before[left]
-                if previous >= 0:
-                    joined = symbol[previous] + pair
-                    if joined in rank:
-                        heappush(heap, (rank[joined], previous, joined))
-            symbols = [s for s in symbol if s is not None]
-        else:
-            symbols = list(segment)
-        return sum(1 if s in rank else len(s.encode()) for s in symbols)
+        rank = self.rank.get
+        symbol = list(segment)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [r * n + i for i in range(n - 1) if (r := rank(segment[i : i + 2])) is not None]
+        heapify(heap)
+        merges = 0
+        while heap:
+            r, left = divmod(heappop(heap), n)
+            right = after[left]
+            if right == n or not symbol[left]:
+                continue
+            pair = symbol[left] + symbol[right]
+            if rank(pair) != r:
+                continue
+            merges += 1
+            symbol[left], symbol[right] = pair, ""
+            after[left] = following = after[right]
+            if following < n:
+                before[following] = left
+                r = rank(pair + symbol[following])
+                if r is not None:
+                    heappush(heap, r * n + left)
+            previous = before[left]
+            if previous >= 0:
+                r = rank(symbol[previous] + pair)
+                if r is not None:
+                    heappush(heap, r * n + previous)
+        if segment.isascii():
+            return n - merges
+        return n - merges + sum(len(s.encode()) - 1 for s in symbol if len(s) == 1 and s not in self.single)
 
 
 class _Counts(dict):
-    """Token counts of segments seen before; emptied when full, so its memory is bounded."""
+    """Token counts of segments seen before, in two generations: the older is dropped when the newer is full."""
 
     def __init__(self, count):
         super().__init__()
         self.count = count
+        self.older: dict[str, int] = {}
 
     def __missing__(self, segment: str) -> int:
         if len(self) >= CACHED_SEGMENTS:
+            self.older = dict(self)
             self.clear()
-        n = self[segment] = self.count(segment)
+        n = self.older.get(segment)
+        if n is None:
+            n = self.count(segment)
+        self[segment] = n
         return n
 
 
