@@ -75,41 +75,52 @@ def _number_map(values: dict[str, float]) -> Column:
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
 
 
+def template_vectors(weights: dict[str, float], templates=TEMPLATES) -> Column:
+    """The templates as one constant: licence, place in the list, length and weights of the terms of each."""
+    rows = []
+    for k, (licence, text) in enumerate(templates):
+        terms = terms_of(text)
+        vector = {t: terms.count(t) * weights[t] for t in dict.fromkeys(terms)}
+        length = math.sqrt(sum(w * w for w in vector.values()))
+        rows.append(F.struct(F.lit(licence).alias("licence"), F.lit(-k).alias("k"), F.lit(length).alias("length"), _number_map(vector).alias("w")))
+    return F.array(*rows)
+
+
 def line_similarity(line: Column, weights: dict[str, float], unknown: float, templates=TEMPLATES) -> Column:
-    """``struct<similarity, licence, words>`` of the most similar template, the first by name among equals.
+    """``struct<similarity, k, licence, words>`` of the most similar template, the first in the list among equals.
 
     Sparse vectors over template terms, weighted by count and inverse document frequency; every other word of the line
     counts as a term of its own, of the greatest weight, that no template has.
     """
-    terms = F.filter(F.split(F.lower(line), _SPLIT), lambda t: t != "")
-    names = F.array(*[F.lit(t) for t in weights])
-    idf = _number_map(weights)
+    names, idf, known = F.array(*[F.lit(t) for t in weights]), _number_map(weights), template_vectors(weights, templates)
 
-    def weigh(words: Column) -> Column:
-        def entry(t: Column) -> Column:
+    def entry(words: Column):
+        def weigh(t: Column) -> Column:
             count = F.size(F.filter(words, lambda w: w == t))
             return F.struct(t.alias("t"), count.alias("n"), (count * F.element_at(idf, t)).alias("w"))
 
-        return F.transform(F.array_intersect(words, names), entry)
+        return weigh
+
+    def once(value: Column, use) -> Column:
+        """``use(value)`` with the value computed once, as the element of an array."""
+        return F.transform(F.array(value), use)[0]
 
-    def score(vector: Column, words: Column) -> Column:
+    def measured(words: Column, vector: Column) -> Column:
         strange = F.size(words) - F.aggregate(vector, F.lit(0), lambda s, x: s + x["n"])
         square = F.aggregate(vector, F.lit(0.0), lambda s, x: s + x["w"] * x["w"]) + strange * F.lit(unknown * unknown)
-        found = []
-        for k, (licence, text) in enumerate(templates):
-            counts: dict[str, float] = {}
-            for t in terms_of(text):
-                counts[t] = counts.get(t, 0.0) + weights[t]
-            length = math.sqrt(sum(w * w for w in counts.values()))
-            own = _number_map(counts)
-            dot = F.aggregate(vector, F.lit(0.0), lambda s, x: s + x["w"] * F.coalesce(F.try_element_at(own, x["t"]), F.lit(0.0)))
-            cosine = F.when((square > 0) & F.lit(length > 0), dot / (F.sqrt(square) * F.lit(length or 1.0))).otherwise(F.lit(0.0))
-            found.append(F.struct(F.round(cosine, 6).alias("similarity"), F.lit(-k).alias("k"), F.lit(licence).alias("licence"), F.size(words).alias("words")))
-        return F.array_max(F.array(*found))
-
-    # the vector is computed once: an array of one element is mapped to its score
-    vectors = F.transform(F.array(terms), lambda w: F.struct(weigh(w).alias("v"), w.alias("w")))
-    return F.transform(vectors, lambda x: score(x["v"], x["w"]))[0]
+        return F.struct(vector.alias("v"), F.sqrt(square).alias("length"), F.size(words).alias("words"))
+
+    def cosine(m: Column, t: Column) -> Column:
+        dot = F.aggregate(m["v"], F.lit(0.0), lambda s, x: s + x["w"] * F.coalesce(F.try_element_at(t["w"], x["t"]), F.lit(0.0)))
+        length = m["length"] * t["length"]
+        return F.when(length > 0, F.round(dot / length, 6)).otherwise(F.lit(0.0))
+
+    def best(m: Column) -> Column:
+        row = lambda t: F.struct(cosine(m, t).alias("similarity"), t["k"].alias("k"), t["licence"].alias("licence"), m["words"].alias("words"))
+        return F.array_max(F.transform(known, row))
+
+    terms = F.filter(F.split(F.lower(line), _SPLIT), lambda t: t != "")
+    return once(terms, lambda words: once(F.transform(F.array_intersect(words, names), entry(words)), lambda v: once(measured(words, v), best)))
 
 
 def own_licences(docs: DataFrame, path: Column, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES) -> DataFrame:

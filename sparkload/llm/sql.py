@@ -22,7 +22,7 @@ LICENCES = f"""
 WITH template(k, licence, term, n) AS (VALUES {_TEMPLATE_ROWS}),
 docs AS (
   SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
-         list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z0-9]+'), x -> x <> '') AS words
+         list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda x: x <> '') AS words
   FROM documents),
 total AS (SELECT count(*) AS n FROM docs),
 df AS (
@@ -34,15 +34,15 @@ idf AS (
 template_weight AS (SELECT k, licence, term, t.n * w AS w FROM template t JOIN idf USING (term)),
 template_length AS (SELECT k, sqrt(sum(w * w)) AS length FROM template_weight GROUP BY k),
 lines AS (
-  SELECT doc_id, row_number() OVER () AS line, list_filter(regexp_split_to_array(lower(part), '[^a-z0-9]+'), x -> x <> '') AS terms
+  SELECT doc_id, row_number() OVER () AS line, list_filter(regexp_split_to_array(lower(part), '[^a-z0-9]+'), lambda x: x <> '') AS terms
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS part FROM docs)
   WHERE regexp_matches(lower(part), {_text(_MARKED)})),
 counted AS (SELECT line, term, count(*) AS n FROM (SELECT line, unnest(terms) AS term FROM lines) GROUP BY line, term),
 vector AS (
-  SELECT line, term, n * coalesce(w, ln(1 + total.n)) AS w, n, w IS NULL AS strange
+  SELECT line, term, counted.n * coalesce(w, ln(1 + total.n)) AS w, counted.n, w IS NULL AS strange
   FROM counted CROSS JOIN total LEFT JOIN idf USING (term)),
 length AS (
-  SELECT line, sqrt(sum(CASE WHEN strange THEN n * pow(ln(1 + total.n), 2) ELSE w * w END)) AS length
+  SELECT line, sqrt(sum(CASE WHEN strange THEN vector.n * pow(ln(1 + total.n), 2) ELSE w * w END)) AS length
   FROM vector CROSS JOIN total GROUP BY line),
 cosine AS (
   SELECT v.line, t.k, t.licence, round(sum(v.w * t.w) / (l.length * tl.length), 6) AS similarity
@@ -71,7 +71,7 @@ SELECT o.doc_id, coalesce(o.licence, n.licence) AS licence, o.similarity,
 FROM own o LEFT JOIN nearest n ON n.directory = o.source || '/' || o.lang AND n.r = 1
 """
 
-_WORD_LIST = r"list_filter(regexp_split_to_array(regexp_replace(lower(coalesce(text, '')), '[!-/:-@\[-`{-~]', ' ', 'g'), '\s+'), x -> x <> '')"
+_WORD_LIST = r"list_filter(regexp_split_to_array(regexp_replace(lower(coalesce(text, '')), '[!-/:-@\[-`{-~]', ' ', 'g'), '\s+'), lambda x: x <> '')"
 
 NEAR_DUPLICATES = f"""
 WITH RECURSIVE docs AS (SELECT doc_id, text, {_WORD_LIST} AS w FROM documents WHERE doc_id IS NOT NULL),
@@ -80,7 +80,7 @@ prints AS (
 reps AS (SELECT print, min(doc_id) AS rep, any_value(w) AS w FROM prints GROUP BY print),
 shingles AS (
   SELECT rep, unnest(CASE WHEN len(w) BETWEEN 1 AND {SHINGLE} THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - {SHINGLE - 2}), i -> array_to_string(w[i:i + {SHINGLE - 1}], ' ')) END) AS s
+    ELSE list_transform(range(1, len(w) - {SHINGLE - 2}), lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' ')) END) AS s
   FROM reps WHERE len(w) > 0),
 sets AS (SELECT rep, s, count(*) AS n FROM shingles GROUP BY rep, s),
 sizes AS (SELECT rep, sum(n) AS size FROM sets GROUP BY rep),

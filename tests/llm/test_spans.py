@@ -1,0 +1,80 @@
+import random
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sparkload.llm.spans import remove_repeats, sentences
+
+
+def brute_force(rows, run=3, least=10):
+    """Cleaned rows, going through the documents in order of id and keeping the runs seen so far."""
+    first = {}
+    split = {}
+    for k, (i, text) in enumerate(rows):
+        parts = sentences(text or "")
+        words = [re.findall(r"[^\W_]+", p.lower()) for p in parts]
+        holding = [n for n, w in enumerate(words) if w]
+        runs = []
+        for a in range(len(holding) - run + 1):
+            own = [tuple(words[n]) for n in holding[a : a + run]]
+            if sum(map(len, own)) >= least:
+                runs.append((tuple(own), holding[a : a + run]))
+                if i is not None:
+                    first[tuple(own)] = min(first.get(tuple(own), i), i)
+        split[k] = parts, holding, runs
+    out = []
+    for k, (i, text) in enumerate(rows):
+        parts, holding, runs = split[k]
+        gone, seen = set(), set()
+        for r, places in runs:
+            if r in seen or (i is not None and first[r] < i):
+                gone.update(places)
+            seen.add(r)
+        out.append((i, "".join(p for n, p in enumerate(parts) if n not in gone), len(holding), len(gone)))
+    return out
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    sentence = lambda: " ".join(rng.choice("abcdefghijklmnop") * rng.randrange(1, 4) for _ in range(rng.randrange(1, 9))) + rng.choice([".", "!", ",", "?\n", " ;"])
+    passage = [" ".join(sentence() for _ in range(12)) for _ in range(3)]
+    rows = []
+    for i in range(40):
+        parts = [sentence() for _ in range(rng.randrange(0, 20))]
+        if i % 3 == 0:
+            parts.insert(rng.randrange(len(parts) + 1), rng.choice(passage))
+        if i % 10 == 0:
+            parts += parts[:6]
+        rows.append((i, " ".join(parts)))
+    rows += [(50, None), (51, ""), (52, "..,,!!"), (53, "\n\n"), (7, rows[7][1]), (9, rows[7][1] + passage[0]), (None, passage[0] + " " + passage[0]), (60, "no end " * 9000), (61, passage[0].upper())]
+    return rows
+
+
+def test_rows_equal_brute_force(spark):
+    for seed in (1, 2):
+        rows = corpus(seed)
+        docs = spark.createDataFrame([(i, t, "h") for i, t in rows], "doc_id long, text string, hash string").repartition(3)
+        got = [tuple(r) for r in remove_repeats(docs).collect()]
+        want = brute_force(rows)
+        assert sorted(got, key=str) == sorted(want, key=str)
+        assert sum(r[3] for r in want) > 30
+
+
+def test_passage_in_the_middle_of_a_sentence(spark):
+    passage = "first part of it, the second part of the thing. A third one follows here, and then a fourth; it ends with the fifth of them"
+    docs = spark.createDataFrame([(1, f"Some words before {passage} and after."), (2, f"Others go ahead {passage} with more to say. The end.")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in remove_repeats(docs).collect()}
+    assert got[1] == f"Some words before {passage} and after."
+    assert "third one" not in got[2] and "Others go ahead" in got[2] and got[2].endswith("The end.")
+
+
+def test_empty_table(spark):
+    found = remove_repeats(spark.createDataFrame([], "doc_id long, text string"))
+    assert found.columns == ["doc_id", "text", "n_sentences", "n_removed"] and found.count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab .,!\n\t", max_size=60))
+def test_sentences_make_up_the_text(text):
+    assert "".join(sentences(text)) == text
