@@ -10,17 +10,18 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, stored
+from .common import col, stored, with_ids, without_ids
 
 SAMPLE_ROWS = 20_000  # expected number of vectors the tree is fitted on
 BRANCHES = 8
 LEAF_ROWS = 100  # sampled vectors below which a node is not split
 CALIBRATION_QUERIES = 200  # expected number of queries searched exhaustively to choose the visits
 TARGET_RECALL = 0.97
-BLOCK_ROWS = 20_000  # vectors of a leaf handled by one task
+BLOCK_ROWS = 20_000  # vectors of a leaf that meet a block of its queries in one task
+QUERY_ROWS = 20_000  # queries in such a block
 
 
 @dataclass
@@ -136,7 +137,9 @@ def usable_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFram
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)))
     rows = vectors.select(col(id_col).cast("long").alias("id"), v.alias("v")).filter("id is not null and v is not null")
     rows = rows.filter(finite & F.exists("v", lambda x: x != 0.0))
-    return rows.groupBy("id").agg(F.min("v").alias("v"))
+    repeated = rows.groupBy("id").count().filter("count > 1").select("id")
+    single = with_ids(rows, repeated).groupBy("id").agg(F.min("v").alias("v"))
+    return without_ids(rows, repeated).unionAll(single)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -234,40 +237,48 @@ def _leaf_column(tree: Tree):
 def _best(found: DataFrame, k: int) -> DataFrame:
     """The ``k`` best of each query from the best of its blocks: ``query_id, rank, id, score``.
 
-    A query has at most ``k`` rows from each block visited, and these are cut to ``k`` in every task first.
+    Spark keeps ``k`` rows a query in every task before it shuffles them.
     """
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "id"))), 1, k)
-    lists = found.groupBy("query_id").agg(best.alias("best"))
-    return lists.select("query_id", F.posexplode("best").alias("at", "b")).select(
-        "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("b.id").alias("id"), (-F.col("b.far")).alias("score")
-    )
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    ranked = found.withColumn("rank", rank).filter(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
 
 
 _FOUND = "query_id long, id long, score double"
 
 
-def search(index: Index, queries: DataFrame, k: int, visits: int | None = None) -> DataFrame:
+def search(index: Index, queries: DataFrame, k: int, visits: int | None = None, query_rows: int = QUERY_ROWS) -> DataFrame:
     """``query_id, rank, id, score`` of the nearest rows found for the queries ``id, v``.
 
-    Queries go to the blocks of the leaves that their search visits; a block meets its queries in one
-    cogrouped task, where its rows are bounded and queries are handled some at a time.
+    Queries go to the blocks of the leaves that their search visits. A leaf with more than ``query_rows`` queries has
+    them dealt by a hash as well, so that a cogrouped task holds a bounded number of rows and of queries however
+    large a leaf and its demand are.
     """
     tree, blocks, limit = index.tree, index.blocks, visits or index.visits
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column("v"))
-            rows = [
-                (i, leaf, block)
-                for i in range(len(x))
-                for leaf in tree.visits(x[i], limit)
-                for block in range(blocks.get(leaf, 0))
-            ]
-            if rows:
-                at, leaf, block = map(np.array, zip(*rows))
-                part = batch.take(pa.array(at))
-                columns = [part.column("id"), part.column("v"), pa.array(leaf.astype(np.int32)), pa.array(block.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "v", "leaf", "block"])
+            ids = batch.column("id").to_numpy()
+            found = [(i, leaf) for i, v in enumerate(_matrix(batch.column("v"))) for leaf in tree.visits(v, limit)]
+            at, leaf = (np.array(x, np.int32) for x in zip(*found)) if found else (np.zeros(0, np.int32),) * 2
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(leaf)], ["id", "leaf"])
+
+    routed = stored(queries.mapInArrow(route, "id long, leaf int"), "visits")
+    asked = {r.leaf: r["count"] for r in routed.groupBy("leaf").count().collect()}  # a number for each leaf
+    parts = {leaf: -(-n // query_rows) for leaf, n in asked.items()}
+
+    def number(of: dict[int, int]) -> Column:
+        many = F.lit(1)
+        for leaf, n in of.items():
+            if n > 1:
+                many = F.when(F.col("leaf") == leaf, n).otherwise(many)
+        return many
+
+    part = F.pmod(F.xxhash64(F.lit("part"), "id"), number(parts).cast("long")).cast("int")
+    sent = routed.withColumn("part", part).withColumn("block", F.explode(F.sequence(F.lit(0), number(blocks) - 1)))
+    sent = sent.join(queries.select(F.col("id").alias("asked"), F.col("v").alias("q")), F.col("id") == F.col("asked"))
+    sent = sent.select("id", F.col("q").alias("v"), "leaf", "block", "part")
+    rows = index.rows.withColumn("part", F.explode(F.sequence(F.lit(0), number(parts) - 1)))
 
     def within(rows: pa.Table, asked: pa.Table) -> pa.Table:
         schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
@@ -275,12 +286,11 @@ def search(index: Index, queries: DataFrame, k: int, visits: int | None = None)
             return schema.empty_table()
         x, q = (np.vstack([_matrix(c) for c in t.column("v").chunks if len(c)]) for t in (rows, asked))
         ids, query_ids = rows.column("id").to_numpy(), asked.column("id").to_numpy()
-        parts = [np.concatenate(c) for c in zip(*_top(query_ids, q, ids, x, k))]
-        return pa.table([pa.array(c) for c in parts], schema=schema)
+        found = [np.concatenate(c) for c in zip(*_top(query_ids, q, ids, x, k))]
+        return pa.table([pa.array(c) for c in found], schema=schema)
 
-    routed = queries.mapInArrow(route, "id long, v array<double>, leaf int, block int")
-    by = ("leaf", "block")
-    found = index.rows.groupBy(*by).cogroup(routed.groupBy(*by)).applyInArrow(within, _FOUND)
+    by = ("leaf", "block", "part")
+    found = rows.groupBy(*by).cogroup(sent.groupBy(*by)).applyInArrow(within, _FOUND)
     return _best(found, k)
 
 

@@ -138,7 +138,8 @@ def fit_rates(members: DataFrame, targets: list[float], least: float = 0.0, step
     documents by their tokens, the gradient is ``sum_j p_dj (T_j - target_j) / N_j``. As posteriors sum to 1, a step of length 1
     never overshoots. Gradients are summed and the sum is projected (dual averaging), so a document's rate is a
     function of its posteriors and of one number per domain: a step is one aggregation over the documents, and no rates are stored
-    or sent around. It ends when every total is within ``tolerance`` of its target or held by ``least``, or after ``steps``.
+    or sent around. It ends when every total is within ``tolerance`` of its target, or after ``steps``; where targets
+    are out of reach of ``least``, the loss nears its least value as one over the steps.
     """
     k = len(targets)
     sizes = domain_totals(members, k)
