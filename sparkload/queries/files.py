@@ -12,7 +12,8 @@ from ..model import ColumnSpec, KeySpec, PartitionSpec, TableSpec
 from ..operators.casting import ERRORS, cast_table
 from ..operators.partitioning import route_partition
 from ..operators.sharding import balanced_ranges, key_bounds, measure_ranges, pk_ranges, shard_by_pk, shard_predicates
-from ..session import scratch_dir
+from ..operators.skew import stored
+from ..session import scratch_dir, session_conf
 from ..sinks import encode_copy_text, write_copy_text, write_partitioned, write_table
 from ..sources.copytext import CORRUPT, read_copy_text
 from ..sources.delimited import profile_delimited, read_delimited
@@ -61,14 +62,16 @@ def delimited_roundtrip(spark, sf_dir):
 
 @query("""
 SELECT doc_id, lang, length(t) AS n, md5(t) AS digest
-FROM (SELECT doc_id, lang, regexp_replace(replace(text, chr(13), ' '), '^\\s+|\\s+$', '', 'g') AS t FROM documents)
+FROM (SELECT doc_id, lang, 'x' || chr(13) || replace(text, 'e ', 'e' || chr(13)) || '"' || chr(10) || chr(10) || '#y' AS t FROM documents)
 """)
 def delimited_multiline(spark, sf_dir):
-    # Quoted newlines, quotes and delimiters inside the text; a bare CR would end a record.
+    """Newlines, empty lines, bare carriage returns, quotes, delimiters and comment signs inside quoted text."""
     path = scratch_dir(spark, "multiline")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.translate("text", "\r", " ").alias("text"))
-    docs.write.option("quoteAll", "true").option("escape", '"').csv(path)
-    back = read_delimited(spark, path, columns=["doc_id", "lang", "text"], multiline=True, keep_empty=True)
+    text = F.concat(F.lit("x\r"), F.replace("text", F.lit("e "), F.lit("e\r")), F.lit('"\n\n#y'))
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c.cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))
+    docs = table(spark, sf_dir, "documents").select(F.concat_ws(",", quoted(F.col("doc_id")), quoted(F.col("lang")), quoted(text)).alias("value"))
+    docs.write.text(path)
+    back = read_delimited(spark, path, columns=["doc_id", "lang", "text"], comment="#", keep_empty=True, trim=False)
     return back.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.length("text").cast("bigint").alias("n"), F.md5("text").alias("digest")
     )
@@ -80,6 +83,14 @@ def delimited_skip(spark, sf_dir):
     path = scratch_dir(spark, "skip")
     rows = customer_text(spark, sf_dir)
     head = ["exported customers", "one,two", ",".join(rows.columns)]
+    fields = [F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"')) for c in rows.columns]
+    lines = rows.select(F.concat_ws(",", *fields).alias("value"))
+    written_lines(lines, head).text(path)
+    return cast_customer(read_delimited(spark, path, skip_records=2, header=True))
+
+
+def written_lines(rows, head):
+    """The frame's lines, every file opening with the lines of ``head``."""
 
     def with_head(batches):
         import pyarrow as pa
@@ -89,10 +100,49 @@ def delimited_skip(spark, sf_dir):
                 yield pa.RecordBatch.from_pydict({"value": head}, schema=batch.schema)
             yield batch
 
-    fields = [F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"')) for c in rows.columns]
-    lines = rows.select(F.concat_ws(",", *fields).alias("value"))
-    lines.mapInArrow(with_head, "value string").write.text(path)
-    return cast_customer(read_delimited(spark, path, skip_records=2, header=True))
+    return rows.mapInArrow(with_head, "value string").write
+
+
+@query(CUSTOMER_SQL)
+def delimited_comments(spark, sf_dir):
+    """Each file opens with 150 comment lines, a record of remarks over 150 lines, and a header."""
+    path = scratch_dir(spark, "comments")
+    rows = customer_text(spark, sf_dir)
+    remark = ['"remark', *[f"line {i}, still quoted" for i in range(148)], '# the end"']
+    head = [*[f"# {i}" for i in range(150)], *remark, ",".join(rows.columns)]
+    lines = rows.select(F.concat_ws(",", *[F.col(c).cast("string") for c in rows.columns]).alias("value"))
+    written_lines(lines, head).text(path)
+    return cast_customer(read_delimited(spark, path, comment="#", skip_records=1, header=True))
+
+
+@query(CUSTOMER_SQL)
+def delimited_skip_splits(spark, sf_dir):
+    """Two thousand records to skip in each file, which is read in splits that hold far fewer."""
+    path = scratch_dir(spark, "skip-splits")
+    rows = customer_text(spark, sf_dir)
+    head = [f"skipped {i}" for i in range(2000)] + [",".join(rows.columns)]
+    lines = rows.select(F.concat_ws(",", *[F.col(c).cast("string") for c in rows.columns]).alias("value"))
+    written_lines(lines, head).text(path)
+    with session_conf(spark, spark__sql__files__maxPartitionBytes="8192", spark__sql__files__openCostInBytes="0"):
+        read = cast_customer(read_delimited(spark, path, skip_records=2000, header=True))
+        return stored(read, "skip-splits-read")
+
+
+@query("""
+SELECT c_mktsegment, count(*) FILTER (c_custkey % 7 <> 3) AS whole, count(*) FILTER (c_custkey % 7 = 3) AS broken
+FROM customer GROUP BY c_mktsegment
+""")
+def delimited_broken_quotes(spark, sf_dir):
+    """Quotes that stay open or stand within a field: each such line is a reject, and no other."""
+    path = scratch_dir(spark, "broken-quotes")
+    broken = F.get(F.array(F.lit(',"open'), F.lit(',mid"dle'), F.lit(',"closed"early')), F.pmod("c_custkey", F.lit(3)).cast("int"))
+    line = F.concat("c_mktsegment", F.when(F.col("c_custkey") % 7 == 3, broken).otherwise(',"all ""right"""'))
+    table(spark, sf_dir, "customer").select(line.alias("value")).write.text(path)
+    rows = read_delimited(spark, path, columns=["segment", "note"], on_ragged="reject", multiline=False)
+    segment = F.coalesce("segment", F.split(CORRUPT, ",")[0])
+    return rows.groupBy(segment.alias("c_mktsegment")).agg(
+        F.count_if(F.col("note") == 'all "right"').alias("whole"), F.count_if(F.col(CORRUPT).isNotNull()).alias("broken")
+    )
 
 
 @query("""

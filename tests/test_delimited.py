@@ -145,3 +145,84 @@ def test_profile_does_not_read_file_contents_when_listing(spark, tmp_path):
     write(tmp_path, "a,b,c\n", "p/x")
     plan = profile_delimited(spark, str(tmp_path / "p"))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<path:string>" in plan and "Exchange" not in plan
+
+
+def test_names_after_many_lines_of_remarks(spark, tmp_path):
+    remark = '"' + "\n".join(["a remark"] * 150) + '"\n'
+    path = write(tmp_path, "# note\n" * 150 + "id,v\n1,a\n2,b\n")
+    assert rows(read_delimited(spark, path, header=True, comment="#")) == [("1", "a"), ("2", "b")]
+    path = write(tmp_path, remark + "id,v\n1,a\n2,b\n", "remark.csv")
+    assert rows(read_delimited(spark, path, header=True, skip_records=1)) == [("1", "a"), ("2", "b")]
+
+
+def test_no_names_in_a_file_with_bytes_is_an_error(spark, tmp_path):
+    with pytest.raises(ValueError, match="no record"):
+        read_delimited(spark, write(tmp_path, "# a\n# b\n"), header=True, comment="#")
+    assert read_delimited(spark, write(tmp_path, "", "none.csv")).columns == []
+
+
+@pytest.mark.parametrize("size", ["37", "64", "4096"])
+def test_quoted_newlines_over_any_splits(spark, tmp_path, size):
+    text = "".join(f'{i},"a {i}\n\nb, ""{i}""\n# no comment\n","{"long " * (i % 13)}\nend"\n# "comment\n' for i in range(60))
+    path = write(tmp_path, text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        df = read_delimited(spark, path, comment="#", trim=False, skip_records=3)
+        got = sorted(rows(df), key=lambda r: int(r[0]))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [(str(i), f'a {i}\n\nb, "{i}"\n# no comment\n', f"{'long ' * (i % 13)}\nend") for i in range(3, 60)]
+
+
+def test_skip_over_several_splits(spark, tmp_path):
+    path = write(tmp_path, "".join(f"{i},v{i}\n" for i in range(4000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = sorted(int(r.col_1) for r in read_delimited(spark, path, skip_records=2000).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == list(range(2000, 4000))
+
+
+def test_carriage_returns(spark, tmp_path):
+    text = 'a\rb,"c\rd"\r\n"e\r\nf",g\r\n\r\nh,i'
+    got = rows(read_delimited(spark, write(tmp_path, text), trim=False))
+    assert got == [("a\rb", "c\rd"), ("e\nf", "g"), ("h", "i")]
+
+
+BROKEN = ['1,"a"b', '2,c"d', '3,"x', '"a" ,4', '""",5']
+
+
+@pytest.mark.parametrize("line", BROKEN)
+@pytest.mark.parametrize("multiline", [None, False])
+def test_broken_quotes_fail_or_are_rejects(spark, tmp_path, line, multiline):
+    path = write(tmp_path, f'0,ok\n6,"o ""k"""\n{line}\n')
+    kept = rows(read_delimited(spark, path, columns=["a", "b"], on_ragged="reject", multiline=multiline))
+    assert sorted(kept, key=str) == sorted([("0", "ok", None), ("6", 'o "k"', None), (None, None, line)], key=str)
+    with pytest.raises(Exception, match="bad quotes"):
+        read_delimited(spark, path, columns=["a", "b"], multiline=multiline).collect()
+
+
+def test_open_quote_without_newlines_allowed(spark, tmp_path):
+    path = write(tmp_path, '1,"a\nx,b"\n2,c\n')
+    assert rows(read_delimited(spark, path)) == [("1", "a\nx,b"), ("2", "c")]
+    rejects = rows(read_delimited(spark, path, columns=["a", "b"], on_ragged="reject", multiline=False))
+    assert [r[2] for r in rejects if r[2]] == ['1,"a', 'x,b"']
+
+
+def test_headers_must_agree(spark, tmp_path):
+    write(tmp_path, "id,name\n1,a\n", "h/1.csv")
+    write(tmp_path, "name,id\nz,9\n", "h/2.csv")
+    with pytest.raises(ValueError, match="headers differ"):
+        read_delimited(spark, str(tmp_path / "h"), header=True)
+    write(tmp_path, '"id", name\n1,a\n', "g/1.csv")
+    write(tmp_path, "id,name\n2,b\n", "g/2.csv")
+    assert sorted(rows(read_delimited(spark, str(tmp_path / "g"), header=True, lazy_quotes=False))) == [("1", "a"), ("2", "b")]
+
+
+def test_fields_of_all_kinds(spark, tmp_path):
+    text = 'a,"b ""c"", d",e\r\n"","x\ny",\r\n"1",2,"3"\n,,\nlast,"line\n\n",end'
+    got = rows(read_delimited(spark, write(tmp_path, text), trim=False))
+    assert got == [("a", 'b "c", d', "e"), (None, "x\ny", None), ("1", "2", "3"), (None, None, None), ("last", "line\n\n", "end")]
