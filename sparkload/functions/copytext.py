@@ -110,9 +110,24 @@ def row_bytes(schema: T.StructType) -> Column:
     # A field is followed by a TAB or, the last one, by the newline.
     total = F.lit(max(1, len(schema.fields))).cast("bigint")
     for f in schema.fields:
-        total = total + F.octet_length(encode_value(F.col(quote(f.name)), f.dataType))
+        total = total + _value_bytes(F.col(quote(f.name)), f.dataType)
     return total
 
 
+def _value_bytes(c: Column, dt: T.DataType) -> Column:
+    """Bytes of one encoded field, by arithmetic where the encoding need not be made."""
+    null = F.lit(len(NULL_MARK))
+    if isinstance(dt, T.BooleanType):
+        return F.when(c.isNull(), null).otherwise(1)
+    if isinstance(dt, T.BinaryType):
+        return F.coalesce(F.octet_length(c) * 2 + 3, null)
+    if isinstance(dt, T.StringType):
+        # Each character to escape takes one byte more.
+        text = F.make_valid_utf8(c)
+        plain = F.translate(text, "".join(char for char, _ in ESCAPES), "")
+        return F.coalesce(F.octet_length(text) * 2 - F.octet_length(plain), null)
+    return F.octet_length(encode_value(c, dt))
+
+
 def decode_field(field: Column) -> Column:
     return F.when(field != NULL_MARK, unescape_text(field))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .functions.copytext import row_bytes
 from .functions.text import quote
@@ -41,6 +45,8 @@ class LoadOptions:
     fmt: str = "parquet"
     # Bytes in the report are those of COPY text; counting them costs a little per value.
     count_bytes: bool = True
+    # Selects source rows before the casts, where it can prune the scan.
+    where: str | None = None
     # A handful of open files per task, so that splitting rows by outcome needs no sort.
     open_files: int = 8
 
@@ -67,6 +73,23 @@ class LoadReport:
     seconds: float = 0.0
 
 
+RUN = "_run"
+SCHEMA_FOLDER = "_load_schema"  # readers of the data pass over names with an underscore
+
+
+def keep_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{SCHEMA_FOLDER}")
+
+
+def stored_schema(spark: SparkSession, path: str, fmt: str) -> StructType:
+    """The schema kept with a table, else that of its files."""
+    try:
+        kept = spark.read.text(f"{path}/{SCHEMA_FOLDER}").first()
+    except AnalysisException:
+        kept = None
+    return StructType.fromJson(json.loads(kept.value)) if kept else spark.read.format(fmt).load(path).schema
+
+
 def table_path(target: str, spec: TableSpec) -> str:
     return f"{target.rstrip('/')}/{spec.qualified_name}"
 
@@ -76,12 +99,13 @@ def load_table(raw: DataFrame, spec: TableSpec, dialect: str, target: str, optio
 
     Rows go to ``load_outcome=good`` and ``load_outcome=rejected`` below the table's
     folder. Rows, errors and bytes are observed in that same write, right before the
-    files, where a repeated task is counted once.
+    files, where a repeated task is counted once. Rejects and counts are this load's; after an append, the good
+    rows are all that the table holds. The schema is kept beside the data, as a load without rows leaves no file.
     """
     spark = raw.sparkSession
     keys = tuple(spec.primary_key)
     start = time.perf_counter()
-    checked = checked_rows(raw, spec.columns, dialect, options.user_rules, keys)
+    checked = checked_rows(raw, spec.columns, dialect, options.user_rules, keys, options.where)
     if options.schema_only:
         checked = checked.filter(F.lit(False))
     if options.on_error == "stop":
@@ -103,7 +127,9 @@ def load_table(raw: DataFrame, spec: TableSpec, dialect: str, target: str, optio
         checked = checked.withColumn(ERRORS, F.when(no_home, homeless).otherwise(F.col(ERRORS)))
         layout.append(PARTITION)
     is_good = F.col(ERRORS).isNull()
-    outcome = checked.withColumn(OUTCOME, F.when(is_good, GOOD).otherwise(REJECTED))
+    # Appended loads share the folder; the run tells their rejects apart.
+    run = uuid.uuid4().hex
+    outcome = checked.withColumn(OUTCOME, F.when(is_good, GOOD).otherwise(REJECTED)).withColumn(RUN, F.lit(run))
     if spec.partitioning:
         outcome = outcome.hint("rebalance", F.col(OUTCOME), F.col(PARTITION))
 
@@ -117,15 +143,21 @@ def load_table(raw: DataFrame, spec: TableSpec, dialect: str, target: str, optio
     )
     path = table_path(target, spec)
     if options.mode == "truncate":
-        require_same_columns(spark.read.format(options.fmt).load(path), measured)
+        kept = stored_schema(spark, path, options.fmt)
+        fields = {f.name: f.dataType for f in kept.fields}
+        require_same_columns(kept.names, measured.columns)
+        cast = [F.col(quote(c)).cast(fields[c]).alias(c) if c in spec.column_names else F.col(quote(c)) for c in measured.columns]
+        measured = measured.select(*cast)
     with session_conf(spark, spark__sql__maxConcurrentOutputFileWriters=str(options.open_files)):
         # Static overwrite: a load without rejects must also remove the rejects of the one before.
         writer = measured.write.mode(SAVE_MODES[options.mode]).option("partitionOverwriteMode", "static")
         writer.partitionBy(*layout).format(options.fmt).save(path)
+    if options.mode != "append" or options.schema_only:
+        keep_schema(spark, path, measured.schema)
     counts = seen.get
-    stored = spark.read.schema(outcome.schema).format(options.fmt).load(path)
+    stored = spark.read.schema(measured.schema).format(options.fmt).load(path)
     good = stored.filter(F.col(OUTCOME) == GOOD).select(*names)
-    rejects = reject_rows(stored.filter(F.col(OUTCOME) == REJECTED), spec.qualified_name, keys)
+    rejects = reject_rows(stored.filter((F.col(OUTCOME) == REJECTED) & (F.col(RUN) == run)), spec.qualified_name, keys)
     return TableLoad(
         spec, good, rejects, counts["errors"] or 0, counts["rows"] or 0, counts["bytes"] or 0,
         time.perf_counter() - start,

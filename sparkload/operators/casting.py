@@ -25,7 +25,11 @@ ERROR_TYPE = "array<struct<column:string,value:string,reason:string>>"
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 MODEST_NUMBER = r"^[+-]?([0-9]{1,28}(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9])?$"
 SPECIAL_FLOATS = ("nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
-DATE_PATTERN = r"^\s*[0-9]{4,}-[0-9]{1,2}-[0-9]"
+DATE_PATTERN = (
+    r"^\s*[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}"
+    r"([ T]\s*(([01]?[0-9]|2[0-3]):[0-5]?[0-9](:[0-5]?[0-9](\.[0-9]*)?)?|24:00(:00(\.0*)?)?)"
+    r"\s*(Z|UTC|GMT|[+-][0-9]{1,2}(:?[0-9]{2}(:?[0-9]{2})?)?)?)?\s*$"
+)
 TIME_PATTERN = r"^([01]?[0-9]|2[0-3]):[0-5]?[0-9](:[0-5]?[0-9](\.[0-9]{1,6})?)?$|^24:00(:00(\.0{1,6})?)?$"
 TIME_TARGETS = ("time", "time without time zone", "timetz", "time with time zone")
 UUID_PATTERN = r"^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$"
@@ -44,12 +48,16 @@ class CastPlan:
     length: int | None
 
 
-def plan_casts(columns, dialect: str, user_rules=()) -> list[CastPlan]:
-    """Resolve every column once, on the driver; touches schema only."""
+def plan_casts(columns, dialect: str, user_rules=(), refuse_unlisted: bool = False) -> list[CastPlan]:
+    """Resolve every column once, on the driver; touches schema only.
+
+    A type that no rule and no Spark type answers to is carried as text, with its name in the metadata, or is an
+    error with ``refuse_unlisted``.
+    """
     rules = rl.with_user_rules(user_rules, dialect)
     plans = []
     for column in columns:
-        field, resolved = target_field(column, rules)
+        field, resolved = target_field(column, rules, refuse_unlisted)
         mod = rl.parse_typemod(resolved.target)
         if not mod and not resolved.drop_typemod:
             mod = rl.parse_typemod(column.source_type)
@@ -221,17 +229,27 @@ def _shown(raw: Column, dt: T.DataType) -> Column:
 
 
 def cast_table(
-    df: DataFrame, columns, dialect: str, user_rules=(), on_error: str = "reject", keep: tuple[str, ...] = ()
+    df: DataFrame,
+    columns,
+    dialect: str,
+    user_rules=(),
+    on_error: str = "reject",
+    keep: tuple[str, ...] = (),
+    where: Column | str | None = None,
+    refuse_unlisted: bool = False,
 ) -> DataFrame:
     """Cast every column of ``columns`` to its target type.
 
     on_error 'reject' adds ``_errors`` (NULL for a good row), 'null' leaves NULL for a
     bad value, 'fail' stops the job at the first bad row. ``keep`` names further input
-    columns to pass through.
+    columns to pass through. ``where`` selects source rows before anything is cast: a filter
+    above the casts cannot reach the scan, this one prunes partitions and files there.
     """
     if on_error not in ("reject", "null", "fail"):
         raise ValueError(f"on_error must be reject, null or fail, not {on_error!r}")
-    plans = plan_casts(columns, dialect, user_rules)
+    if where is not None:
+        df = df.filter(where)
+    plans = plan_casts(columns, dialect, user_rules, refuse_unlisted)
     source = {f.name: f.dataType for f in df.schema.fields}
     missing = [p.column.name for p in plans if p.column.name not in source]
     if missing:

@@ -106,8 +106,11 @@ def fk_orphan_rows(child: DataFrame, parent: DataFrame, fk: ForeignKeySpec) -> D
     return out.unionByName(child.filter(_any_null(cols) & ~_all_null(cols)))
 
 
-def child_parent_join(child: DataFrame, parent: DataFrame, fk: ForeignKeySpec) -> DataFrame:
-    """Child rows with the columns of their parent; hot parents are handled apart."""
+def child_parent_join(child: DataFrame, parent: DataFrame, fk: ForeignKeySpec, hot_rows: int | None = None) -> DataFrame:
+    """Child rows with the columns of their parent.
+
+    Parents of very many children are left to adaptive execution, or with ``hot_rows`` found first and joined apart.
+    """
     cols = list(fk.columns)
     clash = (set(child.columns) & set(parent.columns)) - set(fk.parent_columns)
     if clash:
@@ -117,7 +120,7 @@ def child_parent_join(child: DataFrame, parent: DataFrame, fk: ForeignKeySpec) -
         *[F.col(quote(p)).alias(c) for p, c in zip(fk.parent_columns, cols)],
         *_cols([c for c in parent.columns if c not in fk.parent_columns]),
     )
-    joined = skew_join(child, renamed, cols)
+    joined = skew_join(child, renamed, cols, min_rows=hot_rows)
     key_back = [
         F.col(quote(c)).alias(p) for p, c in zip(fk.parent_columns, cols) if p not in child.columns
     ]
@@ -162,7 +165,8 @@ def check_table(
 ) -> DataFrame:
     """All declared keys, references and not-null columns: (check, columns, n_keys, n_rows).
 
-    One row per check, zeros where all is well.
+    One row per check, zeros where all is well. A reference to a table that ``parents`` lacks cannot be
+    checked: its row says so and has no counts.
     """
     parts = []
 
@@ -176,6 +180,9 @@ def check_table(
     for fk in spec.foreign_keys:
         if parents and fk.parent in parents:
             parts.append(summary(fk_orphans(df, parents[fk.parent], fk), "foreign key", fk.columns))
+        elif parents is not None:
+            unchecked = (f"foreign key, {fk.parent} not loaded", ",".join(fk.columns), None, None)
+            parts.append(df.sparkSession.createDataFrame([unchecked], "check string, columns string, n_keys bigint, n_rows bigint"))
     required = [c.name for c in spec.columns if not c.nullable]
     if required:
         nulls = null_violations(df, required).select(F.col("n_nulls").alias("n_rows"))

@@ -34,11 +34,11 @@ def reject_rows(checked: DataFrame, table: str, key_columns=()) -> DataFrame:
     )
 
 
-def checked_rows(df: DataFrame, columns, dialect: str, user_rules=(), key_columns=()) -> DataFrame:
+def checked_rows(df: DataFrame, columns, dialect: str, user_rules=(), key_columns=(), where=None) -> DataFrame:
     """Cast rows plus ``_errors`` plus the raw key under ``_key_<name>``."""
     with_keys = df.select("*", *[F.col(quote(k)).alias(f"_key_{k}") for k in key_columns])
     return cast_table(
-        with_keys, columns, dialect, user_rules, on_error="reject", keep=tuple(f"_key_{k}" for k in key_columns)
+        with_keys, columns, dialect, user_rules, on_error="reject", keep=tuple(f"_key_{k}" for k in key_columns), where=where
     )
 
 
@@ -48,14 +48,14 @@ def split_checked(checked: DataFrame, columns, table: str, key_columns=()) -> Lo
 
 
 def load_with_rejects(
-    df: DataFrame, columns, dialect: str, user_rules=(), table: str = "", key_columns=()
+    df: DataFrame, columns, dialect: str, user_rules=(), table: str = "", key_columns=(), where=None
 ) -> LoadResult:
     """Split a raw table into castable rows and rejects with reasons.
 
     Both results come lazily from the same plan; use ``write_checked`` to store them
-    with a single pass over the source.
+    with a single pass over the source. ``where`` selects source rows before the casts.
     """
-    checked = checked_rows(df, columns, dialect, user_rules, key_columns)
+    checked = checked_rows(df, columns, dialect, user_rules, key_columns, where)
     return split_checked(checked, columns, table, key_columns)
 
 

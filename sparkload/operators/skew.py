@@ -38,11 +38,11 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(F.octet_length(row) + F.lit(64)).cast("bigint").alias("b")).first().b or 0
 
 
-def rows_with_keys(df: DataFrame, keys: DataFrame, on, min_rows: int = HOT_ROWS) -> DataFrame:
+def rows_with_keys(df: DataFrame, keys: DataFrame, on, min_rows: int | None = None) -> DataFrame:
     """Rows of ``df`` whose key is in ``keys`` (distinct keys).
 
     ``keys`` is stored and measured first. A small set is broadcast and ``df`` is not
-    shuffled at all; with a large one only the rows of hot keys are spared the shuffle.
+    shuffled at all; with a large one ``skew_join`` joins them.
     """
     found = stored(keys.select(*[quote(c) for c in on]), "keys")
     if measured_bytes(found) <= BROADCAST_BYTES:
@@ -50,10 +50,11 @@ def rows_with_keys(df: DataFrame, keys: DataFrame, on, min_rows: int = HOT_ROWS)
     return skew_join(df, found, on, "left_semi", min_rows)
 
 
-def skew_join(left: DataFrame, right: DataFrame, on, how: str = "inner", min_rows: int = HOT_ROWS) -> DataFrame:
+def skew_join(left: DataFrame, right: DataFrame, on, how: str = "inner", min_rows: int | None = None) -> DataFrame:
     """Inner or left semi join on equally named columns where keys of ``left`` may be hot.
 
-    Rows of hot keys meet a broadcast copy of their few right-hand rows and are never
+    By default one ordinary join, whose skewed partitions adaptive execution splits. With ``min_rows``, keys of so
+    many rows are counted first, at the cost of a pass over ``left``, and joined apart. Rows of hot keys meet a broadcast copy of their few right-hand rows and are never
     shuffled; all other rows take an ordinary join. Without hot keys, or where the
     right-hand rows of the hot keys are too large to broadcast, one ordinary join does it,
     whose skewed partitions adaptive execution splits.
@@ -61,6 +62,8 @@ def skew_join(left: DataFrame, right: DataFrame, on, how: str = "inner", min_row
     if how not in ("inner", "left_semi"):
         raise ValueError(f"how must be inner or left_semi, not {how!r}")
     on = list(on)
+    if min_rows is None:
+        return left.join(right, on, how)
     hot = stored(hot_keys(left, on, min_rows), "hot")
     hot_bytes = measured_bytes(hot)
     if hot_bytes == 0 or hot_bytes > BROADCAST_BYTES:

@@ -70,14 +70,15 @@ def decimal_type(mod: str) -> T.DecimalType:
     return T.DecimalType(precision, scale)
 
 
-def spark_type(target: str, source_type: str = "", labels: tuple[str, ...] = ()) -> T.DataType:
+def spark_type(target: str, source_type: str = "", labels: tuple[str, ...] = (), refuse_unlisted: bool = False) -> T.DataType:
     """Spark type of a resolved target type.
 
     ``source_type`` supplies the typemod of a bare ``numeric``. A type name that is
-    not known is an error unless ``labels`` say that it is an enum.
+    not known, or none at all, means text; with ``refuse_unlisted`` an unknown name is an error
+    unless ``labels`` say that it is an enum.
     """
     if target.endswith("[]"):
-        return T.ArrayType(spark_type(target[:-2]))
+        return T.ArrayType(spark_type(target[:-2], refuse_unlisted=refuse_unlisted))
     name = type_name(target)
     if name in ("numeric", "decimal"):
         mod = parse_typemod(target)
@@ -91,12 +92,12 @@ def spark_type(target: str, source_type: str = "", labels: tuple[str, ...] = ())
         return T.DecimalType(38, 10)
     if name in _PLAIN:
         return _PLAIN[name]
-    if name in _TEXT or labels:
+    if not refuse_unlisted or not name or name in _TEXT or labels:
         return T.StringType()
     raise ValueError(f"no Spark type for target type {target!r}")
 
 
-def target_field(column: ColumnSpec, rules) -> tuple[T.StructField, Resolved]:
+def target_field(column: ColumnSpec, rules, refuse_unlisted: bool = False) -> tuple[T.StructField, Resolved]:
     """The target column as a StructField, with what Spark cannot type kept as metadata."""
     resolved = resolve(rules, column)
     metadata = {"source_type": column.source_type, "target_type": resolved.target}
@@ -104,7 +105,7 @@ def target_field(column: ColumnSpec, rules) -> tuple[T.StructField, Resolved]:
         metadata["auto_increment"] = True
     if column.comment:
         metadata["comment"] = column.comment
-    data_type = spark_type(resolved.target, column.source_type, column.labels)
+    data_type = spark_type(resolved.target, column.source_type, column.labels, refuse_unlisted)
     if type_name(column.source_type) == "money" and resolved.transform == "money-to-numeric":
         # A 64-bit money value in cents has 17 digits before the point.
         data_type = T.DecimalType(21, 4)

@@ -285,3 +285,19 @@ def resolve_column_casts(spark, sf_dir):
         F.when(F.col("p_size") % 2 == 0, "auto_increment").otherwise("").alias("extra"),
     )
     return resolve_casts(catalog, MYSQL_RULES)
+
+
+@query("""
+SELECT event_id % 7 AS kind, count(*) AS n_rows, count(*) FILTER (event_id % 7 IN (1, 2, 3)) AS rejected
+FROM events GROUP BY 1
+""")
+def cast_dates_with_rest(spark, sf_dir):
+    """Dates with a text, a bad time or a digit too many after them are rejects; unlisted types are carried as text."""
+    day = F.date_format("ts", "yyyy-MM-dd")
+    rest = F.get(F.array(*[F.lit(x) for x in ("", " garbage", " 25:00:00", "1", " 10:20", "T10:20:30.5", " 10:20:30Z")]), F.pmod("event_id", F.lit(7)).cast("int"))
+    raw = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("event_id"), F.concat(day, rest).alias("day"), F.col("event_type").alias("kind"))
+    columns = (ColumnSpec("event_id", "bigint"), ColumnSpec("day", "date"), ColumnSpec("kind", "sql_variant"))
+    out = cast_table(raw.filter("kind IS NOT NULL"), columns, "mssql")
+    return out.groupBy((F.col("event_id") % 7).alias("kind")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(ERRORS).isNotNull()).alias("rejected")
+    )

@@ -291,12 +291,13 @@ def jdbc_shard_predicates(spark, sf_dir):
 
 
 @query("""
-SELECT count(*) AS n_rows, 0::BIGINT AS crowded_ranges, min(o_orderkey * o_orderkey) AS low, max(o_orderkey * o_orderkey) AS high
-FROM orders
+SELECT count(*) AS n_rows, 0::BIGINT AS crowded_ranges, CAST(min(k * k) AS VARCHAR) AS low, CAST(max(k * k) AS VARCHAR) AS high
+FROM (SELECT CAST(o_orderkey AS HUGEINT) AS k FROM orders)
 """)
 def pk_balanced_shards(spark, sf_dir):
     """Keys that thin out towards the top: no range may hold more than twice its share."""
-    orders = table(spark, sf_dir, "orders").select((F.col("o_orderkey") * F.col("o_orderkey")).alias("k"))
+    key = F.col("o_orderkey").cast("decimal(19,0)")
+    orders = table(spark, sf_dir, "orders").select((key * key).cast("decimal(38,0)").alias("k"))
     ranges = balanced_ranges(*key_bounds(orders, "k"), 8, measure_ranges(orders, "k"))
     spec = PartitionSpec("range", "k", tuple((f"s{i}", lo, hi) for i, (lo, hi) in enumerate(ranges)))
     per_range = route_partition(orders, spec).groupBy("partition_name").agg(
@@ -307,7 +308,7 @@ def pk_balanced_shards(spark, sf_dir):
     )
     # There are a few dozen ranges at most, so their sizes fit in one list.
     crowded = F.size(F.filter("sizes", lambda n: n > F.ceil(F.col("n_rows") / 4))).cast("bigint")
-    return totals.select("n_rows", crowded.alias("crowded_ranges"), "low", "high")
+    return totals.select("n_rows", crowded.alias("crowded_ranges"), F.col("low").cast("string").alias("low"), F.col("high").cast("string").alias("high"))
 
 
 # --- SQLite --------------------------------------------------------------------------

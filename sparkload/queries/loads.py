@@ -135,3 +135,31 @@ def load_partitioned(spark, sf_dir):
     return stored.groupBy("partition_name", "load_outcome").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("o_totalprice").cast("decimal(38,2)").alias("price")
     )
+
+
+@query("""
+SELECT step, rows, errors, good, rejects FROM (
+  SELECT 'schema' AS step, 0 AS rows, 0 AS errors, 0 AS good, 0 AS rejects
+  UNION ALL SELECT 'truncate', n, e, n, e FROM (SELECT count(*) FILTER (c_nationkey <> 7) AS n, count(*) FILTER (c_nationkey = 7) AS e FROM customer)
+  UNION ALL SELECT 'append', n, e, 2 * n, e FROM (SELECT count(*) FILTER (c_nationkey <> 7) AS n, count(*) FILTER (c_nationkey = 7) AS e FROM customer))
+""")
+def load_phases(spark, sf_dir):
+    """The schema first, then the rows, then the same rows once more: counts and rejects are each step's own."""
+    target = scratch_dir(spark, "load")
+    spec = next(s for s in SPECS if s.name == "customer")
+    rows = _raw(spark, sf_dir)(spec)
+    out = []
+    for step, options in (("schema", {"schema_only": True}), ("truncate", {"mode": "truncate"}), ("append", {"mode": "append"})):
+        loaded = load_table(rows, spec, "mysql", target, LoadOptions(**options))
+        out.append((step, loaded.rows, loaded.errors, loaded.good.count(), loaded.rejects.select("key").distinct().count()))
+    return spark.createDataFrame(out, "step string, rows bigint, errors bigint, good bigint, rejects bigint")
+
+
+@query("""
+SELECT 'orders' AS "table", 'foreign key, customer not loaded' AS "check", CAST(NULL AS BIGINT) AS n_rows
+UNION ALL SELECT 'orders', 'primary key', 0 UNION ALL SELECT 'orders', 'not null', 0
+""")
+def load_without_parent(spark, sf_dir):
+    spec = SPECS[-1]
+    report = load_database(spark, [spec], _raw(spark, sf_dir), "mysql", scratch_dir(spark, "load"), LoadOptions())
+    return report.tables[spec.qualified_name].checks.select(F.lit("orders").alias("table"), "check", "n_rows")

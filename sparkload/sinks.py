@@ -77,16 +77,16 @@ def write_table(
     else:
         if mode == "truncate":
             stored = rows.sparkSession.read.format(fmt).load(target)
-            require_same_columns(stored, rows)
+            require_same_columns(stored.columns, rows.columns)
             rows = rows.select(*[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in stored.schema.fields])
         writer = rows.write.format(fmt).mode(SAVE_MODES[mode]).option("maxRecordsPerFile", max_records_per_file)
         writer.save(target)
 
 
-def require_same_columns(stored: DataFrame, rows: DataFrame) -> None:
+def require_same_columns(stored: list[str], rows: list[str]) -> None:
     """A truncated table keeps its columns, so the new rows must bring the same ones."""
-    if set(stored.columns) != set(rows.columns):
-        raise ValueError(f"truncate keeps the columns {stored.columns}, not {rows.columns}")
+    if set(stored) != set(rows):
+        raise ValueError(f"truncate keeps the columns {stored}, not {rows}")
 
 
 def _write_catalog_table(rows: DataFrame, target: str, mode: str, max_records_per_file: int, comment) -> None:

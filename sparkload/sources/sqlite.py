@@ -58,8 +58,22 @@ def quoted(name: str) -> str:
 
 
 class RowidRange(InputPartition):
-    def __init__(self, file: str, low: int | None = None, high: int | None = None):
-        self.file, self.low, self.high = file, low, high
+    """One of ``shards`` ranges of a file's rows; its bounds are looked up by the task that reads it."""
+
+    def __init__(self, file: str, shard: int = 0, shards: int = 1):
+        self.file, self.shard, self.shards = file, shard, shards
+
+
+def row_identifier(connection: sqlite3.Connection, table: str) -> str | None:
+    """A name of the row number that no column of the table hides; None if there is none."""
+    try:
+        names = {r[1].lower() for r in connection.execute(f"PRAGMA table_info({quoted(table)})")}
+        free = next((n for n in ("rowid", "_rowid_", "oid") if n not in names), None)
+        if free:
+            connection.execute(f"SELECT {free} FROM {quoted(table)} LIMIT 1").fetchone()
+        return free
+    except sqlite3.OperationalError:  # a view, or a table without row numbers
+        return None
 
 
 def as_text(value):
@@ -84,39 +98,34 @@ class SqliteReader(DataSourceReader):
         self.shards = int(options.get("shards", "1"))
 
     def partitions(self):
-        out = []
-        for file in self.files:
-            out += [RowidRange(file, lo, hi) for lo, hi in self._ranges(file) if lo < hi] or [RowidRange(file)]
-        return out
-
-    def _ranges(self, file: str):
-        if self.shards <= 1:
-            return []
-        connection = open_read_only(file)
-        try:
-            # Two index look-ups; a table without rowid has no such column.
-            low, high = (
-                connection.execute(f"SELECT {f}(rowid) FROM {quoted(self.table)}").fetchone()[0]
-                for f in ("MIN", "MAX")
-            )
-        except sqlite3.OperationalError:
-            return []
-        finally:
-            connection.close()
-        return pk_ranges(low, high, self.shards)
+        return [RowidRange(f, k, self.shards) for f in self.files for k in range(max(1, self.shards))]
+
+    def _condition(self, connection, partition):
+        """The part of the query that selects a shard, with its inclusive bounds; None for a shard without rows."""
+        if partition.shards <= 1:
+            return "", ()
+        row = row_identifier(connection, self.table)
+        if row is None:
+            return ("", ()) if partition.shard == 0 else None
+        # Two index look-ups.
+        low, high = (connection.execute(f"SELECT {f}({row}) FROM {quoted(self.table)}").fetchone()[0] for f in ("MIN", "MAX"))
+        ranges = [r for r in pk_ranges(low, high, partition.shards) if r[0] < r[1]]
+        if partition.shard >= len(ranges):
+            return None
+        first, end = ranges[partition.shard]
+        return f" WHERE {row} BETWEEN ? AND ?", (first, end - 1)
 
     def read(self, partition):
         import pyarrow as pa
 
         arrow_types = [pa.binary() if blob else pa.string() for blob in self.blobs]
         query = f"SELECT {', '.join(map(quoted, self.names))} FROM {quoted(self.table)}"
-        bounds = ()
-        if partition.low is not None:
-            query += " WHERE rowid >= ? AND rowid < ?"
-            bounds = (partition.low, partition.high)
         connection = open_read_only(partition.file)
         try:
-            cursor = connection.execute(query, bounds)
+            selected = self._condition(connection, partition)
+            if selected is None:
+                return
+            cursor = connection.execute(query + selected[0], selected[1])
             while rows := cursor.fetchmany(BATCH_ROWS):
                 arrays = [
                     pa.array([(as_bytes if blob else as_text)(v) for v in values], kind)
@@ -168,12 +177,22 @@ def read_sqlite_table(spark: SparkSession, path: str, spec: TableSpec, shards: i
 
 
 def list_sqlite_tables(spark: SparkSession, path: str) -> DataFrame:
-    """Names of the user tables of a file, in order."""
-    connection = open_read_only(sqlite_files(path)[0])
-    try:
-        rows = connection.execute(
-            "SELECT name FROM sqlite_master WHERE type = 'table' AND name NOT LIKE 'sqlite\\_%' ESCAPE '\\'"
-        ).fetchall()
-    finally:
-        connection.close()
-    return spark.createDataFrame(rows, "table_name string").orderBy("table_name")
+    """Names of the user tables of all files, in order; each file is opened by a task."""
+    files = spark.createDataFrame([(f,) for f in sqlite_files(path)], "file string")
+
+    def names(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = []
+            for file in batch.column("file").to_pylist():
+                connection = open_read_only(file)
+                try:
+                    found += connection.execute(
+                        "SELECT name FROM sqlite_master WHERE type = 'table' AND name NOT LIKE 'sqlite\\_%' ESCAPE '\\'"
+                    ).fetchall()
+                finally:
+                    connection.close()
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string())], ["table_name"])
+
+    return files.mapInArrow(names, "table_name string").distinct().orderBy("table_name")

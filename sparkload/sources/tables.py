@@ -76,13 +76,17 @@ def materialize_views(
 ) -> dict[str, DataFrame]:
     """Store each view's rows under the view's own name and return the stored frames.
 
-    ``target`` is a folder, or with ``as_tables`` a database. A view name may carry its
-    schema; the stored name does not.
+    ``target`` is a folder, or with ``as_tables`` a database. A view name may carry its schema, and where views of
+    different schemas share a name their stored names do too: ``schema.view`` as a folder, ``schema__view`` as a table.
     """
     stored = {}
-    for name in view_names(spark, names):
+    every = view_names(spark, names)
+    shorts = [name.split(".")[-1].lower() for name in every]
+    for name in every:
         rows = spark.table(name)
         short = name.split(".")[-1]
+        if shorts.count(short.lower()) > 1:
+            short = name.replace(".", "__") if as_tables else name
         if as_tables:
             table = f"{quote(target)}.{quote(short)}"
             rows.write.format(fmt).mode("overwrite").saveAsTable(table)

@@ -13,7 +13,6 @@ from sparkload import (
     write_copy_text,
 )
 from sparkload.functions.transforms import money_to_numeric
-from sparkload.operators import skew
 
 
 def bag(rows):
@@ -61,12 +60,11 @@ def test_references(data, frames, match):
     assert bag(fk_orphan_rows(*frames, fk).collect()) == bag(bad)
 
 
-@pytest.mark.parametrize("hot_rows", [50, 10**6])
-def test_join(data, frames, hot_rows, monkeypatch):
-    monkeypatch.setattr(skew.skew_join, "__defaults__", ("inner", hot_rows))
+@pytest.mark.parametrize("hot_rows", [None, 50, 10**6])
+def test_join(data, frames, hot_rows):
     want = [(*c, p[0], p[1], p[2]) for c in data[0] for p in data[1] if c[1] == p[0] and c[2] == p[1]]
     fk = ForeignKeySpec(("a", "b"), "p", ("x", "y"))
-    assert bag(child_parent_join(*frames, fk).collect()) == bag(want)
+    assert bag(child_parent_join(*frames, fk, hot_rows=hot_rows).collect()) == bag(want)
 
 
 def test_comparison(spark, data, frames):

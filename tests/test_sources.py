@@ -294,3 +294,33 @@ def test_list_tables_and_materialize_views(spark, tmp_path):
     assert tables["mv.even"].count() == 3 and [r.table_name for r in list_tables(spark, "mv_target").collect()] == ["even"]
     spark.range(3).createOrReplaceTempView("tmp_view")
     assert "tmp_view" in materialize_views(spark, "*", str(tmp_path / "all"))
+
+
+@pytest.mark.parametrize("shards", [1, 3, 7])
+def test_sqlite_shards_with_own_rowid_column_and_largest_identifier(spark, tmp_path, shards):
+    file = str(tmp_path / "own.db")
+    con = sqlite3.connect(file)
+    con.execute("CREATE TABLE t (rowid integer, v)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", [(k if k % 3 else None, f"v{k}") for k in range(30)])
+    con.execute("INSERT INTO t (_rowid_, rowid, v) VALUES (9223372036854775807, NULL, 'last')")
+    con.commit()
+    con.close()
+    spec = TableSpec("t", (ColumnSpec("rowid", "integer"), ColumnSpec("v", "")))
+    got = sorted(r.v for r in read_sqlite_table(spark, file, spec, shards).collect())
+    assert got == sorted([*[f"v{k}" for k in range(30)], "last"])
+
+
+def test_sqlite_table_list_of_all_files(spark, tmp_path):
+    for name, table in (("a.db", "one"), ("b.db", "two"), ("c.db", "one")):
+        con = sqlite3.connect(str(tmp_path / name))
+        con.execute(f"CREATE TABLE {table} (x)")
+        con.close()
+    assert [r.table_name for r in list_sqlite_tables(spark, str(tmp_path)).collect()] == ["one", "two"]
+
+
+def test_views_of_one_name_do_not_overwrite_each_other(spark, tmp_path):
+    for schema, n in (("da", 2), ("db", 3)):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+        spark.sql(f"CREATE OR REPLACE VIEW {schema}.v AS SELECT id FROM range({n})")
+    stored = materialize_views(spark, ["da.v", "db.v"], str(tmp_path))
+    assert stored["da.v"].count() == 2 and stored["db.v"].count() == 3
