@@ -17,6 +17,7 @@ import os
 import string
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -104,16 +105,25 @@ def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> list[bytes
     return out
 
 
-def decode_block(data, start: int) -> np.ndarray:
-    """The ids of the block that begins at ``start``."""
-    base, width, exceptions, count = _HEAD.unpack_from(data, start)
-    at = start + _HEAD.size
+def decode_blocks(data, starts: list[int]) -> np.ndarray:
+    """The ids of the blocks that begin at ``starts``; blocks of the same width are unpacked together."""
+    heads = [_HEAD.unpack_from(data, s) for s in starts]
+    if not heads:
+        return np.zeros(0, "<u4")
+    out = np.zeros((len(heads), BLOCK), "<u8")
     groups = BLOCK // 64
-    values = unpack(np.frombuffer(data, "<u8", groups * width, at).reshape(groups, width), width).reshape(-1)
-    at += 8 * groups * width
-    places = np.frombuffer(data, "<u2", exceptions, at)
-    values[places] = np.frombuffer(data, "<u4", exceptions, at + 2 * exceptions)
-    return (values[:count] + np.uint64(base)).astype("<u4")
+    of_width: dict[int, list[int]] = {}
+    for k, (_, width, _, _) in enumerate(heads):
+        of_width.setdefault(width, []).append(k)
+    for width, blocks in of_width.items():
+        words = [np.frombuffer(data, "<u8", groups * width, starts[k] + _HEAD.size) for k in blocks]
+        out[blocks] = unpack(np.concatenate(words).reshape(len(blocks) * groups, width), width).reshape(len(blocks), BLOCK)
+    for k, (_, width, exceptions, _) in enumerate(heads):
+        at = starts[k] + _HEAD.size + 8 * groups * width
+        out[k, np.frombuffer(data, "<u2", exceptions, at)] = np.frombuffer(data, "<u4", exceptions, at + 2 * exceptions)
+    out += np.array([h[0] for h in heads], "<u8")[:, None]
+    counts = np.array([h[3] for h in heads])
+    return out[np.arange(BLOCK) < counts[:, None]].astype("<u4")
 
 
 class FileBuilder:
@@ -168,9 +178,7 @@ class FileReader:
     def ids(self, start: int, stop: int) -> np.ndarray:
         """Ids ``start`` to ``stop`` of the file; only the blocks that hold them are decoded."""
         first, last = start // BLOCK, -(-stop // BLOCK)
-        parts = [decode_block(self.data, int(s)) for s in self.starts[first:last]]
-        found = np.concatenate(parts) if parts else np.zeros(0, "<u4")
-        return found[start - first * BLOCK : stop - first * BLOCK]
+        return decode_blocks(self.data, self.starts[first:last].tolist())[start - first * BLOCK : stop - first * BLOCK]
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """Id, start within the file and token ids of each document, decoding some blocks at a time."""
@@ -192,7 +200,8 @@ class ChunkEncoder:
 
     Exact for a tokenizer whose tokens never span white space and that drops it; its
     normaliser and its split pattern then work within a chunk. A chunk of letters and closing
-    punctuation is the letters' ids and the punctuation's, as the split pattern parts them.
+    punctuation is the letters' ids and the punctuation's, as the split pattern parts them. Words of letters
+    alone are asked for many at a time: each ends with the only token of it that ends a word.
     """
 
     def __init__(self, path: str):
@@ -200,23 +209,57 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # what was known before the store was last full
+
+    def _ask(self, chunks: list[str]) -> list[list[int]]:
+        return [found.ids for found in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def _store(self, words: list[str], others: list[str]) -> None:
+        known = self.known
+        groups = [words[k : k + 256] for k in range(0, len(words), 256)]
+        for group, ids in zip(groups, self._ask([" ".join(g) for g in groups])):
+            found = np.array(ids, "<u4")
+            cuts = 4 * (np.flatnonzero(self.ends_word[found]) + 1)
+            if len(cuts) != len(group):  # the tokenizer sees other letters than Python does
+                others += group
+                continue
+            data, begin = found.tobytes(), 0
+            for word, cut in zip(group, cuts.tolist()):
+                known[word] = data[begin:cut]
+                begin = cut
+        for chunk, ids in zip(others, self._ask(others)):
+            known[chunk] = array("I", ids).tobytes()
 
     def _learn(self, chunks: set[str]) -> None:
+        """Make all the chunks known; what has not been used since the store was last full is forgotten."""
         if len(self.known) + len(chunks) > CACHED_CHUNKS:
-            self.known.clear()
-        known, ask, made = self.known, [], []
-        asked: set[str] = set()
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        words, others, made, asked = [], [], [], set()
+
+        def ask(chunk: str) -> None:
+            if chunk in known or chunk in asked:
+                return
+            if chunk in older:
+                known[chunk] = older[chunk]
+                return
+            asked.add(chunk)
+            (words if chunk.isalpha() and chunk.lower().isalpha() else others).append(chunk)
+
         for chunk in chunks:
             letters = chunk.rstrip(_PUNCTUATION)
-            if letters != chunk and letters.isalpha() and letters.lower().isalpha():
-                made.append((chunk, letters, chunk[len(letters) :]))
-                asked.update(made[-1][1:])
+            if letters != chunk and chunk not in older and letters.isalpha() and letters.lower().isalpha():
+                closing = chunk[len(letters) :]
+                made.append((chunk, letters, closing))
+                ask(letters)
+                ask(closing)
             else:
-                asked.add(chunk)
-        ask = [c for c in asked if c not in known]
-        for chunk, found in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False)):
-            known[chunk] = np.array(found.ids, "<u4").tobytes()
+                ask(chunk)
+        self._store(words, others)
         for chunk, letters, closing in made:
             known[chunk] = known[letters] + known[closing]
 
@@ -229,18 +272,14 @@ class ChunkEncoder:
                 group.append(texts[at].replace("\n", " ").split(" "))
                 size += len(texts[at])
                 at += 1
-            if new := set().union(*group).difference(self.known):
+            chunks = set().union(*group)
+            if len(self.known) + len(chunks) > CACHED_CHUNKS:
+                self._learn(chunks)  # may forget, so all are named
+            elif new := chunks.difference(self.known):
                 self._learn(new)
-                if missing := set().union(*group).difference(self.known):  # after the store was emptied
-                    self._learn_more(missing)
             known = self.known
-            for chunks in group:
-                yield b"".join([known[c] for c in chunks])
-
-    def _learn_more(self, chunks: set[str]) -> None:
-        asked = list(chunks)
-        for chunk, found in zip(asked, self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)):
-            self.known[chunk] = np.array(found.ids, "<u4").tobytes()
+            for parts in group:
+                yield b"".join([known[c] for c in parts])
 
 
 @lru_cache(maxsize=2)

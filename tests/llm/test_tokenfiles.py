@@ -13,8 +13,8 @@ from sparkload.llm.tokenfiles import (
     ChunkEncoder,
     FileBuilder,
     FileReader,
+    decode_blocks,
     encode_blocks,
-    decode_block,
     pack,
     read_token_files,
     unpack,
@@ -44,7 +44,7 @@ def test_pack_round_trip(width):
 )
 def test_blocks_round_trip(values, times):
     ids = np.array(values * times, np.uint32)
-    found = [decode_block(b, 0) for b in encode_blocks(ids)]
+    found = [decode_blocks(b, [0]) for b in encode_blocks(ids)]
     assert all(len(f) == BLOCK for f in found[:-1])
     assert (np.concatenate([*found, np.zeros(0, np.uint32)]) == ids).all()
 
@@ -54,7 +54,7 @@ def test_outliers_cost_exceptions_not_width():
     ids[[3, 900]] = 4_000_000_000
     (block,) = encode_blocks(ids)
     assert len(block) == 9 + BLOCK * 3 // 8 + 2 * 6
-    assert (decode_block(block, 0) == ids).all()
+    assert (decode_blocks(block, [0]) == ids).all()
 
 
 def test_file_gives_any_range():
