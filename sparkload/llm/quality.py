@@ -102,8 +102,12 @@ class QualityModel:
         return self.good.evidence(shape, words), self.toxic.evidence(shape, words)
 
 
-def _neutral() -> LinearModel:
-    return LinearModel(0.0, np.zeros(N_SHAPE))
+def _neutral(prior: float) -> LinearModel:
+    """No evidence for or against any text."""
+    return LinearModel(math.log(prior / (1 - prior)), np.zeros(N_SHAPE), prior=prior)
+
+
+GOOD_PRIOR, TOXIC_PRIOR = 0.99, 0.01  # where nothing is labelled, or all alike: documents are kept
 
 
 def fit_quality_model(
@@ -114,14 +118,14 @@ def fit_quality_model(
     ``rows`` is the expected number of documents taken for each combination of the labels, chosen by a hash
     of the id; case weights restore the true shares, which are counted over all labels. The sampled ids
     are broadcast (their number is bounded), so no text is shuffled. Several labels of one document
-    count as one: the lower quality, the higher toxicity. Labels with a null are left out. Without any
-    labelled document the model is neutral.
+    count as one: the lower quality, the higher toxicity. Labels with a null are left out. A label that no
+    sampled document has, or all have, tells nothing: every document then passes by it.
     """
     votes = labels.select(col("doc_id").cast("long").alias("id"), col("quality").cast("int").alias("q"), col("toxic").cast("int").alias("t"))
     votes = votes.dropna().groupBy("id").agg(F.min("q").alias("q"), F.max("t").alias("t"))
     counts = {(r.q, r.t): r.n for r in votes.groupBy("q", "t").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
-        return QualityModel(_neutral(), _neutral())
+        return QualityModel(_neutral(GOOD_PRIOR), _neutral(TOXIC_PRIOR))
     draw = F.pmod(F.xxhash64(F.lit("train"), "id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     share = F.lit(0.0)
     for (q, t), n in counts.items():
@@ -170,7 +174,7 @@ def fit_quality_model(
     # at most the documented number of sampled rows, each with a bounded number of features
     got = sample.orderBy("id").mapInArrow(features, "q int, t int, shape array<double>, present array<int>").collect()
     if not got:
-        return QualityModel(_neutral(), _neutral())
+        return QualityModel(_neutral(GOOD_PRIOR), _neutral(TOXIC_PRIOR))
     sampled = Counter((r.q, r.t) for r in got)
     weight = np.array([counts[r.q, r.t] / sampled[r.q, r.t] for r in got])
     weight *= len(got) / weight.sum()
@@ -184,7 +188,7 @@ def fit_quality_model(
         y = np.array([float(r[label] == one) for r in got])
         prior = sum(c for (q, t), c in counts.items() if (q if label == "q" else t) == one) / total
         if not 0 < y.mean() < 1:
-            return LinearModel(0.0, np.zeros(N_SHAPE), prior=0.5)
+            return _neutral(GOOD_PRIOR if label == "q" else TOXIC_PRIOR)
         own = vocabularies[label]
         x = np.hstack([shape, present[:, [place[w] for w in own]]])
         bias, weights = fit_logistic(x, y, weight)
@@ -217,18 +221,19 @@ def _sigmoid(x: Column) -> Column:
     return 1 / (1 + F.exp(-x))
 
 
-def _strength(rows: DataFrame, label: str, mean: float) -> float:
-    """How many rows the common mean is worth to a group: beta-binomial strength by the method of moments.
+def _strength(rows: DataFrame, label: str, centre: Column, centres: int) -> float:
+    """How many rows a group's centre is worth to it: beta-binomial strength by the method of moments.
 
-    ``rows`` has the size ``n`` and soft count ``label`` of each group. Groups that differ no more than chance
-    would make them shrink fully.
+    ``rows`` has the size ``n`` and soft count ``label`` of each group; the shares of the groups are compared with
+    ``centre``, of which there are ``centres``. Groups that differ no more than chance would make them shrink fully.
     """
-    spread = F.sum(F.col("n") * F.pow(F.col(label) / F.col("n") - mean, 2))
-    s, n, n2, groups = rows.agg(spread, F.sum("n"), F.sum(F.col("n") * F.col("n").cast("double")), F.count(F.lit(1))).first()
-    if not groups or groups < 2:
+    n = F.col("n").cast("double")
+    sums = rows.agg(F.sum(n * F.pow(F.col(label) / n - centre, 2)), F.sum(n * centre * (1 - centre)), F.sum(n), F.sum(n * n), F.count(F.lit(1)))
+    spread, noise, total, squares, groups = sums.first()
+    if not groups or groups <= centres:
         return 1e9
-    noise = mean * (1 - mean)
-    between = (s - (groups - 1) * noise) / max(1e-9, n - n2 / n)
+    noise /= total
+    between = (spread - (groups - centres) * noise) / max(1e-9, total - squares / total)
     return min(1e9, max(1.0, noise / between - 1)) if between > 1e-12 else 1e9
 
 
@@ -242,11 +247,14 @@ def site_posteriors(scored: DataFrame, priors: dict[str, float]) -> DataFrame:
     soft = {k: F.sum(_sigmoid(F.col(k) + math.log(p / (1 - p)))).alias(k) for k, p in priors.items()}
     paths = stored(scored.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), *soft.values()), "paths")
     hosts = stored(paths.groupBy("host").agg(F.sum("n").alias("n"), *[F.sum(k).alias(k) for k in priors]), "hosts")
-    total = hosts.agg(F.sum("n").alias("n"), *[F.sum(k).alias(k) for k in priors]).first()
+    total = hosts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("hosts"), *[F.sum(k).alias(k) for k in priors]).first()
+    raw = hosts.select("host", *[(F.col(k) / F.col("n")).alias(f"raw_{k}") for k in priors])
+    met = paths.join(raw, "host")
     host_means, path_means = [], []
     for k in priors:
         mean = min(1 - 1e-6, max(1e-6, total[k] / total["n"])) if total["n"] else 0.5
-        by_host, by_path = _strength(hosts, k, mean), _strength(paths, k, mean)
+        by_host = _strength(hosts, k, F.lit(mean), 1)
+        by_path = _strength(met, k, F.col(f"raw_{k}"), total["hosts"])
         host_means.append(((by_host * mean + F.col(k)) / (by_host + F.col("n"))).alias(f"host_{k}"))
         path_means.append(((by_path * F.col(f"host_{k}") + F.col(k)) / (by_path + F.col("n"))).alias(f"prior_{k}"))
     means = paths.join(hosts.select("host", *host_means), "host").select("path", *path_means)
