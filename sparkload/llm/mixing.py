@@ -131,15 +131,16 @@ def domain_totals(members: DataFrame, k: int, rate: Column | None = None) -> lis
     return [r or 0.0 for r in weighted.agg(*[F.sum(F.col("w") * F.col("p")[j]).alias(f"t{j}") for j in range(k)]).first()]
 
 
-def fit_rates(members: DataFrame, targets: list[float], least: float = 0.0, steps: int = STEPS, tolerance: float = 1e-6) -> Rates:
+def fit_rates(members: DataFrame, targets: list[float], least: float = 0.0, steps: int = STEPS, tolerance: float = 1e-4) -> Rates:
     """Rates ``r >= least`` that minimise ``sum_j (T_j - target_j)^2 / (2 N_j)``, ``T_j = sum_d r_d n_d p_dj``.
 
     ``members`` has ``p`` and ``n_tokens`` of each document; ``N_j`` is the total at rate 1. In the metric that weighs
     documents by their tokens, the gradient is ``sum_j p_dj (T_j - target_j) / N_j``. As posteriors sum to 1, a step of length 1
     never overshoots. Gradients are summed and the sum is projected (dual averaging), so a document's rate is a
     function of its posteriors and of one number per domain: a step is one aggregation over the documents, and no rates are stored
-    or sent around. It ends when every total is within ``tolerance`` of its target, or after ``steps``; where targets
-    are out of reach of ``least``, the loss nears its least value as one over the steps.
+    or sent around. It ends when no total is further from its target, or has moved further in a step, than ``tolerance`` of its
+    domain's size, and after ``steps`` at the latest; where targets are out of reach of ``least``, the loss
+    nears its least value as one over the steps.
     """
     k = len(targets)
     sizes = domain_totals(members, k)
@@ -149,7 +150,9 @@ def fit_rates(members: DataFrame, targets: list[float], least: float = 0.0, step
         if max(map(abs, gaps), default=0.0) <= tolerance:
             break
         rates.shift = [s + g for s, g in zip(rates.shift, gaps)]
-        rates.totals = domain_totals(members, k, rates.column(F.col("p")))
+        before, rates.totals = rates.totals, domain_totals(members, k, rates.column(F.col("p")))
+        if all(abs(t - b) <= tolerance * size for t, b, size in zip(rates.totals, before, sizes)):
+            break
     return rates
 
 
