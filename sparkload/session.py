@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from contextlib import contextmanager
 from functools import cache
 
@@ -28,12 +30,36 @@ def build_session(app: str, master: str | None = None, **settings) -> SparkSessi
     return builder.getOrCreate()
 
 
+_PACKAGE = os.path.dirname(os.path.abspath(__file__))
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once a session, unless they have it on their path.
+
+    Spark's own distribution of Python files does it, so executors need no installation.
+    """
+    parent, context = os.path.dirname(_PACKAGE), spark.sparkContext
+    on_path = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if parent in on_path or context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    archive = os.path.join(tempfile.mkdtemp(prefix="sparkload-"), "sparkload.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(_PACKAGE):
+            for name in names:
+                if name.endswith(".py"):
+                    out.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), parent))
+    context.addPyFile(archive)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder that the cluster names for checkpoints.
 
     Only a local session, where every task runs on this machine, falls back to a
     temporary folder of the machine.
     """
+    ship_package(spark)  # what is stored may come from Python workers
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
