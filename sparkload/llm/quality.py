@@ -72,10 +72,17 @@ class LinearModel:
         return min(CLIP, max(-CLIP, odds - math.log(self.prior / (1 - self.prior))))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 2.0, steps: int = 30) -> tuple[float, np.ndarray]:
-    """Ridge logistic regression by Newton steps on standardised columns; bias and weights on the given scale."""
+def fit_logistic(
+    x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 2.0, steps: int = 30, scaled: int | None = None
+) -> tuple[float, np.ndarray]:
+    """Ridge logistic regression by Newton steps; bias and weights on the given scale.
+
+    The first ``scaled`` columns (all by default) are standardised. Columns of words present are not, so that the
+    ridge holds back words that few rows speak for.
+    """
     mean, spread = x.mean(axis=0), x.std(axis=0)
     spread[spread < 1e-9] = 1.0
+    spread[x.shape[1] if scaled is None else scaled :] = 1.0
     z = np.hstack([np.ones((len(x), 1)), (x - mean) / spread])
     beta = np.zeros(z.shape[1])
     penalty = np.full(z.shape[1], ridge)
@@ -149,11 +156,11 @@ def fit_quality_model(
     n, n_good, n_toxic = totals
 
     def chosen_words(label: str, n_label: int) -> list[str]:
-        """Words whose presence tells most about a label: log odds ratio in standard errors."""
-        a, b = F.col(label) + 0.5, F.col("n") - F.col(label) + 0.5
-        rest_a, rest_b = F.lit(n_label) - F.col(label) + 0.5, F.lit(n - n_label) - F.col("n") + F.col(label) + 0.5
-        z = F.abs(F.log(a / rest_a) - F.log(b / rest_b)) / F.sqrt(1 / a + 1 / b)
-        return [r.word for r in seen.orderBy(z.desc(), "word").limit(n_words).collect()]
+        """Words whose presence tells most about a label, by the chi-square statistic of the two."""
+        both, rows_with, all_rows = F.col(label).cast("double"), F.col("n").cast("double"), float(n)
+        gap = both * all_rows - rows_with * n_label
+        chi = gap * gap / F.greatest(rows_with * (all_rows - rows_with), F.lit(1.0))
+        return [r.word for r in seen.orderBy(chi.desc(), "word").limit(n_words).collect()]
 
     vocabularies = {"q": chosen_words("q", n_good), "t": chosen_words("t", n_toxic)}
     every = sorted({*vocabularies["q"], *vocabularies["t"]})
@@ -191,7 +198,7 @@ def fit_quality_model(
             return _neutral(GOOD_PRIOR if label == "q" else TOXIC_PRIOR)
         own = vocabularies[label]
         x = np.hstack([shape, present[:, [place[w] for w in own]]])
-        bias, weights = fit_logistic(x, y, weight)
+        bias, weights = fit_logistic(x, y, weight, ridge=0.4, scaled=N_SHAPE)
         return LinearModel(bias, weights[:N_SHAPE], dict(zip(own, weights[N_SHAPE:].tolist())), prior)
 
     return QualityModel(model("q", 1), model("t", 1))
