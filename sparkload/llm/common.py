@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import quote
 from ..operators.skew import stored
+from ..session import ship_package
 
 __all__ = ["col", "id_and_text", "map_texts", "packed", "query_partitions", "stored", "text_of", "unpacked", "with_ids", "without_ids"]
 
@@ -51,6 +52,7 @@ def map_texts(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch
                 if out is not None:
                     yield out
 
+    ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
