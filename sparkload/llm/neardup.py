@@ -202,20 +202,25 @@ def _may_match(a: str, b: str, threshold: float, coordinates: int) -> Column:
     return (low >= high * F.lit(threshold)) & (differing <= F.lit(bound))
 
 
-def similar_pairs(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def element_sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id, elements`` of the texts whose id is in the one column of ``ids``."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [elements_of(words_of(t)) for t in batch.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.int64()))], ["id", "elements"])
+
+    return stored(map_texts(with_ids(texts, ids), run, "id long, elements array<long>"), "elements")
+
+
+def similar_pairs(pairs: DataFrame, texts: DataFrame, threshold: float, sets: DataFrame | None = None) -> DataFrame:
     """Those of the pairs ``a, b`` whose weighted Jaccard similarity is at least ``threshold``, computed exactly.
 
     Only texts that occur in a pair are fetched; shingles travel to the pairs by joins on either end, whose
     skewed partitions (a text in very many pairs) adaptive execution splits.
     """
     pairs = stored(pairs, "pairs")
-    needed = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id")))
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [elements_of(words_of(t)) for t in batch.column("text").to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.int64()))], ["id", "elements"])
-
-    sets = stored(map_texts(with_ids(texts, needed), run, "id long, elements array<long>"), "elements")
+    if sets is None:
+        sets = element_sets(texts, pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))))
     left = sets.select(F.col("id").alias("a"), F.col("elements").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
     both = pairs.join(right, "b").join(left, "a")
@@ -224,6 +229,24 @@ def similar_pairs(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataF
     return stored(both.filter(similar).select("a", "b"), "similar")
 
 
+def rarest_elements(sets: DataFrame, threshold: float) -> DataFrame:
+    """``id, element, rarest``: of each set the rarest elements, one of which it shares with every set as similar as the threshold.
+
+    Of two such sets at least ``threshold * n`` elements of either are common, so in one order of all elements they
+    share one of the first ``n - ceil(threshold * n) + 1`` of each. The order is by the number of sets that have the element, so a
+    passage in very many sets does not bring these together. Elements in one set only come first and are shared with none.
+    """
+    each = sets.select("id", F.explode("elements").alias("element"))
+    shared = each.groupBy("element").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    ordered = each.join(shared, "element").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "element"))).alias("s"))
+    size = F.size("elements")
+    first = size - F.ceil(size * F.lit(threshold) - F.lit(1e-9)) + 1
+    kept = (first - (size - F.size("s"))).cast("int")
+    rows = sets.select("id", "elements").join(ordered, "id").filter(kept > 0)
+    rows = rows.select("id", F.transform(F.slice("s", F.lit(1), F.greatest(kept, F.lit(0))), lambda x: x["element"]).alias("rarest"))
+    return rows.select("id", "rarest", F.explode("rarest").alias("element"))
+
+
 def near_duplicate_classes(
     docs: DataFrame,
     threshold: float = THRESHOLD,
@@ -238,10 +261,13 @@ def near_duplicate_classes(
     without punctuation) is at least ``threshold``; a class is a connected component.
 
     1. Texts of the same words collapse to the one of smallest id.
-    2. Texts that share a band meet in a bucket. Each is compared with the bucket's smallest only, so a bucket of n
-       texts costs n - 1 pairs, and copies of one text are joined without any pair among them.
-    3. In buckets that still hold several components, texts outside that of the smallest are compared with all of another
-       component, behind the bound that sketches give. No link of a bucket is left out, and none within a component is looked for.
+    2. Texts that share a band meet in a bucket, whose lead is the text that meets most others in all its
+       buckets: near the middle of a group of copies. Each text is compared with one lead, the foremost of its
+       buckets, which joins most of a large group with as many pairs as it has texts.
+    3. It is then compared with the lead of each bucket whose component is another than its own.
+    4. Texts of buckets that still hold several components are compared with those of another component, if
+       they share one of their rarest shingles (see ``rarest_elements``) and the bound that sketches give allows it. No link
+       between components of a bucket is left out, and none within a component is looked for.
 
     A null or empty text, or one without words, is linked only to equal texts. Rows that repeat an id are one document, of
     the smallest of their texts; rows without an id are left out.
@@ -258,33 +284,53 @@ def near_duplicate_classes(
     chosen = stored(made.join(reps, "id", "left_semi").select("id", "n", "bands", "sketch"), "representatives")
 
     in_bands = chosen.select("id", F.explode("bands").alias("bucket"))
-    buckets = in_bands.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
-    member = stored(in_bands.join(buckets, "bucket").select("bucket", "id", "low"), "members")
-    stars = member.filter("id > low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
+    sizes = in_bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = stored(in_bands.join(sizes, "bucket"), "buckets")
+    degrees = shared.groupBy("id").agg((F.sum("size") * F.lit(1.0)).alias("degree"))
+    ranked = shared.join(degrees, "id").select("bucket", "id", F.struct("degree", (-F.col("id")).alias("neg")).alias("rank"))
+    leads = ranked.groupBy("bucket").agg(F.max("rank").alias("rank"))
+    member = stored(shared.join(leads, "bucket").select("bucket", "id", "rank", (-F.col("rank.neg")).alias("lead")), "members")
     facts = chosen.select("id", F.struct("n", "sketch").alias("f"))
-    seen = stars.join(facts.select(F.col("id").alias("b"), F.col("f").alias("g")), "b")
-    seen = seen.join(facts.select(F.col("id").alias("a"), F.col("f")), "a")
-    possible = seen.filter(_may_match("f", "g", threshold, bands * rows)).select("a", "b")
-    linked = connected_components(similar_pairs(possible, texts, threshold))
-
-    part = member.join(linked, "id", "left").select("bucket", "id", "low", F.coalesce("component", "id").alias("component"))
-    first = linked.select(F.col("id").alias("low"), F.col("component").alias("main"))
-    part = stored(part.join(first, "low", "left").withColumn("main", F.coalesce("main", "low")), "parts")
-    outside = part.filter("component <> main")
-    mixed = part.join(outside.select("bucket").distinct(), "bucket", "left_semi").join(facts, "id")
-    x, y = mixed.filter("component <> main").alias("x"), mixed.alias("y")
-    across = x.join(
-        y,
-        (F.col("x.bucket") == F.col("y.bucket"))
-        & (F.col("x.component") != F.col("y.component"))
-        & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id")))
-        & (F.col("y.id") != F.col("y.low"))
-        & _may_match("x.f", "y.f", threshold, bands * rows),
-    ).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-    more = similar_pairs(across.distinct(), texts, threshold)
-    if more.head(1):
-        both = linked.filter("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(more)
-        linked = connected_components(both)
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        seen = pairs.join(facts.select(F.col("id").alias("b"), F.col("f").alias("g")), "b")
+        seen = seen.join(facts.select(F.col("id").alias("a"), F.col("f")), "a")
+        return similar_pairs(seen.filter(_may_match("f", "g", threshold, bands * rows)).select("a", "b"), texts, threshold)
+
+    def placed(linked: DataFrame) -> DataFrame:
+        """The members of buckets with their component and that of the bucket's lead."""
+        part = member.join(linked, "id", "left").select("bucket", "id", "lead", F.coalesce("component", "id").alias("component"))
+        first = linked.select(F.col("id").alias("lead"), F.col("component").alias("main"))
+        return part.join(first, "lead", "left").withColumn("main", F.coalesce("main", "lead"))
+
+    def joined(linked: DataFrame, more: DataFrame) -> DataFrame:
+        if not more.head(1):
+            return linked
+        return connected_components(linked.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(more))
+
+    nearest = member.filter("id <> lead").groupBy(F.col("id").alias("b")).agg(F.max("rank").alias("rank"))
+    nearest = stored(nearest.select((-F.col("rank.neg")).alias("a"), "b"), "nearest")
+    linked = connected_components(compared(nearest))
+    stars = placed(linked).filter("component <> main").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    linked = joined(linked, compared(stars.join(nearest, ["a", "b"], "left_anti")))
+
+    part = stored(placed(linked), "parts")
+    torn = part.filter("component <> main").select("bucket").distinct()
+    open_ids = part.join(torn, "bucket", "left_semi").groupBy("id", "component")
+    open_ids = stored(open_ids.agg(F.max(F.col("component") != F.col("main")).alias("outside")), "open")
+    if open_ids.head(1):
+        sets = element_sets(texts, open_ids.select("id"))
+        rare = stored(rarest_elements(sets, threshold).join(open_ids, "id").join(facts, "id"), "rarest")
+        x, y = rare.filter("outside").alias("x"), rare.alias("y")
+        across = x.join(
+            y,
+            (F.col("x.element") == F.col("y.element"))
+            & (F.col("x.component") != F.col("y.component"))
+            & (~F.col("y.outside") | (F.col("x.id") < F.col("y.id")))
+            & _may_match("x.f", "y.f", threshold, bands * rows)
+            & (F.array_min(F.array_intersect("x.rarest", "y.rarest")) == F.col("x.element")),  # a pair comes once
+        ).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+        linked = joined(linked, similar_pairs(across.distinct(), texts, threshold, sets))
 
     classes = copies.join(linked.withColumnRenamed("id", "rep"), "rep", "left")
     classes = classes.select("print", F.coalesce("component", "rep").alias("class_id"))
