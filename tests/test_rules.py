@@ -160,8 +160,12 @@ def test_type_errors_are_raised_at_plan_time():
     with pytest.raises(ValueError):
         spark_type("numeric(50,2)")
     with pytest.raises(ValueError):
-        spark_type("mood")
-    assert spark_type("mood", labels=("happy",)) == T.StringType()
+        spark_type("mood", refuse_unlisted=True)
+    assert spark_type("mood", labels=("happy",), refuse_unlisted=True) == T.StringType()
+
+
+def test_types_without_a_rule_are_text():
+    assert spark_type("mood") == spark_type("sql_variant") == spark_type("") == T.StringType()
 
 
 def test_field_metadata_keeps_serial_and_comment():
