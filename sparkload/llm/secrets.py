@@ -17,9 +17,6 @@ TREES, DEPTH = 30, 7
 LEAST_LENGTH = 8
 BEFORE, AFTER = 60, 40  # characters of context
 
-# A run of token characters with a digit in it, not cut out of a longer one.
-CANDIDATE = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{%d,}" % LEAST_LENGTH
-
 # Names that secrets are assigned to, and words that speak against one.
 SECRET_WORDS = "secret|password|passwd|pwd|token|api[_-]?key|apikey|access[_-]?key|private[_-]?key|credential|auth|bearer"
 HARMLESS_WORDS = "example|sample|dummy|test|fake|placeholder|phone|tel|call|card|order|invoice|isbn|date|version|commit|sha|md5|uuid"
@@ -41,6 +38,25 @@ ISSUED = (
     r"^glpat-[A-Za-z0-9_-]{20}$",
 )
 
+# A run of token characters with a digit in it or of an issuer's form, not cut out of a longer one.
+_TOKEN = r"[A-Za-z0-9+/_\-]"
+CANDIDATE = rf"(?<!{_TOKEN})(?:(?=[A-Za-z+/_\-]*[0-9])|(?=(?:{'|'.join(x[1:-1] for x in ISSUED)})(?!{_TOKEN}))){_TOKEN}{{{LEAST_LENGTH},}}"
+
+# Whatever is assigned to a name for secrets or quoted after one, and the password of an address: in quotes all up to the closing
+# one, otherwise all up to a space, a quote that closes, or the next assignment. For Java, whose lookbehinds may vary in length; the
+# short one in front is cheap and holds nearly nowhere.
+_NAME = rf"(?i:{SECRET_WORDS})[A-Za-z0-9_\-]{{0,24}}"
+_ASSIGNED = (
+    r"(?<=[=:>\s\"'`])(?<=[=:]>?\s{0,20}[\"'`]?|\s[\"'`])"
+    rf"(?<={_NAME}[\"'`\])]{{0,2}}\s{{0,20}}[:=]{{1,2}}>?\s{{0,20}}[\"'`]?|{_NAME}\s{{1,20}}[\"'`])"
+)
+_VALUE = (
+    r"(?:(?<=\")[^\"\n]+(?=\")|(?<=')[^'\n]+(?=')|(?<=`)[^`\n]+(?=`)"
+    r"|(?![\"'`=:>])(?:(?![,;&]\s{0,4}[\w.\-]{1,40}\s{0,4}[=:]|[\"'`](?:[\s,;)}\]]|$))\S)+)"
+)
+_ADDRESS = r"(?<=:)(?<=://[^\s:/@]{0,64}:)[^\s/\"']+(?=@)"
+_CANDIDATES = f"{_ASSIGNED}{_VALUE}|{_ADDRESS}|{CANDIDATE}"
+
 FEATURES = (
     "length", "digits", "upper", "lower", "signs", "changes", "entropy", "distinct", "hex", "covered",
     "assigned", "quoted", "named", "harmless", "letters_before", "path_depth", "path_harmless",
@@ -50,12 +66,13 @@ FEATURES = (
 def candidates(docs: DataFrame, path: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, place, path, value, before, after`` of every candidate; ``place`` counts those of a text.
 
-    The text is cut at its candidates, so that the work is in proportion to its length however many there are. Context
-    reaches to the next candidate at most.
+    Candidates are runs of token characters with a digit, the forms of issuers, and whatever is assigned to a name for secrets, quoted
+    after one, or the password of an address, of any length and characters. The text is cut at its candidates, so that the work is in proportion
+    to its length however many there are. Context reaches to the next candidate at most.
     """
     text = text_of(text_col)
     rows = docs.select(col(id_col).cast("long").alias("id"), F.coalesce(path.cast("string"), F.lit("")).alias("path"), text.alias("text"))
-    rows = rows.select("id", "path", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("values"), F.split("text", CANDIDATE).alias("between"))
+    rows = rows.select("id", "path", F.regexp_extract_all("text", F.lit(_CANDIDATES), F.lit(0)).alias("values"), F.split("text", _CANDIDATES).alias("between"))
     rows = rows.filter(F.size("values") > 0)
     around = F.transform(
         F.sequence(F.lit(0), F.size("values") - 1),
@@ -107,11 +124,11 @@ def with_features(found: DataFrame, *keep: str) -> DataFrame:
 def rule_label(value: Column, before: Column) -> Column:
     """Label of a finding by strict rules, null where they do not decide: for training where nobody has labelled.
 
-    A secret has an issuer's form, or letters and digits assigned to a name for secrets. Digits alone, and
+    A secret has an issuer's form, or letters and digits, or signs that prose has not, assigned to a name for secrets. Digits alone, and
     what has a harmless word right before it, is none.
     """
     issued = value.rlike("|".join(ISSUED))
-    assigned = F.lower(before).rlike(f"({SECRET_WORDS})[\"']?\\s*[=:]\\s*[\"']?$") & value.rlike("[0-9]") & (F.length(value) >= 12)
+    assigned = F.lower(before).rlike(f"({SECRET_WORDS})[\"']?\\s*[=:]\\s*[\"']?$") & value.rlike(r"^\S*([0-9]|[^\w\s.,;:/()'\"-])\S*$") & (F.length(value) >= 12)
     harmless = value.rlike(r"^[0-9+/_\-]+$") | F.lower(before).rlike(f"(^|[^a-z])({HARMLESS_WORDS})\\W*$")
     return F.when(issued | assigned, 1).when(harmless, 0)
 

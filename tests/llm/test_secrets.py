@@ -96,3 +96,36 @@ def test_rules(spark):
 def test_no_python_on_the_way(spark):
     plan = scan_secrets(frame_of(spark, corpus(40)[0]), F.col("path"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_values_without_digits_or_with_signs_are_candidates(spark):
+    key = "AKIA" + "ABCDEFGHIJKLMNOP"
+    rows = [
+        (1, f"the key {key} is here", [key]),
+        (2, 'password = "correct horse, battery!" end', ["correct horse, battery!"]),
+        (3, "pwd=Tr@ub.dor#x%$! end", ["Tr@ub.dor#x%$!"]),
+        (4, "Server=db;Password=p@ss.word!;Timeout=9", ["p@ss.word!"]),
+        (5, "postgres://app:s!cr@t@host/db", ["s!cr@t"]),
+        (6, "{'db2_password': 'ab.c', \"token\" : \"d!\", 'x': 'y'}", ["db2_password", "ab.c", "d!"]),
+        (7, "the password 'open sesame' opens", ["open sesame"]),
+        (8, "api_key => qwertz!uiop\nnext", ["qwertz!uiop"]),
+        (9, f"x{key} and nothing = here: a word", []),
+        (10, "secret: " + "#" * 60_000, ["#" * 60_000]),
+        (11, "password= 'it\\n", ["'it\\n"]),
+    ]
+    got = candidates(frame_of(spark, [(i, t, "p") for i, t, _ in rows]), F.col("path")).orderBy("id", "place").collect()
+    found = {}
+    for r in got:
+        found.setdefault(r.id, []).append(r.value)
+    assert found == {i: want for i, _, want in rows if want and i != 11} | {11: found.get(11)}
+
+
+def test_keys_of_any_ending_and_passwords_of_any_characters_are_judged(spark):
+    rows, truth = corpus()
+    rng = random.Random(5)
+    rows = [(i, t.replace(t[t.index("AKIA") : t.index("AKIA") + 20], "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(16))) if "AKIA" in t else t, p) for i, t, p in rows]
+    rows += [(1000 + k, 'some words password = "' + "".join(rng.choice("abcdefgh!@#$%.") for _ in range(16)) + '" more', "p/1") for k in range(40)]
+    truth |= {1000 + k: 1 for k in range(40)}
+    got = scan_secrets(frame_of(spark, rows), F.col("path")).collect()
+    assert len({r.doc_id for r in got}) == len(rows)
+    assert sum(r.is_secret == bool(truth[r.doc_id]) for r in got) / len(got) > 0.97
