@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from .common import id_and_text, map_texts, without_ids
 
 ERROR_RATE = 0.05  # edits allowed, as a share of an item's normalised length
-LEAST_LENGTH = 40  # normalised characters; shorter items are not searched for
+LEAST_LENGTH = 40  # normalised characters; shorter items are searched for without errors, as whole words
 BLOCK_CHARS = 8_000_000  # benchmark text in one automaton
 
 _OTHER = re.compile(r"[\W_]+")
+# Scripts written without spaces (Thai to Myanmar, Khmer, kana and Han): a word may begin or end anywhere.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u0f00-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def normalised(text: str) -> str:
@@ -34,6 +36,13 @@ def pieces(text: str, errors: int) -> list[tuple[int, str]]:
     return [(a, text[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def at_boundary(text: str, at: int) -> bool:
+    """Whether a word may begin or end at this place of a normalised text."""
+    if at <= 0 or at >= len(text) or " " in text[at - 1 : at + 1]:
+        return True
+    return bool(_UNSPACED.search(text[at - 1 : at + 1]))
+
+
 def myers(pattern_bits: dict[str, int], length: int, text: str) -> tuple[int, int]:
     """Least edit distance of the pattern to any substring of ``text``, and where the first such ends.
 
@@ -72,6 +81,7 @@ class Item:
     item_id: int
     text: str
     errors: int
+    exact: bool = False  # whole words only
 
 
 class PassageFinder:
@@ -98,6 +108,9 @@ class PassageFinder:
             begin = end + 1 - length
             for k, at in where:
                 item = self.items[k]
+                # The first hit of an exact item is its match.
+                if item.exact and (k in found or not (at_boundary(text, begin) and at_boundary(text, end + 1))):
+                    continue
                 low = max(0, begin - at - item.errors)
                 high = min(len(text), begin - at + len(item.text) + item.errors)
                 spans = found.setdefault(k, [])
@@ -134,12 +147,13 @@ def _item_blocks(benchmark: DataFrame, item_id: str, text_col: str, rate: float,
     block, size = [], 0
     for row in rows.toLocalIterator():
         text = normalised(row.text)
-        if len(text) < least:
+        if not text:
             continue
         if block and size + len(text) > BLOCK_CHARS:
             yield tuple(block)
             block, size = [], 0
-        block.append(Item(row.id, text, int(len(text) * rate)))
+        exact = len(text) < least
+        block.append(Item(row.id, text, 0 if exact else int(len(text) * rate), exact))
         size += len(text)
     if block:
         yield tuple(block)
@@ -160,7 +174,8 @@ def find_passages(
     Texts are compared as lower-case words. An item matches where some part of the document is within
     ``rate`` times its length in edits. The benchmark is a query set: it is searched for in blocks of
     bounded size, each in one pass over the documents without a shuffle. ``errors`` and ``end`` (in the normalised text) are those of
-    the best match. Items shorter than ``least_length``, null or empty items and documents are never found; repeated
+    the best match. Items shorter than ``least_length`` match only exactly and as whole words; in scripts without spaces words
+    may begin and end anywhere. Null or empty items and documents are never found; repeated
     rows on either side give their pair once; rows without an id on either side take no part.
     """
     schema = "doc_id long, item_id long, errors int, end long"

@@ -93,3 +93,16 @@ def test_empty_tables(spark):
     assert find_passages(none, items).count() == 0
     found = find_passages(spark.createDataFrame([(1, "x")], "doc_id long, text string"), items.limit(0))
     assert found.columns == ["doc_id", "item_id", "errors", "end"] and found.count() == 0
+
+
+def test_short_items_are_found_exactly_as_whole_words(spark):
+    items = [(1, "What is 2 + 2?"), (2, "法国的首都是哪里？"), (3, "대한민국의 수도는 어디인가"), (4, "Who?"), (5, " ?! "), (6, "ไทยแลนด์")]
+    docs = [
+        (1, "He asked: what is 2+2? Four."), (2, "somewhat is 2 2"), (3, "what is 2 22, and what is 2 2"), (4, "what is 3 2"), (5, "请问法国的首都是哪里呢"),
+        (6, "문제: 대한민국의 수도는 어디인가?"), (7, "대한민국의 수도는 어디인가요"), (8, "WHO, whom"), (9, "whom"), (10, "?!"), (11, "รักไทยแลนด์มาก"), (12, "法国的首都"),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.errors, r.end) for r in find_passages(frame, benchmark).collect()}
+    assert got == {(1, 1): (0, 20), (3, 1): (0, 28), (5, 2): (0, 10), (6, 3): (0, 17), (8, 4): (0, 3), (11, 6): (0, 10)}
+    assert sorted(r.doc_id for r in without_passages(frame, benchmark).collect()) == [2, 4, 7, 9, 10, 12]
