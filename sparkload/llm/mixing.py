@@ -11,11 +11,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, stored, text_of, unpacked
+from .common import BROADCAST_ROWS, col, stored, text_of, unpacked
 
-TRAINING_ROWS = 1_000  # expected number of sampled rows of each domain
+TRAINING_ROWS = 1_000  # expected number of sampled rows of each domain at most
+SAMPLE_ROWS = 64_000  # expected number of sampled rows of all domains, unless there are more domains
 FEATURES = 1_024  # hashed pairs of bytes
-MAX_DOMAINS = 64
+ROWS_AT_ONCE = 8_192  # of the sample in a gradient step
 STEPS = 60
 
 
@@ -48,19 +49,21 @@ def fit_domain_model(
 ) -> DomainModel:
     """Fitted on a bounded sample of a labelled table of ids and domains: some ``rows`` documents of each domain.
 
-    Domains are at most ``MAX_DOMAINS``. An id with several domains counts with the smallest name; nulls are left out.
-    Without any labelled document there is one domain named ``""``, and every document is in it.
+    Any number of domains; where they are more than ``SAMPLE_ROWS / rows``, each has an equal part of ``SAMPLE_ROWS`` and one document at
+    least. Memory and work of the fit grow with the sample and the domains. An id with several domains counts with the smallest name; nulls
+    are left out. Without any labelled document there is one domain named ``""``, and every document is in it.
     """
     votes = labelled.select(col(id_col).cast("long").alias("id"), col(domain_col).cast("string").alias("domain")).dropna()
     votes = votes.groupBy("id").agg(F.min("domain").alias("domain"))
-    counts = {r.domain: r.n for r in votes.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).orderBy("domain").limit(MAX_DOMAINS + 1).collect()}
-    if len(counts) > MAX_DOMAINS:
-        raise ValueError(f"more than {MAX_DOMAINS} domains")
     draw = F.pmod(F.xxhash64(F.lit("mix"), "id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    share = F.lit(0.0)
-    for domain, n in counts.items():
-        share = F.when(F.col("domain") == domain, F.lit(rows / n)).otherwise(share)
-    chosen = stored(votes.filter(draw < share), "mixing-ids")
+    drawn = votes.withColumn("draw", draw)
+    sizes = stored(drawn.groupBy("domain").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("draw", "id")).alias("least")), "mixing-domains")
+    n_domains = sizes.count()
+    rows = min(rows, max(1.0, SAMPLE_ROWS / max(1, n_domains)))
+    shares = sizes.select("domain", (F.lit(float(rows)) / F.col("n")).alias("share"), F.col("least.id").alias("least"))
+    shares = F.broadcast(shares) if n_domains <= BROADCAST_ROWS else shares
+    chosen = drawn.join(shares, "domain").filter((F.col("draw") < F.col("share")) | (F.col("id") == F.col("least")))
+    chosen = stored(chosen.select("id", "domain"), "mixing-ids")
     texts = docs.select(col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).join(F.broadcast(chosen), "id")
 
     @F.pandas_udf("binary")
@@ -73,24 +76,34 @@ def fit_domain_model(
         return DomainModel([""], np.zeros((FEATURES, 1)), np.zeros(1))
     domains = sorted({r.domain for r in got})
     x = np.array([np.frombuffer(zlib.decompress(r.x), np.float32) for r in got], np.float32)
-    y = np.eye(len(domains), dtype=np.float32)[[domains.index(r.domain) for r in got]]
-    return DomainModel(domains, *fit_softmax(x, y))
+    place = {d: k for k, d in enumerate(domains)}
+    return DomainModel(domains, *fit_softmax(x, np.array([place[r.domain] for r in got]), len(domains)))
 
 
-def fit_softmax(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, steps: int = 200) -> tuple[np.ndarray, np.ndarray]:
-    """Accelerated gradient descent on the ridge multinomial log-likelihood; rows weighted so that domains count alike."""
+def fit_softmax(x: np.ndarray, y: np.ndarray, k: int, ridge: float = 1e-4, steps: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """Accelerated gradient descent on the ridge multinomial log-likelihood; rows weighted so that the ``k`` domains ``y`` count alike.
+
+    Gradients are summed over ``ROWS_AT_ONCE`` rows at a time, so that no table of all rows and domains is held.
+    """
     mean = x.mean(axis=0)
     z = x - mean
-    weight = (y / np.maximum(1, y.sum(axis=0))).sum(axis=1, keepdims=True) / y.shape[1]
-    w, b = np.zeros((x.shape[1], y.shape[1]), np.float32), np.zeros(y.shape[1], np.float32)
-    rate = 2.0 / (float((weight * z * z).sum()) + ridge)
+    weight = (1 / np.maximum(1, np.bincount(y, minlength=k)))[y].astype(np.float32)[:, None] / np.float32(k)
+    w, b = np.zeros((x.shape[1], k), np.float32), np.zeros(k, np.float32)
+    parts = [slice(a, a + ROWS_AT_ONCE) for a in range(0, len(x), ROWS_AT_ONCE)]
+    rate = 2.0 / (sum(float((weight[r] * z[r] * z[r]).sum()) for r in parts) + ridge)
     at, at_b, t = w, b, 1.0
     for _ in range(steps):
-        s = z @ at + at_b
-        p = np.exp(s - s.max(axis=1, keepdims=True))
-        p = weight * (p / p.sum(axis=1, keepdims=True) - y)
-        new = at - rate * (z.T @ p + ridge * at)
-        new_b = at_b - 2.0 * p.sum(axis=0)
+        slope, slope_b = np.zeros_like(w), np.zeros_like(b)
+        for r in parts:
+            s = z[r] @ at + at_b
+            p = np.exp(s - s.max(axis=1, keepdims=True))
+            p /= p.sum(axis=1, keepdims=True)
+            p[np.arange(len(p)), y[r]] -= 1
+            p *= weight[r]
+            slope += z[r].T @ p
+            slope_b += p.sum(axis=0)
+        new = at - rate * (slope + ridge * at)
+        new_b = at_b - 2.0 * slope_b
         t, before = (1 + math.sqrt(1 + 4 * t * t)) / 2, t
         at, at_b = new + (before - 1) / t * (new - w), new_b + (before - 1) / t * (new_b - b)
         w, b = new, new_b
@@ -118,17 +131,16 @@ class Rates:
     steps: int = 0
 
     def column(self, p: Column) -> Column:
-        moved = F.lit(0.0)
-        for j, s in enumerate(self.shift):
-            moved = moved + F.lit(s) * p[j]
-        return F.greatest(F.lit(1.0) - moved, F.lit(float(self.least)))
+        moved = F.zip_with(p, F.array(*[F.lit(float(s)) for s in self.shift]), lambda x, s: s * x)
+        return F.greatest(F.lit(1.0) - F.aggregate(moved, F.lit(0.0), lambda a, x: a + x), F.lit(float(self.least)))
 
 
 def domain_totals(members: DataFrame, k: int, rate: Column | None = None) -> list[float]:
-    """Expected tokens of each domain: one aggregation to a row."""
+    """Expected tokens of each domain: one aggregation by its place, summed in every task first."""
     tokens = F.col("n_tokens") * (F.lit(1.0) if rate is None else rate)
-    weighted = members.select("p", tokens.alias("w"))
-    return [r or 0.0 for r in weighted.agg(*[F.sum(F.col("w") * F.col("p")[j]).alias(f"t{j}") for j in range(k)]).first()]
+    weighted = members.select("p", tokens.alias("w")).select("w", F.posexplode("p").alias("j", "x"))
+    found = {r.j: r.t for r in weighted.groupBy("j").agg(F.sum(F.col("w") * F.col("x")).alias("t")).collect()}
+    return [found.get(j) or 0.0 for j in range(k)]
 
 
 def fit_rates(members: DataFrame, targets: list[float], least: float = 0.0, steps: int = STEPS, tolerance: float = 1e-4) -> Rates:

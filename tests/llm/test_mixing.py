@@ -88,3 +88,18 @@ def test_no_labels_and_no_documents(spark):
     assert [(r.domain, r.copies) for r in document_rates(docs, model).collect()] == [("", 1)] * 9
     assert mixed(docs, model).count() == 9 and mixed(docs.limit(0), model).count() == 0
     assert document_rates(docs.limit(0), model).count() == 0
+
+
+def test_any_number_of_domains(spark, monkeypatch):
+    monkeypatch.setattr("sparkload.llm.mixing.SAMPLE_ROWS", 300)
+    monkeypatch.setattr("sparkload.llm.mixing.ROWS_AT_ONCE", 50)
+    names = [chr(97 + k // 26) + chr(97 + k % 26) for k in range(150)]
+    rows = [(i, " ".join([names[i % 150] * 3] * (5 + i % 7)), names[i % 150]) for i in range(900)] + [(5000, "rare words", "misspelt")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_domain_model(docs, docs.selectExpr("doc_id", "lang AS domain"))
+    assert model.domains == sorted({*names, "misspelt"})
+    got = document_rates(docs, model).collect()
+    assert len(got) == len(rows) and min(r.copies for r in got) >= 1
+    truth = {i: d for i, _, d in rows}
+    assert np.mean([r.domain == truth[r.doc_id] for r in got]) > 0.9
+    assert mixed(docs, model).count() == sum(r.copies for r in got)
