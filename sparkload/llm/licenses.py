@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from .common import col, stored, text_of
 
 LEAST_SIMILARITY = 0.6
-FILE_SHARE = 0.25  # a document is a licence file if its best line has this share of its words
+FILE_SHARE = 0.25  # a document is a licence file if its best lines have this share of its words, or by its name
+BLOCK_LINES = 3  # neighbouring lines that are compared together: a notice may be wrapped
 
 # How licences are named or granted in file headers and licence files.
 TEMPLATES = (
@@ -44,6 +45,8 @@ TEMPLATES = (
 # A line without any of these words states no licence.
 MARKERS = ("licen[cs]e", "licen[cs]ed", "licensing", "spdx", "copyright", "permission", "unencumbered", "cc0", "copyleft")
 
+# How files that hold a licence are named.
+_FILE_NAME = r"(?i)(^|/)((mit|apache|bsd|l?gpl|mpl)[-_.]?)?(un)?(licen[cs]es?|copying)([-_.][^/]*)?$"
 _MARKED = r"(?i)(^|[^a-z0-9])(" + "|".join(MARKERS) + r")($|[^a-z0-9])"
 _SPLIT = r"[^a-z0-9]+"
 
@@ -126,16 +129,23 @@ def line_similarity(line: Column, weights: dict[str, float], unknown: float, tem
 def own_licences(docs: DataFrame, path: Column, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES) -> DataFrame:
     """``id, directory, licence, similarity, is_file`` for every row; the licence is null below ``LEAST_SIMILARITY``.
 
-    All lines of the whole text count. Of a document's lines the most similar decides.
+    All lines of the whole text count, alone and with up to ``BLOCK_LINES - 1`` that follow. The most similar decides.
+    A document with a licence is a licence file if it is named like one or if these lines have ``FILE_SHARE`` of its words.
     """
     weights, unknown = term_weights(docs, vocabulary(templates), text_col)
     text = text_of(text_col)
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(_MARKED))
-    best = F.array_max(F.transform(lines, lambda x: line_similarity(x, weights, unknown, templates)))
+
+    def blocks(lines: Column) -> Column:
+        at = F.sequence(F.lit(1), F.size(lines))
+        sizes = [F.transform(at, lambda i, n=n: F.array_join(F.slice(lines, i, F.lit(n)), " ")) for n in range(1, BLOCK_LINES + 1)]
+        return F.filter(F.array_distinct(F.concat(*sizes)), lambda x: x.rlike(_MARKED))
+
+    found = F.transform(F.array(F.split(text, "\n")), blocks)[0]
+    best = F.array_max(F.transform(found, lambda x: line_similarity(x, weights, unknown, templates)))
     # Texts without a marked word, nearly all, are not split into lines.
     best = F.when(text.rlike(_MARKED), best)
     full = F.coalesce(path.cast("string"), F.lit(""))
-    rows = docs.select(col(id_col).cast("long").alias("id"), F.regexp_replace(full, "/?[^/]*$", "").alias("directory"), best.alias("b"), text.alias("text"))
+    rows = docs.select(col(id_col).cast("long").alias("id"), F.regexp_replace(full, "/?[^/]*$", "").alias("directory"), best.alias("b"), text.alias("text"), full.rlike(_FILE_NAME).alias("named"))
     sure = F.col("b.similarity") >= LEAST_SIMILARITY
     share = F.when(sure, F.col("b.words") / F.size(F.filter(F.split(F.lower("text"), _SPLIT), lambda t: t != "")))
     return rows.select(
@@ -143,7 +153,7 @@ def own_licences(docs: DataFrame, path: Column, id_col: str = "doc_id", text_col
         "directory",
         F.when(sure, F.col("b.licence")).alias("licence"),
         F.when(sure, F.col("b.similarity")).alias("similarity"),
-        F.coalesce(share >= FILE_SHARE, F.lit(False)).alias("is_file"),
+        F.coalesce(sure & (F.col("named") | (share >= FILE_SHARE)), F.lit(False)).alias("is_file"),
     )
 
 
