@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,7 +13,7 @@ from ..functions.text import quote
 from ..operators.skew import stored
 from ..session import ship_package
 
-__all__ = ["col", "id_and_text", "map_texts", "packed", "query_partitions", "stored", "text_of", "unpacked", "with_ids", "without_ids"]
+__all__ = ["col", "held", "id_and_text", "map_texts", "packed", "query_partitions", "release", "stored", "text_of", "unpacked", "with_ids", "without_ids"]
 
 
 def col(name: str) -> Column:
@@ -75,3 +76,30 @@ def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFram
     """Rows whose id is not in the one column of ``ids``, rows without an id among them."""
     found = _sized(ids)
     return docs.join(found, docs[quote(id_col)] == found["_wanted"], "left_anti")
+
+
+_HELD: dict[tuple, object] = {}
+
+
+def held(kind: str, key, make):
+    """One large helper at a time in a Python worker: asking for another kind or key lets go of the one before.
+
+    Workers outlive the stages that they serve; without this each would end up holding the caches of all operators.
+    """
+    if (kind, key) not in _HELD:
+        release()
+        _HELD[kind, key] = make()
+    return _HELD[kind, key]
+
+
+def release() -> None:
+    """Let go of the helper held and give the memory back to the system."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()
+    try:
+        import ctypes
+
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

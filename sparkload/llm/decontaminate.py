@@ -5,13 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, map_texts, without_ids
+from .common import held, id_and_text, map_texts, without_ids
 
 ERROR_RATE = 0.05  # edits allowed, as a share of an item's normalised length
 LEAST_LENGTH = 40  # normalised characters; shorter items are searched for without errors, as whole words
@@ -136,9 +135,8 @@ class PassageFinder:
         return [(self.items[k].item_id, errors, end) for k, (errors, end) in best.items()]
 
 
-@lru_cache(maxsize=2)
 def finder(items: tuple[Item, ...]) -> PassageFinder:
-    return PassageFinder(items)
+    return held("passages", items, lambda: PassageFinder(items))
 
 
 def _item_blocks(benchmark: DataFrame, item_id: str, text_col: str, rate: float, least: int) -> Iterator[tuple[Item, ...]]:

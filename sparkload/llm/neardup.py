@@ -9,14 +9,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, id_and_text, map_texts, stored, with_ids, without_ids
+from .common import col, held, id_and_text, map_texts, stored, with_ids, without_ids
 from .components import connected_components
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 5  # a pair at the threshold shares a band with probability 1 - (1 - 0.8**5)**32 > 0.99999
 ELEMENTS_AT_ONCE, SETS_AT_ONCE = 200_000, 500
-CACHED_WORDS = 500_000
+CACHED_WORDS, CACHED_LENGTH = 300_000, 64
 
 _SPACED = str.maketrans({c: " " for c in string.punctuation})
 _U = np.uint64
@@ -90,15 +90,14 @@ def dart_minhash(elements: np.ndarray, weights: np.ndarray, owner: np.ndarray, n
 
 class _WordHashes(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= CACHED_LENGTH:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[word] = h
         return h
 
 
-_HASHES = _WordHashes()
-
-
 def words_of(text: str) -> list[str]:
     return text.lower().translate(_SPACED).split()
 
@@ -107,7 +106,8 @@ def shingles(words: list[str], width: int = SHINGLE) -> np.ndarray:
     """Hashes of all runs of ``width`` words, sorted; a shorter text is one run."""
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.array([_HASHES[w] for w in words], np.uint64)
+    hashes = held("words", None, _WordHashes)
+    h = np.array([hashes[w] for w in words], np.uint64)
     n = max(1, len(words) - width + 1)
     out = np.full(n, min(len(words), width), np.uint64)
     for k in range(min(width, len(words))):

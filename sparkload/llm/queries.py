@@ -16,6 +16,7 @@ from .spans import remove_repeats
 from .sql import LICENCES, NEAR_DUPLICATES, REPEATS
 from .tokenfiles import read_token_files, write_token_files
 from .tokens import count_tokens
+from .treebpe import encode_documents
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -101,3 +102,9 @@ def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = ann.calibrate(index, asked, NEAREST)
     found = ann.search(index, asked, NEAREST)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query()
+def op12_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of all documents and of their decoding; tests compare with the library."""
+    return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -13,13 +13,9 @@ the magic, so that a reader can seek to any block. All numbers are little-endian
 
 from __future__ import annotations
 
-import os
-import string
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +24,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, query_partitions, stored
+from .common import held, id_and_text, query_partitions, stored
+from .wordbpe import ChunkEncoder
 
 MAGIC = b"PFORIDS1"
 BLOCK = 1024  # a multiple of 64
 PERCENTILE = 90
 FILE_BYTES = 32 << 20  # a task goes on in a new file beyond this
-TEXT_BYTES = 1 << 20  # texts encoded at once
-CACHED_CHUNKS = 400_000
 _HEAD = struct.Struct("<IBHH")
 _TAIL = struct.Struct("<QQQQ8s")
-_PUNCTUATION = "".join(c for c in string.punctuation if c != "'")
 
 
 # --- blocks -------------------------------------------------------------------------------------
@@ -192,99 +186,8 @@ class FileReader:
             yield (None if doc == NO_ID else doc), begin, window[begin - low : end - low]
 
 
-# --- encoding -----------------------------------------------------------------------------------
-
-
-class ChunkEncoder:
-    """Token ids of texts from the tokenizer, which is asked once for each new chunk between spaces.
-
-    Exact for a tokenizer whose tokens never span white space and that drops it; its
-    normaliser and its split pattern then work within a chunk. A chunk of letters and closing
-    punctuation is the letters' ids and the punctuation's, as the split pattern parts them. Words of letters
-    alone are asked for many at a time: each ends with the only token of it that ends a word.
-    """
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}  # what was known before the store was last full
-
-    def _ask(self, chunks: list[str]) -> list[list[int]]:
-        return [found.ids for found in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    def _store(self, words: list[str], others: list[str]) -> None:
-        known = self.known
-        groups = [words[k : k + 256] for k in range(0, len(words), 256)]
-        for group, ids in zip(groups, self._ask([" ".join(g) for g in groups])):
-            found = np.array(ids, "<u4")
-            cuts = 4 * (np.flatnonzero(self.ends_word[found]) + 1)
-            if len(cuts) != len(group):  # the tokenizer sees other letters than Python does
-                others += group
-                continue
-            data, begin = found.tobytes(), 0
-            for word, cut in zip(group, cuts.tolist()):
-                known[word] = data[begin:cut]
-                begin = cut
-        for chunk, ids in zip(others, self._ask(others)):
-            known[chunk] = array("I", ids).tobytes()
-
-    def _learn(self, chunks: set[str]) -> None:
-        """Make all the chunks known; what has not been used since the store was last full is forgotten."""
-        if len(self.known) + len(chunks) > CACHED_CHUNKS:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        words, others, made, asked = [], [], [], set()
-
-        def ask(chunk: str) -> None:
-            if chunk in known or chunk in asked:
-                return
-            if chunk in older:
-                known[chunk] = older[chunk]
-                return
-            asked.add(chunk)
-            (words if chunk.isalpha() and chunk.lower().isalpha() else others).append(chunk)
-
-        for chunk in chunks:
-            letters = chunk.rstrip(_PUNCTUATION)
-            if letters != chunk and chunk not in older and letters.isalpha() and letters.lower().isalpha():
-                closing = chunk[len(letters) :]
-                made.append((chunk, letters, closing))
-                ask(letters)
-                ask(closing)
-            else:
-                ask(chunk)
-        self._store(words, others)
-        for chunk, letters, closing in made:
-            known[chunk] = known[letters] + known[closing]
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        at = 0
-        while at < len(texts):
-            size, group = 0, []
-            while at < len(texts) and (not group or size + len(texts[at]) <= TEXT_BYTES):
-                group.append(texts[at].replace("\n", " ").split(" "))
-                size += len(texts[at])
-                at += 1
-            chunks = set().union(*group)
-            if len(self.known) + len(chunks) > CACHED_CHUNKS:
-                self._learn(chunks)  # may forget, so all are named
-            elif new := chunks.difference(self.known):
-                self._learn(new)
-            known = self.known
-            for parts in group:
-                yield b"".join([known[c] for c in parts])
-
-
-@lru_cache(maxsize=2)
 def encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+    return held("chunks", path, lambda: ChunkEncoder(path))
 
 
 # --- files --------------------------------------------------------------------------------------

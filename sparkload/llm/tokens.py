@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, map_texts
+from .common import held, id_and_text, map_texts
 
 SPACE = "▁"  # how the vocabulary writes a space
-CACHED_SEGMENTS = 500_000
+CACHED_SEGMENTS = 300_000
+CACHED_LENGTH = 64  # characters; longer segments are counted anew each time
 
 
 class MergeVocabulary:
@@ -84,6 +84,8 @@ class _Counts(dict):
         self.older: dict[str, int] = {}
 
     def __missing__(self, segment: str) -> int:
+        if len(segment) > CACHED_LENGTH:
+            return self.count(segment)
         if len(self) >= CACHED_SEGMENTS:
             self.older = dict(self)
             self.clear()
@@ -127,10 +129,9 @@ class TokenCounter:
         return sum([segments[p.replace(" ", SPACE)] for p in parts])
 
 
-@lru_cache(maxsize=2)
 def counter(model_path: str) -> TokenCounter:
     """One counter a Python worker, with what it has counted so far."""
-    return TokenCounter(model_path)
+    return held("counts", model_path, lambda: TokenCounter(model_path))
 
 
 def count_tokens(

@@ -23,6 +23,7 @@ from sparkload.llm.tokenfiles import (
 from sparkload.session import scratch_dir
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
+ENCODER = ChunkEncoder(PATH)
 LIBRARY = Tokenizer.from_file(PATH)
 
 
@@ -73,6 +74,7 @@ def test_file_gives_any_range():
 
 
 CASES = [
+    "İ, x İ. y", "a , b ), c. d", "x\u0301, y\u0301. z", "one, two. three.\nfour,", "x" * 70 + ", " + "y" * 70,
     "", " ", "the cat", "The CAT, sat.", "it's 12345 o'clock...", "a<|endoftext|>b <|startoftext|>", "\x1c a\x1fb", "a\tb\r\nc d",
     "é é ́x İstanbul, ΟΔΟΣ. ß", "日本語テスト。 ok", "🙂!? x", "word%%% next&&& it's,", "don't. I'll! we'Ve", "'s 's't", "a b", "ab\n\ncd",
 ]
@@ -80,19 +82,19 @@ CASES = [
 
 @pytest.mark.parametrize("text", CASES)
 def test_chunks_equal_whole_text(text):
-    (got,) = ChunkEncoder(PATH).encode([text])
+    (got,) = ENCODER.encode([text])
     assert np.frombuffer(got, "<u4").tolist() == library(text)
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from("abTé \n\t'sl.,!<|>0İΣ́日"), max_size=40))
 def test_chunks_equal_whole_text_on_any_text(text):
-    (got,) = ChunkEncoder(PATH).encode([text])
+    (got,) = ENCODER.encode([text])
     assert np.frombuffer(got, "<u4").tolist() == library(text)
 
 
 def test_store_of_chunks_is_bounded(monkeypatch):
-    monkeypatch.setattr("sparkload.llm.tokenfiles.CACHED_CHUNKS", 5)
+    monkeypatch.setattr("sparkload.llm.wordbpe.CACHE_BYTES", 900)
     encode = ChunkEncoder(PATH)
     texts = ["a b c d, e.", "e f g h a", "x y. z a b c d e f g h i j k"]
     assert [np.frombuffer(x, "<u4").tolist() for x in encode.encode(texts)] == [library(t) for t in texts]

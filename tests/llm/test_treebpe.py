@@ -1,0 +1,96 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from sparkload.llm.treebpe import TreeEncoder, encode_documents
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+TREE = TreeEncoder(PATH)
+
+
+def library(text):
+    return LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def long_texts():
+    rng = random.Random(5)
+    syllables = ["the", "re", "in", "an", "tion", "é", "ß", "日本", "a", "'s", "!?", "12", "x", "zzz"]
+    yield "a" * 5_001
+    yield "".join(rng.choice(syllables) for _ in range(3_000))
+    yield "".join(rng.choice("abc") for _ in range(4_000))
+    yield "日本語" * 900 + "!" * 1_500 + "''" * 400 + "é" * 700
+    yield "<|endoftext|>" * 60 + "tail" * 500 + "<|startoftext|>mid" * 40
+    yield " ".join("".join(rng.choice(syllables) for _ in range(rng.randrange(1, 60))) for _ in range(200))
+    yield "\n \t" * 800 + "word" * 600 + "́" * 300 + "Å" * 200
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 64, 1_000])
+def test_tree_equals_library_on_unsplit_texts(size):
+    texts = list(long_texts()) if size > 2 else [t[:400] for t in long_texts()]
+    for text, ids in zip(texts, TREE.encode(texts, size)):
+        assert ids.tolist() == library(text)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.sampled_from("abthein é日\n'sl.,!<|>0İΣ́"), max_size=60), st.integers(1, 9))
+def test_tree_equals_library_on_any_text(text, size):
+    (ids,) = TREE.encode([text], size)
+    assert ids.tolist() == library(text)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="abthein", min_size=1, max_size=80), st.data())
+def test_any_cut_joins_exactly(word, data):
+    at = data.draw(st.integers(0, len(word)))
+    stream = word + " "
+    left, right = (np.array(TREE.vocabulary.merge(s), "<u4") for s in (stream[:at], stream[at:]))
+    if stream[at:] == " ":
+        return  # an end without its symbol is no cut
+    assert TREE.join(left, right).tolist() == library(word)
+
+
+def test_windows_grow():
+    """A run of one letter pairs up from its first: a cut at an odd place shifts every token behind it."""
+    asked = []
+    merge = TREE.vocabulary.merge
+    TREE.vocabulary.merge = lambda s: asked.append(len(s)) or merge(s)
+    try:
+        (ids,) = TREE.encode(["a" * 3_001], 1_501)
+    finally:
+        del TREE.vocabulary.merge
+    assert ids.tolist() == library("a" * 3_001) and max(asked) > 30
+
+
+def test_decoding():
+    for text in ["Hello, it's <|endoftext|> naïve 日本", "", "x" * 300]:
+        ids = library(text)
+        assert TREE.decode(np.array(ids, "<u4")) == LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+def test_documents_equal_library(spark):
+    rng = random.Random(1)
+    words = ["the", "cat,", "sat.", "naïve", "日本語", "don't", "<|endoftext|>", "\n", "a" * 90]
+    texts = [None, "", " ", "\n\n", *long_texts(), *[" ".join(rng.choices(words, k=n)) for n in (3, 50, 900, 2_500)]]
+    rows = [(k, t, "clash") for k, t in enumerate(texts)] + [(None, "no id", "x"), (5, "repeated", "y"), (5, "repeated", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(3)
+    found = encode_documents(docs, PATH, leaf=100, piece=1_500)  # the longer ones go through pieces and levels
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+
+    def want(i, text):
+        ids = library(text or "")
+        return i, len(ids), sha(" ".join(map(str, ids))), sha(LIBRARY.decode(ids, skip_special_tokens=False))
+
+    assert found.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted((want(i, t) for i, t, _ in rows), key=str)
+
+
+def test_empty_table(spark):
+    found = encode_documents(spark.createDataFrame([], "doc_id long, text string"), PATH)
+    assert found.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and found.count() == 0
