@@ -17,6 +17,7 @@ from .sql import LICENCES, NEAR_DUPLICATES, REPEATS
 from .tokenfiles import read_token_files, write_token_files
 from .tokens import count_tokens
 from .treebpe import encode_documents
+from .whitening import whitened_embeddings
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -108,3 +109,9 @@ def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of all documents and of their decoding; tests compare with the library."""
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of all embeddings; tests compare with a local computation."""
+    return whitened_embeddings(table(spark, sf_dir, "embeddings"))
