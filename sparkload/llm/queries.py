@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from . import ann, licenses, mixing, quality
+from .conversations import damaged, repair_report
 from .decontaminate import find_passages
 from .neardup import near_duplicate_classes
 from .registry import ORACLES, QUERIES, query, table
@@ -105,6 +106,13 @@ def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+@query()
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every damaged conversation; tests compare with brute force."""
+    rows = table(spark, sf_dir, "conversations")
+    return repair_report(damaged(rows), rows)
+
+
 @query()
 def op12_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of all documents and of their decoding; tests compare with the library."""
