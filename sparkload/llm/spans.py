@@ -4,61 +4,132 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, map_texts
+from .common import held, id_and_text, map_texts, stored
 
-RUN = 3  # consecutive sentences
-LEAST_WORDS = 10  # of a run: shorter ones repeat by chance
+RUN = 3  # consecutive parts, at least
+LEAST_WORDS = 25  # of a run, at least: shorter ones repeat by chance
+LONGEST_PART = 10  # words; a longer part is cut
+WINDOW = 8  # neighbouring words of a longer part, behind one of which it is cut
 ROWS_AT_ONCE = 200_000
+CACHED_WORDS, CACHED_LENGTH = 300_000, 64
+
+# Marks that end a sentence or a part of one, in many scripts; spaces that may follow; scripts without
+# spaces between words, as ranges.
+ENDS = ".!?,;:…\n。！？，、；：．｡､؟،؛۔।॥።։"
+SPACES = " \t\r\n\f\v　"
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
 
 # A sentence, or its part up to a comma, semicolon or colon: a passage pasted into the middle of a sentence
 # then shares all its parts but the outermost with where it came from.
-_SENTENCE = re.compile(r"[^.!?,;:\n]*[.!?,;:\n]+\s*|[^.!?,;:\n]+")
-_WORDS = re.compile(r"[^\W_]+")
-
-
-def sentences(text: str) -> list[str]:
-    """The sentences of a text with what parts them; joined they are the text again."""
-    return _SENTENCE.findall(text)
+_SENTENCE = re.compile(f"[^{ENDS}]*[{ENDS}]+[{SPACES}]*|[^{ENDS}]+")
+_UNSPACED = "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in UNSPACED) + "]"
+_HAS_UNSPACED = re.compile(_UNSPACED)
+_WORD = r"[^\W_]+"
+_ANY_WORD = f"{_UNSPACED}|(?:(?!{_UNSPACED})[^\\W_])+"
+_WORDS = {False: re.compile(_WORD), True: re.compile(_ANY_WORD)}
+_TOKENS = {k: re.compile(rf"[\W_]*(?:{w})(?:[\W_]+\Z)?") for k, w in ((False, _WORD), (True, _ANY_WORD))}
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+class _WordHashes(dict):
+    def __missing__(self, word: str) -> int:
+        h = int.from_bytes(md5(word.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()[:8], "big")
+        if len(word) <= CACHED_LENGTH:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[word] = h
+        return h
+
+
+def _cuts(hashes: list[int]) -> list[int]:
+    """Behind which words a long part is cut: in each window, the last of the words with the least hash.
+
+    The choice depends on the words of the window alone, so a passage is cut alike wherever it stands.
+    """
+    found = set()
+    for at in range(len(hashes) - WINDOW + 1):
+        window = hashes[at : at + WINDOW]
+        found.add(at + WINDOW - window[::-1].index(min(window)))
+    return sorted(found - {len(hashes)})
 
 
-def run_hashes(parts: list[str], run: int = RUN, least_words: int = LEAST_WORDS) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """The sentences that hold words; hash and first such sentence of every run that has enough words.
+def parts_of(text: str) -> tuple[list[str], list[list[int]]]:
+    """The parts of a text with what follows them, joined they are the text again; and the hashes of each one's words.
 
-    Case and punctuation do not count, and sentences without words do not break a run.
+    Parts end behind ``ENDS``; one of more than ``LONGEST_PART`` words is cut further. Where a script has no
+    spaces, each character is a word. Case does not count.
     """
-    words = [_WORDS.findall(p.lower()) for p in parts]
-    holding = [i for i, w in enumerate(words) if w]
-    n = len(holding) - run + 1
-    if n < 1:
+    hashes_of = held("span words", None, _WordHashes)
+    unspaced = _HAS_UNSPACED.search(text) is not None
+    find = _WORDS[unspaced].findall
+    texts, hashes = [], []
+    for part in _SENTENCE.findall(text):
+        words = find(part)
+        if not words:
+            texts.append(part)
+            hashes.append([])
+            continue
+        h = [hashes_of[w] for w in " ".join(words).lower().split(" ")]
+        if len(h) <= LONGEST_PART:
+            texts.append(part)
+            hashes.append(h)
+            continue
+        tokens, begin = _TOKENS[unspaced].findall(part), 0
+        for end in (*_cuts(h), len(h)):
+            texts.append("".join(tokens[begin:end]))
+            hashes.append(h[begin:end])
+            begin = end
+    return texts, hashes
+
+
+def run_hashes(hashes: list[list[int]], run: int = RUN, least_words: int = LEAST_WORDS) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """The parts that hold words; hash and last such part of the run from each of them on.
+
+    A run goes on until it has ``run`` parts and ``least_words`` words; parts without words do not break it. The hash
+    is that of its words in order. Runs that reach the end of the text before have none, so there are fewer
+    runs than parts.
+    """
+    holding = [i for i, h in enumerate(hashes) if h]
+    ends = np.cumsum([0] + [len(hashes[i]) for i in holding])
+    n = len(holding)
+    last = np.maximum(np.searchsorted(ends, ends[:-1] + least_words) - 1, np.arange(n) + run - 1)
+    n_runs = int((last < n).sum())  # both grow with the start
+    if not n_runs:
         return holding, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    hashes = np.array([xxhash.xxh3_64_intdigest(" ".join(words[i])) for i in holding], np.uint64)
-    sizes = np.cumsum([0] + [len(words[i]) for i in holding])
-    out = np.zeros(n, np.uint64)
-    for k in range(run):
-        out = (out ^ hashes[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-    long_enough = np.flatnonzero(sizes[run:] - sizes[:n] >= least_words)
-    return holding, out[long_enough].view(np.int64), long_enough
+    words = np.array([h for i in holding for h in hashes[i]], np.uint64)
+    power = np.ones(len(words) + 1, np.uint64)
+    power[1:] = _BASE
+    inverse = np.ones(len(words) + 1, np.uint64)
+    inverse[1:] = _INVERSE
+    power, inverse = np.multiply.accumulate(power), np.multiply.accumulate(inverse)
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * power[:-1], out=sums[1:])
+    last = last[:n_runs]
+    begin, end = ends[:n_runs], ends[last + 1]
+    out = (sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64)
+    out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return holding, (out ^ (out >> np.uint64(32))).view(np.int64), last
 
 
 def without_runs(text: str, known: set[int], run: int = RUN, least_words: int = LEAST_WORDS) -> tuple[str, int, int]:
-    """The text without sentences in a known run or in a later copy of one of its own; how many it had and lost."""
-    parts = sentences(text)
-    holding, hashes, places = run_hashes(parts, run, least_words)
+    """The text without parts in a known run or in a later copy of one of its own; how many it had and lost."""
+    parts, words = parts_of(text)
+    holding, hashes, last = run_hashes(words, run, least_words)
     gone: set[int] = set()
     seen: set[int] = set()
-    for h, at in zip(hashes.tolist(), places.tolist()):
+    for at, (h, end) in enumerate(zip(hashes.tolist(), last.tolist())):
         if h in known or h in seen:
-            gone.update(holding[at : at + run])
+            gone.update(holding[at : end + 1])
         seen.add(h)
-    kept = text if not gone else "".join(p for i, p in enumerate(parts) if i not in gone)
+    kept = text if not gone else "".join([p for i, p in enumerate(parts) if i not in gone])
     return kept, len(holding), len(gone)
 
 
@@ -72,7 +143,7 @@ def runs_of(texts: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS) ->
         for batch in batches:
             found, n = [], 0
             for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                hashes = np.unique(run_hashes(sentences(text), run, least_words)[1])
+                hashes = np.unique(run_hashes(parts_of(text)[1], run, least_words)[1])
                 found.append((hashes, np.full(len(hashes), doc, np.int64)))
                 n += len(hashes)
                 if n >= ROWS_AT_ONCE:
@@ -87,19 +158,21 @@ def runs_of(texts: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS) ->
 def remove_repeats(
     docs: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id, text, n_sentences, n_removed``: every document without its repeated sentences.
-
-    A run of ``run`` consecutive sentences (see ``sentences``) is repeated in every document but the one of
-    smallest id that has it, and after its first place within a document. All sentences of repeated runs go.
-    Runs are counted before the shuffle that finds the repeated ones, and these are joined back to all runs: a run
-    in very many documents is a skewed partition, which adaptive execution splits. Texts are shuffled once,
-    to meet the hashes of their repeated runs.
-
-    A null or empty text has no sentences and stays empty. Rows without an id lose only what repeats within them. Rows
-    that repeat an id are one document as far as other ids go; what they share among each other stays.
+    """``doc_id, text, n_sentences, n_removed``: every document without its repeated parts (see ``parts_of``).
+
+    A run (see ``run_hashes``) is repeated in every document but the one of smallest id that has it, and after its first
+    place within a document. All parts of repeated runs go. Any passage of some 50 words holds whole runs, in
+    whatever it stands: parts have ``LONGEST_PART`` words or are cut where the words themselves say.
+    Runs are found once and stored. They are counted before the shuffle that finds the repeated ones, and these are
+    joined back to all runs: a run in very many documents is a skewed partition, which adaptive execution splits. Texts
+    are shuffled once, to meet the hashes of their repeated runs.
+
+    A null or empty text has no parts and stays empty; a text of fewer than ``least_words`` words has no run and stays as it
+    is. Rows without an id lose only what repeats within them. Rows that repeat an id are one document as far as
+    other ids go; what they share among each other stays.
     """
     texts = id_and_text(docs, id_col, text_col)
-    runs = runs_of(texts.filter("id is not null"), run, least_words)
+    runs = stored(runs_of(texts.filter("id is not null"), run, least_words), "runs")
     ends = runs.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     repeated = ends.filter("first < last").select("hash", "first")
     later = runs.join(repeated, "hash").filter("id > first")

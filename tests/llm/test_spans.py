@@ -1,27 +1,48 @@
 import random
 import re
+from hashlib import md5
 
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sparkload.llm.spans import remove_repeats, sentences
+from sparkload.llm.spans import ENDS, parts_of, remove_repeats, run_hashes
 
 
-def brute_force(rows, run=3, least=10):
-    """Cleaned rows, going through the documents in order of id and keeping the runs seen so far."""
+def split_up(text):
+    """Parts and their words, by other means than the library's."""
+    out = []
+    for part in re.findall(f"[^{ENDS}]*[{ENDS}]+[ \t\r\n\f\v\u3000]*|[^{ENDS}]+", text):
+        spans = [m.span() for m in regex.finditer(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]|(?:(?![\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}])[\p{L}\p{N}])+", part)]
+        words = [part[a:b].lower() for a, b in spans]
+        cuts = set()
+        if len(words) > 10:
+            for at in range(len(words) - 7):
+                cuts.add(min((md5(words[k].encode()).hexdigest()[:16], -k) for k in range(at, at + 8))[1])
+        begin, first = 0, 0
+        for k in sorted(-c for c in cuts if -c < len(words) - 1):
+            out.append((part[begin : spans[k][1]], words[first : k + 1]))
+            begin, first = spans[k][1], k + 1
+        out.append((part[begin:], words[first:]))
+    return out
+
+
+def brute_force(rows, run=3, least=25):
+    """Cleaned rows, from all runs as lists of words."""
     first = {}
     split = {}
     for k, (i, text) in enumerate(rows):
-        parts = sentences(text or "")
-        words = [re.findall(r"[^\W_]+", p.lower()) for p in parts]
-        holding = [n for n, w in enumerate(words) if w]
+        parts = split_up(text or "")
+        holding = [n for n, (_, w) in enumerate(parts) if w]
         runs = []
-        for a in range(len(holding) - run + 1):
-            own = [tuple(words[n]) for n in holding[a : a + run]]
-            if sum(map(len, own)) >= least:
-                runs.append((tuple(own), holding[a : a + run]))
-                if i is not None:
-                    first[tuple(own)] = min(first.get(tuple(own), i), i)
+        for a in range(len(holding)):
+            for b in range(a + run, len(holding) + 1):
+                own = tuple(w for n in holding[a:b] for w in parts[n][1])
+                if len(own) >= least:
+                    runs.append((own, holding[a:b]))
+                    if i is not None:
+                        first[own] = min(first.get(own, i), i)
+                    break
         split[k] = parts, holding, runs
     out = []
     for k, (i, text) in enumerate(rows):
@@ -31,7 +52,7 @@ def brute_force(rows, run=3, least=10):
             if r in seen or (i is not None and first[r] < i):
                 gone.update(places)
             seen.add(r)
-        out.append((i, "".join(p for n, p in enumerate(parts) if n not in gone), len(holding), len(gone)))
+        out.append((i, "".join(p for n, (p, _) in enumerate(parts) if n not in gone), len(holding), len(gone)))
     return out
 
 
@@ -47,6 +68,9 @@ def corpus(seed):
         if i % 10 == 0:
             parts += parts[:6]
         rows.append((i, " ".join(parts)))
+    japanese = "".join(rng.choice("東京日本語人大小中上下ひらがなカタ") for _ in range(70)) + "。"
+    long = " ".join(rng.choice("abcdefghijklmnop") * rng.randrange(1, 4) for _ in range(60))
+    rows += [(70, japanese * 3), (71, "これは" + japanese + "2020年" + japanese), (72, f"before it {long} behind it"), (73, f"x, y z {long}"), (74, "A!! " * 40), (75, "b.\u3000A!!\n" + "A!! " * 30), (76, " ".join(["İstanbul ΟΔΟΣ _x_ ß"] * 20))]
     rows += [(50, None), (51, ""), (52, "..,,!!"), (53, "\n\n"), (7, rows[7][1]), (9, rows[7][1] + passage[0]), (None, passage[0] + " " + passage[0]), (60, "no end " * 9000), (61, passage[0].upper())]
     return rows
 
@@ -59,22 +83,38 @@ def test_rows_equal_brute_force(spark):
         want = brute_force(rows)
         assert sorted(got, key=str) == sorted(want, key=str)
         assert sum(r[3] for r in want) > 30
+        lost = {r[0]: r[3] for r in want}
+        assert lost[70] and lost[71] and lost[73] and lost[74] and lost[75] and not lost[72]
 
 
 def test_passage_in_the_middle_of_a_sentence(spark):
-    passage = "first part of it, the second part of the thing. A third one follows here, and then a fourth; it ends with the fifth of them"
+    passage = "first part of it, the second part of the thing. A third one follows here, and then a fourth; a fifth of them is here too, and it goes on to a sixth and a seventh; some more of it follows, then still more, until all is told"
     docs = spark.createDataFrame([(1, f"Some words before {passage} and after."), (2, f"Others go ahead {passage} with more to say. The end.")], "doc_id long, text string")
     got = {r.doc_id: r.text for r in remove_repeats(docs).collect()}
     assert got[1] == f"Some words before {passage} and after."
     assert "third one" not in got[2] and "Others go ahead" in got[2] and got[2].endswith("The end.")
 
 
+def test_any_passage_of_fifty_words_is_found():
+    """However parts fall: a passage shares a run with its copy in other surroundings."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randrange(1, 6)))
+    for _ in range(400):
+        often = rng.choice([0, 0.03, 0.2, 0.7])
+        make = lambda n: " ".join(word() + ("," if rng.random() < often else "") for _ in range(n))
+        passage = make(51)
+        a, b = (f"{make(rng.randrange(30))} {passage} {make(rng.randrange(30))}" for _ in range(2))
+        runs = [set(run_hashes(parts_of(t)[1])[1].tolist()) for t in (a, b)]
+        assert runs[0] & runs[1]
+
+
 def test_empty_table(spark):
     found = remove_repeats(spark.createDataFrame([], "doc_id long, text string"))
     assert found.columns == ["doc_id", "text", "n_sentences", "n_removed"] and found.count() == 0
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text("ab .,!\n\t", max_size=60))
-def test_sentences_make_up_the_text(text):
-    assert "".join(sentences(text)) == text
+@given(st.text("ab .,!\n\t日。İ", max_size=60))
+def test_parts_make_up_the_text(text):
+    parts, words = parts_of(text)
+    assert "".join(parts) == text and len(parts) == len(words)
