@@ -308,19 +308,35 @@ def cast_table(
     return checked
 
 
+def type_parts(columns_df: DataFrame) -> DataFrame:
+    """A catalog of columns with the ``_base`` type, its own name as ``_fallback`` and the ``_mod`` of ``column_type``."""
+    full = F.col("column_type")
+    base = F.regexp_replace(tf.trim_space(full), r"(?s)(?<=.) (un)?signed.*", "")
+    base = F.lower(tf.trim_space(F.regexp_replace(base, r"(?s)(?<=.)\(.*", "")))
+    fallback = F.regexp_replace(tf.trim_space(full), r"\s*\(.*?\)", "")
+    fallback = F.lower(tf.trim_space(F.regexp_replace(fallback, r"(?s)(?<=.) (un)?signed.*", "")))
+    mod = F.regexp_extract(full, r"(?s)\((.*)\)", 1)
+    return columns_df.select("*", base.alias("_base"), fallback.alias("_fallback"), mod.alias("_mod"))
+
+
+def filled_target() -> Column:
+    """The ``_target`` of a rule with the typemod filled in, or the type's own name without one."""
+    used_mod = F.when(F.col("drop_typemod"), F.lit("")).otherwise(F.col("_mod"))
+    filled = F.when(
+        used_mod == "", F.replace(F.replace(F.col("_target"), F.lit("($mod)"), F.lit("")), F.lit("$mod"), F.lit(""))
+    ).otherwise(F.replace(F.col("_target"), F.lit("$mod"), used_mod))
+    return F.coalesce(filled, F.col("_fallback"))
+
+
 def resolve_casts(columns_df: DataFrame, rules) -> DataFrame:
     """Resolve a whole catalog of columns: adds target_type, drop_typemod, transform.
 
     ``columns_df`` has ``column_type`` (full type text) and ``extra``. The rule list is a
     driver-side object, so the first match becomes one CASE expression over it: no
-    join, no shuffle, whatever the number of catalog rows.
+    join, no shuffle, whatever the number of catalog rows. ``rule_table`` takes rules that are a table.
     """
     full = F.col("column_type")
     extra = F.coalesce(F.col("extra"), F.lit(""))
-    base = F.regexp_replace(tf.trim_space(full), r"(?s)(?<=.) (un)?signed.*", "")
-    base = F.lower(tf.trim_space(F.regexp_replace(base, r"(?s)(?<=.)\(.*", "")))
-    fallback = F.regexp_replace(tf.trim_space(full), r"\s*\(.*?\)", "")
-    fallback = F.lower(tf.trim_space(F.regexp_replace(fallback, r"(?s)(?<=.) (un)?signed.*", "")))
 
     def condition(rule) -> Column:
         tests = [F.col("_base") == rule.source_type.lower()] if rule.source_type else []
@@ -350,22 +366,16 @@ def resolve_casts(columns_df: DataFrame, rules) -> DataFrame:
         # The rule number indexes a constant array; no match gives NULL.
         return F.get(F.array(*[F.lit(v).cast(type_name) for v in values]), F.col("_rule"))
 
-    mod = F.regexp_extract(full, r"(?s)\((.*)\)", 1)
-    with_base = columns_df.select("*", base.alias("_base"), fallback.alias("_fallback"), mod.alias("_mod"))
-    matched = with_base.select("*", number.alias("_rule"))
+    matched = type_parts(columns_df).select("*", number.alias("_rule"))
     picked = matched.select(
         "*",
         pick([r.target for r in rules], "string").alias("_target"),
         F.coalesce(pick([r.drop_typemod for r in rules], "boolean"), F.lit(False)).alias("drop_typemod"),
         pick([r.transform for r in rules], "string").alias("transform"),
     )
-    used_mod = F.when(F.col("drop_typemod"), F.lit("")).otherwise(F.col("_mod"))
-    filled = F.when(
-        used_mod == "", F.replace(F.replace(F.col("_target"), F.lit("($mod)"), F.lit("")), F.lit("$mod"), F.lit(""))
-    ).otherwise(F.replace(F.col("_target"), F.lit("$mod"), used_mod))
     return picked.select(
         *[F.col(quote(c)) for c in columns_df.columns],
-        F.coalesce(filled, F.col("_fallback")).alias("target_type"),
+        filled_target().alias("target_type"),
         "drop_typemod",
         "transform",
     )

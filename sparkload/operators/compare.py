@@ -43,7 +43,7 @@ def fingerprint(df: DataFrame) -> list[Column]:
     return [F.xxhash64(*parts), F.xxhash64(F.lit("second hash"), *parts)]
 
 
-def _both_sides(src: DataFrame, tgt: DataFrame, of) -> DataFrame:
+def both_sides(src: DataFrame, tgt: DataFrame, of) -> DataFrame:
     """``of(side)`` columns of both tables in one frame, with ``_s``/``_t`` as side counters."""
     if src.columns != tgt.columns:
         raise ValueError(f"columns differ: {src.columns} / {tgt.columns}")
@@ -58,7 +58,7 @@ def row_difference(src: DataFrame, tgt: DataFrame) -> DataFrame:
 
     Both directions come from one aggregation, and copies are combined before the shuffle.
     """
-    both = _both_sides(src, tgt, _groupable)
+    both = both_sides(src, tgt, _groupable)
     counted = both.groupBy(*[F.col(quote(c)) for c in src.columns]).agg(F.sum("_s").alias("_s"), F.sum("_t").alias("_t"))
     return counted.filter(F.col("_s") != F.col("_t")).select(
         *[F.col(quote(c)) for c in src.columns],
@@ -83,7 +83,7 @@ def compare_tables(
     def columns(df):
         return [h.alias(f"_h{i}") for i, h in enumerate(fingerprint(df))] if by_fingerprint else _groupable(df)
 
-    both = _both_sides(src, tgt, columns)
+    both = both_sides(src, tgt, columns)
     group = [F.col(quote(c)) for c in both.columns if c not in ("_s", "_t")]
     counted = both.groupBy(*group).agg(F.sum("_s").alias("_s"), F.sum("_t").alias("_t"))
     return _totals(
@@ -94,12 +94,14 @@ def compare_tables(
     )
 
 
-def _compare_by_key(src: DataFrame, tgt: DataFrame, keys: list[str], table: str) -> DataFrame:
+def _keys_of_both(src: DataFrame, tgt: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys with their rows on either side and ``status``: missing, extra, changed, or null where both agree."""
+
     def columns(df):
         hashes = [h.cast("decimal(38,0)").alias(f"_h{i}") for i, h in enumerate(fingerprint(df))]
         return [*[F.col(quote(k)) for k in keys], *hashes]
 
-    both = _both_sides(src, tgt, columns)
+    both = both_sides(src, tgt, columns)
     # The sum of the hashes of a key's rows, source plus and target minus, is zero exactly
     # when both sides hold the same rows (up to a 128-bit collision).
     sign = F.col("_s") - F.col("_t")
@@ -108,15 +110,19 @@ def _compare_by_key(src: DataFrame, tgt: DataFrame, keys: list[str], table: str)
         F.sum("_t").alias("_t"),
         *[F.sum(F.when(sign > 0, F.col(h)).otherwise(-F.col(h))).alias(h) for h in ("_h0", "_h1")],
     )
-    on_both = (F.col("_s") > 0) & (F.col("_t") > 0)
     differs = (F.col("_s") != F.col("_t")) | (F.col("_h0") != 0) | (F.col("_h1") != 0)
-    return _totals(
-        counted,
-        table,
-        missing=F.count_if(F.col("_t") == 0),
-        extra=F.count_if(F.col("_s") == 0),
-        changed=F.count_if(on_both & differs),
-    )
+    status = F.when(F.col("_t") == 0, "missing").when(F.col("_s") == 0, "extra").when(differs, "changed")
+    return counted.withColumn("status", status)
+
+
+def compare_keys(src: DataFrame, tgt: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys that differ, with ``status``."""
+    return _keys_of_both(src, tgt, keys).filter("status IS NOT NULL").select(*[F.col(quote(k)) for k in keys], "status")
+
+
+def _compare_by_key(src: DataFrame, tgt: DataFrame, keys: list[str], table: str) -> DataFrame:
+    counted = _keys_of_both(src, tgt, keys)
+    return _totals(counted, table, **{name: F.count_if(F.col("status") == name) for name in ("missing", "extra", "changed")})
 
 
 def _totals(counted: DataFrame, table: str, **measures) -> DataFrame:
