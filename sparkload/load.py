@@ -8,7 +8,6 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -20,6 +19,7 @@ from .operators.casting import ERRORS
 from .operators.integrity import check_table, sequence_state
 from .operators.rejects import GOOD, OUTCOME, REJECTED, checked_rows, reject_rows
 from .operators.partitioning import PARTITION, route_partition
+from .publishing import current_version, new_version_folder, read_published, read_text_file, switch_to, verify_rows, write_text_file
 from .session import session_conf
 from .sinks import SAVE_MODES, require_same_columns, write_table
 
@@ -49,6 +49,11 @@ class LoadOptions:
     where: str | None = None
     # A handful of open files per task, so that splitting rows by outcome needs no sort.
     open_files: int = 8
+    # Each load is a version of its own: readers keep the one before until this one is whole (see ``publishing``).
+    versioned: bool = False
+    # Rows of a batch sent to a database, and rows of a file at most (0: any number).
+    batch_rows: int = 50_000
+    max_records_per_file: int = 0
 
 
 @dataclass
@@ -74,20 +79,17 @@ class LoadReport:
 
 
 RUN = "_run"
-SCHEMA_FOLDER = "_load_schema"  # readers of the data pass over names with an underscore
+SCHEMA_FILE = "_load_schema.json"  # readers of the data pass over names with an underscore
 
 
 def keep_schema(spark: SparkSession, path: str, schema: StructType) -> None:
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{SCHEMA_FOLDER}")
+    write_text_file(spark, f"{path}/{SCHEMA_FILE}", schema.json())
 
 
 def stored_schema(spark: SparkSession, path: str, fmt: str) -> StructType:
     """The schema kept with a table, else that of its files."""
-    try:
-        kept = spark.read.text(f"{path}/{SCHEMA_FOLDER}").first()
-    except AnalysisException:
-        kept = None
-    return StructType.fromJson(json.loads(kept.value)) if kept else spark.read.format(fmt).load(path).schema
+    kept = read_text_file(spark, f"{path}/{SCHEMA_FILE}")
+    return StructType.fromJson(json.loads(kept)) if kept else spark.read.format(fmt).load(path).schema
 
 
 def table_path(target: str, spec: TableSpec) -> str:
@@ -101,6 +103,9 @@ def load_table(raw: DataFrame, spec: TableSpec, dialect: str, target: str, optio
     folder. Rows, errors and bytes are observed in that same write, right before the
     files, where a repeated task is counted once. Rejects and counts are this load's; after an append, the good
     rows are all that the table holds. The schema is kept beside the data, as a load without rows leaves no file.
+
+    With ``versioned`` all this happens in a fresh folder. Its rows are counted again in the files, and only then
+    does the table's pointer name it: a load that fails, wherever it does, leaves what ``read_loaded`` gives.
     """
     spark = raw.sparkSession
     keys = tuple(spec.primary_key)
@@ -141,9 +146,19 @@ def load_table(raw: DataFrame, spec: TableSpec, dialect: str, target: str, optio
         F.count_if(~is_good).alias("errors"),
         F.sum(F.when(is_good, size)).alias("bytes"),
     )
-    path = table_path(target, spec)
+    root = path = table_path(target, spec)
+    before = None
+    if options.versioned:
+        if options.mode == "append":
+            raise ValueError("a version is a whole table; append does not make one")
+        before, path = current_version(spark, root), new_version_folder(root)
+        if options.mode == "create" and before:
+            raise ValueError(f"{root} has a version already")
     if options.mode == "truncate":
-        kept = stored_schema(spark, path, options.fmt)
+        if before:
+            kept = StructType.fromJson(json.loads(before.schema))
+        else:
+            kept = stored_schema(spark, root, options.fmt)
         fields = {f.name: f.dataType for f in kept.fields}
         require_same_columns(kept.names, measured.columns)
         cast = [F.col(quote(c)).cast(fields[c]).alias(c) if c in spec.column_names else F.col(quote(c)) for c in measured.columns]
@@ -151,10 +166,15 @@ def load_table(raw: DataFrame, spec: TableSpec, dialect: str, target: str, optio
     with session_conf(spark, spark__sql__maxConcurrentOutputFileWriters=str(options.open_files)):
         # Static overwrite: a load without rejects must also remove the rejects of the one before.
         writer = measured.write.mode(SAVE_MODES[options.mode]).option("partitionOverwriteMode", "static")
+        writer = writer.option("maxRecordsPerFile", options.max_records_per_file)
         writer.partitionBy(*layout).format(options.fmt).save(path)
-    if options.mode != "append" or options.schema_only:
-        keep_schema(spark, path, measured.schema)
     counts = seen.get
+    if options.versioned:
+        n = (counts["rows"] or 0) + (counts["errors"] or 0)
+        verify_rows(spark, path, options.fmt, measured.schema, n)
+        switch_to(spark, root, path, n, measured.schema, options.fmt, before)
+    elif options.mode != "append" or options.schema_only:
+        keep_schema(spark, path, measured.schema)
     stored = spark.read.schema(measured.schema).format(options.fmt).load(path)
     good = stored.filter(F.col(OUTCOME) == GOOD).select(*names)
     rejects = reject_rows(stored.filter((F.col(OUTCOME) == REJECTED) & (F.col(RUN) == run)), spec.qualified_name, keys)
@@ -164,6 +184,12 @@ def load_table(raw: DataFrame, spec: TableSpec, dialect: str, target: str, optio
     )
 
 
+def read_loaded(spark: SparkSession, target: str, spec: TableSpec) -> DataFrame:
+    """The good rows of the version of a table that is current."""
+    found = read_published(spark, table_path(target, spec))
+    return found.filter(F.col(OUTCOME) == GOOD).select(*[quote(c) for c in spec.column_names])
+
+
 def load_database(
     spark: SparkSession,
     specs,
@@ -198,9 +224,12 @@ def load_database(
     return report
 
 
-def publish_table(loaded: TableLoad, target: str, mode: str = "create", fmt: str = "table", jdbc: dict | None = None) -> None:
-    """Copy the good rows of a load to a catalog table or, over JDBC, to a database."""
-    write_table(loaded.good, target, mode, fmt, jdbc=jdbc, comment=loaded.spec.comment)
+def publish_table(
+    loaded: TableLoad, target: str, mode: str = "create", fmt: str = "table", jdbc: dict | None = None, options: LoadOptions = LoadOptions()
+) -> None:
+    """Copy the good rows of a load to a catalog table or, over JDBC, to a database, in batches or files of the options' sizes."""
+    sizes = {"batch_rows": options.batch_rows, "max_records_per_file": options.max_records_per_file}
+    write_table(loaded.good, target, mode, fmt, jdbc=jdbc, comment=loaded.spec.comment, **sizes)
 
 
 # --- report --------------------------------------------------------------------------

@@ -7,6 +7,8 @@ as one partial count per task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -141,7 +143,7 @@ def null_violations(df: DataFrame, cols) -> DataFrame:
 
 
 def enum_violations(df: DataFrame, col: str, labels) -> DataFrame:
-    """Values that are no label of the enum, with their number of rows."""
+    """Values that are no label of the enum, with their number of rows; ``labels.unknown_labels`` takes long lists."""
     value = F.col(quote(col))
     return (
         df.filter(value.isNotNull() & ~value.isin(*labels))
@@ -160,36 +162,83 @@ def sequence_state(df: DataFrame, cols) -> DataFrame:
     )
 
 
+SUMMARY = "check string, columns string, n_keys bigint, n_rows bigint"
+
+
+def _key_text(columns) -> Column:
+    """A key of any columns as one text, NULLs and all."""
+    return F.to_json(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(columns)]), {"ignoreNullFields": "false"})
+
+
 def check_table(
     df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None, keys: bool = True
 ) -> DataFrame:
-    """All declared keys, references and not-null columns: (check, columns, n_keys, n_rows).
+    """All declared keys, references, not-null columns and enum labels: (check, columns, n_keys, n_rows).
 
     One row per check, zeros where all is well. A reference to a table that ``parents`` lacks cannot be
     checked: its row says so and has no counts.
+
+    The table is read once: a row becomes one short row for each check that it concerns, and one aggregation by check
+    and key, combined before its only shuffle, serves them all. References then meet the distinct keys of all
+    parents in one anti join.
     """
-    parts = []
+    spark = df.sparkSession
+    names: list[tuple[str, str, bool]] = []  # of each check: kind, columns, whether it can be made
+    entries: list[Column] = []
+    parent_keys: list[DataFrame] = []
 
-    def summary(violations: DataFrame, check: str, columns) -> DataFrame:
-        return violations.agg(
-            F.count(F.lit(1)).alias("n_keys"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows")
-        ).select(F.lit(check).alias("check"), F.lit(",".join(columns)).alias("columns"), "n_keys", "n_rows")
+    def entry(check: str, columns, key: Column, concerns: Column, null: Column, checked: bool = True) -> int:
+        number = len(names)
+        names.append((check, ",".join(columns), checked))
+        entries.append(F.when(concerns, F.struct(F.lit(number).alias("check"), key.alias("key"), null.alias("null"))))
+        return number
 
     for key in spec.keys if keys else ():
-        parts.append(summary(check_key(df, key), "primary key" if key.primary else "unique key", key.columns))
+        cols = list(key.columns)
+        concerns = F.coalesce(F.expr(key.predicate), F.lit(False)) if key.predicate else F.lit(True)
+        if not key.primary:
+            concerns = concerns & ~_any_null(cols)
+        entry("primary key" if key.primary else "unique key", cols, _key_text(_cols(cols)), concerns, _any_null(cols))
+    references: list[int] = []
     for fk in spec.foreign_keys:
+        cols = list(fk.columns)
         if parents and fk.parent in parents:
-            parts.append(summary(fk_orphans(df, parents[fk.parent], fk), "foreign key", fk.columns))
+            full = fk.match.lower() == "full" and len(cols) > 1
+            concerns = ~_all_null(cols) if full else ~_any_null(cols)
+            number = entry("foreign key", cols, _key_text(_cols(cols)), concerns, _any_null(cols))
+            references.append(number)
+            types = [df.schema[c].dataType for c in cols]
+            parent = parents[fk.parent].select(*[F.col(quote(p)).try_cast(t).alias(f"p{i}") for i, (p, t) in enumerate(zip(fk.parent_columns, types))])
+            parent = parent.filter(~_any_null(parent.columns))
+            parent_keys.append(parent.select(F.lit(number).alias("of"), _key_text([F.col(c) for c in parent.columns]).alias("parent")).distinct())
         elif parents is not None:
-            unchecked = (f"foreign key, {fk.parent} not loaded", ",".join(fk.columns), None, None)
-            parts.append(df.sparkSession.createDataFrame([unchecked], "check string, columns string, n_keys bigint, n_rows bigint"))
+            names.append((f"foreign key, {fk.parent} not loaded", ",".join(cols), False))
     required = [c.name for c in spec.columns if not c.nullable]
     if required:
-        nulls = null_violations(df, required).select(F.col("n_nulls").alias("n_rows"))
-        parts.append(summary(nulls, "not null", required))
-    if not parts:
-        return df.sparkSession.createDataFrame([], "check string, columns string, n_keys bigint, n_rows bigint")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        # One entry for each column that is NULL in the row.
+        number = len(names)
+        names.append(("not null", ",".join(required), True))
+        for c in required:
+            entries.append(F.when(F.col(quote(c)).isNull(), F.struct(F.lit(number).alias("check"), F.lit(c).alias("key"), F.lit(True).alias("null"))))
+    for c in spec.columns:
+        if c.labels and c.name in df.columns:
+            value = F.col(quote(c.name)).cast("string")
+            entry("enum", (c.name,), value, value.isNotNull() & ~value.isin(*c.labels), F.lit(True))
+    if not names:
+        return spark.createDataFrame([], SUMMARY)
+    checks = spark.createDataFrame([(i, *n) for i, n in enumerate(names)], "id int, check string, columns string, checked boolean")
+    if not entries:
+        return checks.select("check", "columns", F.lit(None).cast("bigint").alias("n_keys"), F.lit(None).cast("bigint").alias("n_rows"))
+    each = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+    counted = each.groupBy("e.check", "e.key", "e.null").agg(F.count(F.lit(1)).alias("n_rows"))
+    is_reference = F.col("check").isin(*references) if references else F.lit(False)
+    # A key is wrong if it occurs twice or holds a NULL that it must not; the other checks list what is wrong alone.
+    wrong = F.when(is_reference | F.col("null"), F.lit(True)).otherwise(F.col("n_rows") > 1)
+    found = counted.filter(wrong)
+    if parent_keys:
+        known = reduce(DataFrame.unionByName, parent_keys)
+        met = is_reference & ~F.col("null") & (F.col("check") == F.col("of")) & (F.col("key") == F.col("parent"))
+        found = found.join(known, met, "left_anti")
+    summed = found.groupBy(F.col("check").alias("of")).agg(F.count(F.lit(1)).alias("n_keys"), F.sum("n_rows").alias("n_rows"))
+    zero = lambda c: F.when(F.col("checked"), F.coalesce(c, F.lit(0))).cast("bigint").alias(c)
+    return checks.join(F.broadcast(summed), F.col("id") == F.col("of"), "left").select("check", "columns", zero("n_keys"), zero("n_rows"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkload import sinks
 from sparkload.load import (
     LoadOptions, LoadReport, format_bytes, format_report, format_seconds, load_database, load_report, load_table,
-    publish_table,
+    publish_table, read_loaded,
 )
 from sparkload.functions.copytext import encode_row, row_bytes
 from sparkload.model import ColumnSpec, ForeignKeySpec, KeySpec, PartitionSpec, TableSpec
@@ -251,3 +251,65 @@ def test_byte_counts_equal_the_encoding(spark):
     df = spark.createDataFrame(rows, "a string, b binary, c boolean, d int, e string")
     got = df.select(row_bytes(df.schema).alias("n"), F.octet_length(encode_row(df.schema)).alias("m")).collect()
     assert all(r.n == r.m + 1 for r in got)
+
+
+# --- versions and one scan for all checks --------------------------------------------
+
+
+VERSIONED = TableSpec(
+    "v",
+    (ColumnSpec("id", "int", nullable=False), ColumnSpec("kind", "enum('a','b')", labels=("a", "b")), ColumnSpec("ref", "int")),
+    keys=(KeySpec(("id",), primary=True), KeySpec(("kind", "ref"), predicate="id > 1")),
+    foreign_keys=(ForeignKeySpec(("ref",), "parent", ("id",)),),
+)
+
+
+def test_versioned_load_keeps_the_old_rows_until_the_new_ones_are_whole(spark, tmp_path):
+    options = LoadOptions(versioned=True, max_records_per_file=2)
+    rows = spark.createDataFrame([("1", "a", "7"), ("2", "b", None), ("x", "a", "1")], "id string, kind string, ref string")
+    loaded = load_table(rows, VERSIONED, "mysql", str(tmp_path), options)
+    assert (loaded.rows, loaded.errors) == (2, 1) and loaded.rejects.count() == 1
+    old = read_loaded(spark, str(tmp_path), VERSIONED)
+    bad = rows.withColumn("ref", F.when(F.col("id") == "2", F.raise_error(F.lit("broken off"))).otherwise(F.col("ref")))
+    with pytest.raises(Exception, match="broken off"):
+        load_table(bad, VERSIONED, "mysql", str(tmp_path), options)
+    assert read_loaded(spark, str(tmp_path), VERSIONED).count() == 2
+    load_table(rows.limit(0), VERSIONED, "mysql", str(tmp_path), options)
+    assert read_loaded(spark, str(tmp_path), VERSIONED).count() == 0 and old.count() == 2
+    with pytest.raises(ValueError, match="append"):
+        load_table(rows, VERSIONED, "mysql", str(tmp_path), LoadOptions(versioned=True, mode="append"))
+    with pytest.raises(ValueError, match="already"):
+        load_table(rows, VERSIONED, "mysql", str(tmp_path), LoadOptions(versioned=True, mode="create"))
+
+
+def test_all_checks_of_a_table_share_one_scan(spark, tmp_path):
+    from sparkload import check_table
+
+    rows = [(1, "a", 7), (1, "b", 8), (2, "a", 7), (3, "a", 7), (4, "c", None), (None, "a", 99), (5, None, 7)]
+    spark.createDataFrame(rows, "id int, kind string, ref int").repartition(3).write.parquet(f"{tmp_path}/t")
+    spark.createDataFrame([(7,), (9,), (None,), (7,)], "id bigint").write.parquet(f"{tmp_path}/p")
+    df, parent = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/p")
+    found = check_table(df, VERSIONED, {"parent": parent})
+    assert sorted(map(tuple, found.collect())) == [
+        ("enum", "kind", 1, 1),
+        ("foreign key", "ref", 2, 2),
+        ("not null", "id", 1, 1),
+        ("primary key", "id", 2, 3),
+        ("unique key", "kind,ref", 1, 2),
+    ]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2 or plan.count("Relation") == 2  # the table and its parent
+    assert check_table(df, VERSIONED, {}).filter("check like 'foreign key, parent not loaded'").first().n_keys is None
+
+
+def test_references_of_two_columns(spark):
+    from sparkload import check_table, fk_orphans
+
+    child = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (None, None), (9, "z"), (9, "z")], "x int, y string")
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (None, "z")], "p bigint, q string")
+    for match in ("simple", "full"):
+        fk = ForeignKeySpec(("x", "y"), "parent", ("p", "q"), match=match)
+        spec = TableSpec("c", (ColumnSpec("x", "int"), ColumnSpec("y", "text")), foreign_keys=(fk,))
+        (row,) = check_table(child, spec, {"parent": parent}).collect()
+        orphans = fk_orphans(child, parent, fk).collect()
+        assert (row.n_keys, row.n_rows) == (len(orphans), sum(r.n_rows for r in orphans))
