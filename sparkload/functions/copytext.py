@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .literals import composite_text
 from .text import quote
 
 NULL_MARK = "\\N"
@@ -102,7 +103,15 @@ def encode_row(schema: T.StructType) -> Column:
     """The whole row as one line (without the newline)."""
     if not schema.fields:
         return F.lit("")
-    return F.concat_ws(DELIMITER, *[encode_value(F.col(quote(f.name)), f.dataType) for f in schema.fields])
+    return F.concat_ws(DELIMITER, *[_encode_field(f) for f in schema.fields])
+
+
+def _encode_field(field: T.StructField) -> Column:
+    """A struct is a composite literal where its target is a composite type, and JSON elsewhere."""
+    c = F.col(quote(field.name))
+    if isinstance(field.dataType, T.StructType) and field.metadata.get("target_type", "").lower().startswith("composite"):
+        return F.coalesce(escape_text(composite_text(c, field.dataType, value_text)), F.lit(NULL_MARK))
+    return encode_value(c, field.dataType)
 
 
 def row_bytes(schema: T.StructType) -> Column:
@@ -110,7 +119,8 @@ def row_bytes(schema: T.StructType) -> Column:
     # A field is followed by a TAB or, the last one, by the newline.
     total = F.lit(max(1, len(schema.fields))).cast("bigint")
     for f in schema.fields:
-        total = total + _value_bytes(F.col(quote(f.name)), f.dataType)
+        composite = isinstance(f.dataType, T.StructType)
+        total = total + (F.octet_length(_encode_field(f)) if composite else _value_bytes(F.col(quote(f.name)), f.dataType))
     return total
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import transforms as tf
+from ..functions.literals import array_literal, composite_literal
 from ..functions.text import quote
 from ..model import ColumnSpec
 from ..plans import rules as rl
@@ -119,7 +120,9 @@ def _to_target(plan: CastPlan, v: Column, dt: T.DataType) -> Column:
         even = F.length(v) % 2 == 0
         return F.when(hexed & even, F.unhex(F.substr(v, F.lit(3)))).when(~hexed, F.encode(v, "UTF-8"))
     if isinstance(target, T.ArrayType):
-        return _array_literal(v, target) if is_text else v.try_cast(target)
+        return array_literal(v, target) if is_text else v.try_cast(target)
+    if isinstance(target, T.StructType):
+        return composite_literal(v, target) if is_text else v.try_cast(target)
     if isinstance(target, (T.FloatType, T.DoubleType)):
         cast = v.try_cast(target)
         special = F.abs(cast) == F.lit(float("inf"))
@@ -173,34 +176,6 @@ def _padded_time(c: Column) -> Column:
     return F.when(padded.rlike(r"^[0-9]{2}:[0-9]{2}$"), F.concat(padded, F.lit(":00"))).otherwise(padded)
 
 
-# An array item: quoted with backslash escapes, or plain.
-ARRAY_ITEM = r'"(?:[^"\\]|\\.)*+"|[^,"{}]+'
-ARRAY_SHAPE = rf"(?s)^\{{\s*(?:(?:{ARRAY_ITEM})\s*(?:,\s*(?:{ARRAY_ITEM})\s*)*+)?\}}$"
-
-
-def _array_literal(v: Column, target: T.ArrayType) -> Column:
-    """``{a,"b c",NULL}`` -> array; NULL when an element does not fit or arrays are nested."""
-    text = tf.trim_space(v)
-    body = F.substr(text, F.lit(2), F.length(text) - 2)
-    items = F.when(F.contains(v, F.lit('"')), F.regexp_extract_all(body, F.lit("(?s)" + ARRAY_ITEM), F.lit(0))).otherwise(
-        F.split(body, ",")
-    )
-
-    def item_text(e: Column) -> Column:
-        inner = F.regexp_replace(F.regexp_replace(tf.trim_space(e), '^"|"$', ""), r"(?s)\\(.)", "$1")
-        plain = F.when(F.upper(tf.trim_space(e)) != "NULL", tf.trim_space(e))
-        return F.when(F.contains(e, F.lit('"')), inner).otherwise(plain)
-
-    texts = F.transform(items, item_text)
-    values = texts
-    if not isinstance(target.elementType, T.StringType):
-        typed = F.transform(texts, lambda e: F.struct(e.isNotNull().alias("given"), e.try_cast(target.elementType).alias("v")))
-        fits = ~F.exists(typed, lambda e: e["given"] & e["v"].isNull())
-        values = F.when(fits, F.transform(typed, lambda e: e["v"]))
-    empty = text.rlike(r"^\{\s*\}$")
-    return F.when(empty, F.array().cast(target)).when(text.rlike(ARRAY_SHAPE), values)
-
-
 def _reason(plan: CastPlan, prepared: Column, cast: Column) -> Column:
     """Why the row is bad in this column, or NULL."""
     wrong = prepared.isNotNull() & cast.isNull()

@@ -58,8 +58,28 @@ _TEXT = (
 LENGTH_LIMITED = ("varchar", "character varying", "char", "character", "bpchar")
 
 
+def is_composite(target: str) -> bool:
+    return re.match(r"(?i)\s*composite\s*\(", target) is not None and target.rstrip().endswith(")")
+
+
+def composite_fields(target: str) -> list[tuple[str, str]]:
+    """'composite(a integer,b numeric(10,2))' -> its fields with their types."""
+    inner, depth, fields, begin = parse_typemod(target), 0, [], 0
+    for i, c in enumerate(inner + ","):
+        depth += (c == "(") - (c == ")")
+        if c == "," and depth == 0:
+            name, _, kind = inner[begin:i].strip().partition(" ")
+            if not kind.strip():
+                raise ValueError(f"no type for field {name!r} of {target!r}")
+            fields.append((name, kind.strip()))
+            begin = i + 1
+    return fields
+
+
 def type_name(target: str) -> str:
     """'numeric(10,2)' -> 'numeric'."""
+    if is_composite(target):
+        return "composite"
     return re.sub(r"\s*\(.*?\)", "", target).strip().lower()
 
 
@@ -79,6 +99,9 @@ def spark_type(target: str, source_type: str = "", labels: tuple[str, ...] = (),
     """
     if target.endswith("[]"):
         return T.ArrayType(spark_type(target[:-2], refuse_unlisted=refuse_unlisted))
+    if is_composite(target):
+        fields = composite_fields(target)
+        return T.StructType([T.StructField(n, spark_type(t, refuse_unlisted=refuse_unlisted)) for n, t in fields])
     name = type_name(target)
     if name in ("numeric", "decimal"):
         mod = parse_typemod(target)

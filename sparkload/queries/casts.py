@@ -8,6 +8,7 @@ from ..model import CastRule, ColumnSpec
 from ..operators.casting import ERRORS, cast_table, resolve_casts
 from ..operators.rejects import checked_rows, load_with_rejects
 from ..plans.rules import MYSQL_RULES
+from ..sinks import encode_copy_text
 from .registry import query, table
 
 # --- orders as a MySQL dump would hand them over ------------------------------------
@@ -301,3 +302,55 @@ def cast_dates_with_rest(spark, sf_dir):
     return out.groupBy((F.col("event_id") % 7).alias("kind")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(ERRORS).isNotNull()).alias("rejected")
     )
+
+
+NESTED_RULES = (
+    CastRule("grid", "integer[][]"),
+    CastRule("place", "composite(key bigint,label text,price numeric(15,2),tags text[],rest integer)"),
+)
+_NESTED = """
+WITH o AS (
+  SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS s, CAST(o_totalprice AS DECIMAL(15,2)) AS p,
+         o_orderkey % 10 = 3 AS ragged, o_orderkey % 7 = 2 AS bad_price FROM orders)
+"""
+
+
+def nested_orders(spark, sf_dir):
+    """Orders with a nested array, ragged in one of ten, and a composite, with a bad number in one of seven."""
+    key, cust = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    price = F.when(F.col("o_orderkey") % 7 == 2, "12x").otherwise(F.col("o_totalprice").cast("decimal(15,2)").cast("string"))
+    ragged = F.concat(F.lit("{{"), key, F.lit(",1},{"), cust, F.lit("}}"))
+    grid = F.concat(F.lit("{{"), key, F.lit(",NULL},{"), cust, F.lit(', "7" }}'))
+    place = F.concat(F.lit("("), key, F.lit(',"a, (""'), F.col("o_orderstatus"), F.lit('"") \\\\ b",'), price, F.lit(',"{x,""y z""}",)'))
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 10 == 3, ragged).otherwise(grid).alias("grid"), place.alias("place")
+    )
+
+
+@query(_NESTED + """
+SELECT ragged, bad_price, count(*) AS n_rows, count(*) FILTER (NOT ragged) AS grids, count(*) FILTER (NOT bad_price) AS places,
+       CAST(sum(c) FILTER (NOT ragged) AS BIGINT) AS second_rows, CAST(sum(p) FILTER (NOT bad_price) AS VARCHAR) AS prices
+FROM o GROUP BY ALL
+""")
+def cast_nested_values(spark, sf_dir):
+    columns = (ColumnSpec("o_orderkey", "bigint"), ColumnSpec("grid", "grid"), ColumnSpec("place", "place"))
+    out = cast_table(nested_orders(spark, sf_dir), columns, "pgsql", NESTED_RULES)
+    return out.groupBy((F.col("o_orderkey") % 10 == 3).alias("ragged"), (F.col("o_orderkey") % 7 == 2).alias("bad_price")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("grid").alias("grids"),
+        F.count("place").alias("places"),
+        F.sum(F.col("grid")[1][0]).alias("second_rows"),
+        F.sum("place.price").cast("string").alias("prices"),
+    )
+
+
+@query(_NESTED + """
+SELECT k || chr(9) || '{{"' || k || '",NULL},{"' || c || '","7"}}' || chr(9) ||
+       '(' || k || ',"a, (""' || s || '"") ' || repeat(chr(92), 4) || ' b",' || p || ',"{""x"",""y z""}",)' AS value
+FROM o WHERE NOT ragged AND NOT bad_price
+""")
+def nested_copy_text(spark, sf_dir):
+    """Nested arrays and composites out of the casts, as COPY lines."""
+    columns = (ColumnSpec("o_orderkey", "bigint"), ColumnSpec("grid", "grid"), ColumnSpec("place", "place"))
+    out = cast_table(nested_orders(spark, sf_dir), columns, "pgsql", NESTED_RULES)
+    return encode_copy_text(out.filter(F.col(ERRORS).isNull()).drop(ERRORS))
