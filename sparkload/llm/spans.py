@@ -4,21 +4,20 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, id_and_text, map_texts, stored
+from .common import id_and_text, map_texts, stored
 
 RUN = 3  # consecutive parts, at least
 LEAST_WORDS = 25  # of a run, at least: shorter ones repeat by chance
 LONGEST_PART = 10  # words; a longer part is cut
 WINDOW = 8  # neighbouring words of a longer part, behind one of which it is cut
 ROWS_AT_ONCE = 200_000
-CACHED_WORDS, CACHED_LENGTH = 300_000, 64
 
 # Marks that end a sentence or a part of one, in many scripts; spaces that may follow; scripts without
 # spaces between words, as ranges.
@@ -39,98 +38,139 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        h = int.from_bytes(md5(word.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()[:8], "big")
-        if len(word) <= CACHED_LENGTH:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[word] = h
-        return h
-
-
-def _cuts(hashes: list[int]) -> list[int]:
-    """Behind which words a long part is cut: in each window, the last of the words with the least hash.
+def _cuts(words: list[str]) -> list[int]:
+    """Behind which words a long part is cut: in each window, the last of the words that are least in alphabetical order.
 
     The choice depends on the words of the window alone, so a passage is cut alike wherever it stands.
     """
-    found = set()
-    for at in range(len(hashes) - WINDOW + 1):
-        window = hashes[at : at + WINDOW]
-        found.add(at + WINDOW - window[::-1].index(min(window)))
-    return sorted(found - {len(hashes)})
+    found, least = [], -1
+    for end in range(WINDOW - 1, len(words)):
+        if least <= end - WINDOW:
+            window = words[end - WINDOW + 1 : end + 1]
+            least = end - window[::-1].index(min(window))
+        elif words[end] <= words[least]:
+            least = end
+        else:
+            continue
+        found.append(least + 1)
+    return [c for c in found if c < len(words)]
 
 
-def parts_of(text: str) -> tuple[list[str], list[list[int]]]:
-    """The parts of a text with what follows them, joined they are the text again; and the hashes of each one's words.
+def _words_of(text: str) -> tuple[str, bool]:
+    """The text in lower case if its words are the same in it, and whether characters are words."""
+    low = text.lower()
+    if len(low) != len(text) or "Σ" in text:  # letters that become several, or that depend on what follows
+        low = ""
+    return low, _HAS_UNSPACED.search(text) is not None
+
+
+def pieces_of(text: str) -> tuple[list[int], list[str]]:
+    """Number of words of each part of a text that holds any, and the words themselves, in lower case.
 
     Parts end behind ``ENDS``; one of more than ``LONGEST_PART`` words is cut further. Where a script has no
-    spaces, each character is a word. Case does not count.
+    spaces, each character is a word.
     """
-    hashes_of = held("span words", None, _WordHashes)
-    unspaced = _HAS_UNSPACED.search(text) is not None
+    low, unspaced = _words_of(text)
     find = _WORDS[unspaced].findall
-    texts, hashes = [], []
-    for part in _SENTENCE.findall(text):
+    sizes: list[int] = []
+    pieces: list[str] = []
+    for part in _SENTENCE.findall(low or text):
         words = find(part)
-        if not words:
-            texts.append(part)
-            hashes.append([])
+        n = len(words)
+        if not n:
             continue
-        h = [hashes_of[w] for w in " ".join(words).lower().split(" ")]
-        if len(h) <= LONGEST_PART:
-            texts.append(part)
-            hashes.append(h)
+        if not low:
+            words = [w.lower() for w in words]
+        if n <= LONGEST_PART:
+            sizes.append(n)
+            pieces.append(" ".join(words))
+        else:
+            begin = 0
+            for end in (*_cuts(words), n):
+                sizes.append(end - begin)
+                pieces.append(" ".join(words[begin:end]))
+                begin = end
+    return sizes, pieces
+
+
+def parts_of(text: str) -> list[tuple[str, bool]]:
+    """The parts of a text with what follows them, joined they are the text again, and whether each one holds words."""
+    unspaced = _words_of(text)[1]
+    out: list[tuple[str, bool]] = []
+    for part in _SENTENCE.findall(text):
+        words = [w.lower() for w in _WORDS[unspaced].findall(part)]
+        if len(words) <= LONGEST_PART:
+            out.append((part, bool(words)))
             continue
         tokens, begin = _TOKENS[unspaced].findall(part), 0
-        for end in (*_cuts(h), len(h)):
-            texts.append("".join(tokens[begin:end]))
-            hashes.append(h[begin:end])
+        for end in (*_cuts(words), len(words)):
+            out.append(("".join(tokens[begin:end]), True))
             begin = end
-    return texts, hashes
+    return out
 
 
-def run_hashes(hashes: list[list[int]], run: int = RUN, least_words: int = LEAST_WORDS) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """The parts that hold words; hash and last such part of the run from each of them on.
+def run_hashes(sizes: list[int], pieces: list[str], run: int = RUN, least_words: int = LEAST_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and last part of the run from each part with words on.
 
     A run goes on until it has ``run`` parts and ``least_words`` words; parts without words do not break it. The hash
-    is that of its words in order. Runs that reach the end of the text before have none, so there are fewer
+    is that of its parts' words in order. Runs that reach the end of the text before have none, so there are fewer
     runs than parts.
     """
-    holding = [i for i, h in enumerate(hashes) if h]
-    ends = np.cumsum([0] + [len(hashes[i]) for i in holding])
-    n = len(holding)
-    last = np.maximum(np.searchsorted(ends, ends[:-1] + least_words) - 1, np.arange(n) + run - 1)
-    n_runs = int((last < n).sum())  # both grow with the start
-    if not n_runs:
-        return holding, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    words = np.array([h for i in holding for h in hashes[i]], np.uint64)
-    power = np.ones(len(words) + 1, np.uint64)
-    power[1:] = _BASE
-    inverse = np.ones(len(words) + 1, np.uint64)
-    inverse[1:] = _INVERSE
-    power, inverse = np.multiply.accumulate(power), np.multiply.accumulate(inverse)
-    sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(words * power[:-1], out=sums[1:])
-    last = last[:n_runs]
-    begin, end = ends[:n_runs], ends[last + 1]
-    out = (sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64)
+    n = len(sizes)
+    if n < run or sum(sizes) < least_words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ends = np.zeros(n + 1, np.int64)
+    np.cumsum(sizes, out=ends[1:])
+    last = np.maximum(np.searchsorted(ends, ends[:-1] + least_words) - 1, np.arange(run - 1, n + run - 1))
+    last = last[: int(np.searchsorted(last, n))]  # it grows with the start
+    hashes = np.array([xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass")) for p in pieces], np.uint64)
+    power, inverse = _powers(n)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(hashes * power[:n], out=sums[1:])
+    n_runs = len(last)
+    out = (sums[last + 1] - sums[:n_runs]) * inverse[:n_runs] + (last - np.arange(n_runs)).astype(np.uint64)
     out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return holding, (out ^ (out >> np.uint64(32))).view(np.int64), last
+    return (out ^ (out >> np.uint64(32))).view(np.int64), last
+
+
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse up to the n-th; those for most texts are made once."""
+    size = max(1 << 12, 1 << n.bit_length())
+    if size not in _POWERS:
+        found = []
+        for base in (_BASE, _INVERSE):
+            row = np.full(size + 1, base, np.uint64)
+            row[0] = 1
+            found.append(np.multiply.accumulate(row))
+        if size > 1 << 16:
+            return tuple(found)
+        _POWERS[size] = tuple(found)
+    return _POWERS[size]
 
 
 def without_runs(text: str, known: set[int], run: int = RUN, least_words: int = LEAST_WORDS) -> tuple[str, int, int]:
     """The text without parts in a known run or in a later copy of one of its own; how many it had and lost."""
-    parts, words = parts_of(text)
-    holding, hashes, last = run_hashes(words, run, least_words)
+    sizes, pieces = pieces_of(text)
+    hashes, last = run_hashes(sizes, pieces, run, least_words)
+    if not known and len(np.unique(hashes)) == len(hashes):
+        return text, len(sizes), 0
     gone: set[int] = set()
     seen: set[int] = set()
     for at, (h, end) in enumerate(zip(hashes.tolist(), last.tolist())):
         if h in known or h in seen:
-            gone.update(holding[at : end + 1])
+            gone.update(range(at, end + 1))
         seen.add(h)
-    kept = text if not gone else "".join([p for i, p in enumerate(parts) if i not in gone])
-    return kept, len(holding), len(gone)
+    if not gone:
+        return text, len(sizes), 0
+    kept, at = [], 0
+    for part, holds in parts_of(text):
+        if not (holds and at in gone):
+            kept.append(part)
+        at += holds
+    return "".join(kept), len(sizes), len(gone)
 
 
 def runs_of(texts: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -143,7 +183,7 @@ def runs_of(texts: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS) ->
         for batch in batches:
             found, n = [], 0
             for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                hashes = np.unique(run_hashes(parts_of(text)[1], run, least_words)[1])
+                hashes = np.unique(run_hashes(*pieces_of(text), run, least_words)[0])
                 found.append((hashes, np.full(len(hashes), doc, np.int64)))
                 n += len(hashes)
                 if n >= ROWS_AT_ONCE:

@@ -121,10 +121,10 @@ tokens AS (
   FROM worded WHERE len(tokens) > {LONGEST_PART}),
 hashed AS (SELECT *, lower(regexp_extract(token, '[{_ALNUM}]+')) AS word FROM tokens),
 windows AS (
-  SELECT *, min(substr(md5(word), 1, 16) || lpad(CAST(100000000 - p AS VARCHAR), 9, '0'))
+  SELECT *, min(word || chr(1) || lpad(CAST(100000000 - p AS VARCHAR), 9, '0'))
     OVER (PARTITION BY doc_id, i ORDER BY p ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING) AS least FROM hashed),
 cuts AS (
-  SELECT DISTINCT doc_id, i, 100000000 - CAST(substr(least, 17) AS BIGINT) AS p FROM windows WHERE p <= n - {WINDOW - 1}),
+  SELECT DISTINCT doc_id, i, 100000000 - CAST(right(least, 9) AS BIGINT) AS p FROM windows WHERE p <= n - {WINDOW - 1}),
 pieced AS (
   SELECT h.*, coalesce(count(c.p) OVER (PARTITION BY h.doc_id, h.i ORDER BY h.p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS piece
   FROM hashed h LEFT JOIN cuts c ON c.doc_id = h.doc_id AND c.i = h.i AND c.p = h.p),
@@ -140,7 +140,7 @@ spans AS (
   FROM holding a JOIN holding b ON b.doc_id = a.doc_id AND b.k BETWEEN a.k + {RUN - 1} AND a.k + {max(RUN, LEAST_WORDS) - 1}
   WHERE b.total - a.total + a.n >= {LEAST_WORDS} GROUP BY a.doc_id, a.k),
 runs AS (
-  SELECT s.doc_id, s.k, s.last, string_agg(h.s, ' ' ORDER BY h.k) AS run
+  SELECT s.doc_id, s.k, s.last, string_agg(h.s, chr(1) ORDER BY h.k) AS run
   FROM spans s JOIN holding h ON h.doc_id = s.doc_id AND h.k BETWEEN s.k AND s.last GROUP BY s.doc_id, s.k, s.last),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, k) AS r FROM runs),
 gone AS (SELECT DISTINCT doc_id, unnest(range(k, last + 1)) AS k FROM ranked WHERE r > 1),
