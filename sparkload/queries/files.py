@@ -317,7 +317,7 @@ def pk_balanced_shards(spark, sf_dir):
 FILE_ROWS = 200_000
 
 
-def write_sqlite_parts(df, spec: TableSpec, folder: str):
+def write_sqlite_parts(df, spec: TableSpec, folder: str, without_rowid: bool = False):
     """Every partition as SQLite files of at most ``FILE_ROWS`` rows; returns files and rows.
 
     A file is built in memory and appears under its final name in one step, so a task
@@ -325,6 +325,8 @@ def write_sqlite_parts(df, spec: TableSpec, folder: str):
     """
     types = {"c_custkey": "integer primary key", "c_nationkey": "int"}
     columns = ", ".join(f'"{c.name}" {types.get(c.name, c.source_type)}' for c in spec.columns)
+    key = ", ".join(f'"{c}"' for c in spec.primary_key)
+    body = f"({columns}, PRIMARY KEY ({key})) WITHOUT ROWID" if without_rowid else f"({columns})"
     marks = ", ".join("?" for _ in spec.columns)
     name, limit = spec.name, FILE_ROWS
 
@@ -337,7 +339,7 @@ def write_sqlite_parts(df, spec: TableSpec, folder: str):
 
         def empty():
             connection = sqlite3.connect(":memory:")
-            connection.execute(f'CREATE TABLE "{name}" ({columns})')
+            connection.execute(f'CREATE TABLE "{name}" {body}')
             return connection
 
         def save(connection, number):
@@ -372,6 +374,27 @@ def sqlite_scan(spark, sf_dir):
     return cast_customer(read_sqlite_table(spark, folder, CUSTOMER, shards=3))
 
 
+@query("""
+SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderstatus IN ('F', 'P') AND o_orderkey >= 100
+""")
+def sqlite_filtered_scan(spark, sf_dir):
+    """A table without row numbers, cut by its key into shards, whose filters reach the files."""
+    folder = local_path(scratch_dir(spark, "sqlite-keys"))
+    spec = TableSpec(
+        "keyed",
+        (ColumnSpec("o_orderkey", "INTEGER", nullable=False), ColumnSpec("o_orderpriority", "TEXT"), ColumnSpec("o_orderstatus", "TEXT")),
+        keys=(KeySpec(("o_orderkey",), primary=True),),
+    )
+    rows = table(spark, sf_dir, "orders").select(*[F.col(c).cast("string").alias(c) for c in spec.column_names])
+    write_sqlite_parts(rows, spec, folder, without_rowid=True)
+    raw = read_sqlite_table(spark, folder, spec, shards=3)
+    wanted = raw.filter((F.col("o_orderpriority") == "2-HIGH") & F.col("o_orderstatus").isin("F", "P"))
+    out = cast_table(wanted, spec.columns, "sqlite")
+    return out.filter(F.col(ERRORS).isNull() & (F.col("o_orderkey") >= 100)).select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderpriority", "o_orderstatus"
+    )
+
+
 # --- table selection, views, load modes ----------------------------------------------
 
 

@@ -324,3 +324,61 @@ def test_views_of_one_name_do_not_overwrite_each_other(spark, tmp_path):
         spark.sql(f"CREATE OR REPLACE VIEW {schema}.v AS SELECT id FROM range({n})")
     stored = materialize_views(spark, ["da.v", "db.v"], str(tmp_path))
     assert stored["da.v"].count() == 2 and stored["db.v"].count() == 3
+
+
+# --- filters and key ranges in SQLite statements -------------------------------------
+
+
+def _sqlite_rows(path):
+    con = sqlite3.connect(path)
+    con.executescript(
+        """
+        CREATE TABLE keyed (id INT, name TEXT COLLATE NOCASE, price REAL, any, note BLOB, PRIMARY KEY (id, name)) WITHOUT ROWID;
+        """
+    )
+    con.executemany("INSERT INTO keyed VALUES (?, ?, ?, ?, ?)", [(i, f"N{i % 10}", i / 4, i if i % 2 else str(i), None if i % 3 else b"x") for i in range(0, 3000, 3)])
+    con.execute("INSERT INTO keyed VALUES (4000.5, 'n1', 'inf', 5, NULL), (4001, CAST(x'6E35' AS BLOB), 1e999, '5', NULL)")
+    con.commit()
+    con.close()
+    return path
+
+
+KEYED = TableSpec("keyed", (ColumnSpec("id", "int"), ColumnSpec("name", "text"), ColumnSpec("price", "real"), ColumnSpec("any", "text"), ColumnSpec("note", "blob")))
+
+
+@pytest.mark.parametrize("shards", [1, 2, 5])
+def test_filters_in_statements_change_nothing(spark, tmp_path, shards):
+    raw = read_sqlite_table(spark, _sqlite_rows(str(tmp_path / "k.db")), KEYED, shards)
+    rows = [r.asDict() for r in raw.collect()]
+    assert len(rows) == 1002
+    tests = [
+        ("name = 'N5'", lambda r: r["name"] == "N5"), ("name = 'n5'", lambda r: r["name"] == "n5"), ("name >= 'N7'", lambda r: r["name"] >= "N7"),
+        ("price = '1.5'", lambda r: r["price"] == "1.5"), ("price = 'inf'", lambda r: r["price"] == "inf"), ("id = '06'", lambda r: r["id"] == "06"),
+        ("id IN ('6', '9', '4000.5')", lambda r: r["id"] in ("6", "9", "4000.5")), ("any = '5'", lambda r: r["any"] == "5"), ("id < '12'", lambda r: r["id"] < "12"),
+        ("note IS NULL AND name LIKE 'n%'", lambda r: r["note"] is None and r["name"].startswith("n")), ("name <=> 'N3'", lambda r: r["name"] == "N3"),
+    ]
+    for condition, holds in tests:
+        got = sorted(r.id for r in raw.filter(condition).collect())
+        assert got == sorted(r["id"] for r in rows if holds(r)), condition
+
+
+def test_statements_hold_ranges_and_filters(tmp_path):
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In
+
+    from sparkload.sources.sqlite import RowidRange, SqliteReader, open_read_only, raw_schema
+
+    file = _sqlite_rows(str(tmp_path / "k.db"))
+    con = sqlite3.connect(file)
+    con.execute("DELETE FROM keyed WHERE id > 3500")
+    con.commit()
+    con.close()
+    reader = SqliteReader(raw_schema(KEYED), {"files": f'["{file}"]', "table": "keyed", "shards": "3"})
+    filters = [EqualTo(("name",), "N5"), In(("id",), ("6", "9")), GreaterThan(("price",), "3"), EqualTo(("note",), b"x")]
+    assert list(reader.pushFilters(filters)) == filters  # Spark evaluates them all again
+    connection = open_read_only(file)
+    made = [reader.statement(connection, RowidRange(file, k, 3)) for k in range(3)]
+    assert [m[1][:2] for m in made] == [[0, 1000], [1000, 1999], [1999, 2997]] or all('"id" >= ?' in m[0] for m in made)
+    assert all('"name" = ?' in m[0] and '"id" IN (?, ?)' in m[0] and '"price"' not in m[0].split("WHERE")[1] for m in made)
+    plan = " ".join(r[3] for r in connection.execute("EXPLAIN QUERY PLAN " + made[1][0], made[1][1]))
+    assert "PRIMARY KEY (id>? AND id<?)" in plan
+    connection.close()
