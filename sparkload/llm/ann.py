@@ -65,13 +65,16 @@ class Tree:
                     stack.append((child, rows[nearest == k]))
         return out
 
-    def visits(self, query: np.ndarray, limit: int) -> list[int]:
-        """The first ``limit`` leaves of a best-bin-first search: the queue holds branches by the distance of their centre."""
+    def visits(self, query: np.ndarray, limit: int, counts: dict[int, int] | None = None, least: int = 0) -> list[int]:
+        """The first ``limit`` leaves of a best-bin-first search: the queue holds branches by the distance of their centre.
+
+        With the rows of each leaf as ``counts`` it goes on until the leaves hold ``least`` rows, if there are so many.
+        """
         q = np.append(query, 0.0)[None, :]
         queue: list[tuple[float, int, Node | int]] = [(0.0, 0, self.root)]
         found: list[int] = []
-        pushed = 0
-        while queue and len(found) < limit:
+        pushed = rows = 0
+        while queue and (len(found) < limit or rows < least):
             _, _, node = heapq.heappop(queue)
             while not isinstance(node, int):
                 distances = _distances(q, node.centres)[0]
@@ -82,6 +85,7 @@ class Tree:
                         heapq.heappush(queue, (float(distances[k]), pushed, child))
                 node = node.children[best]
             found.append(node)
+            rows += counts.get(node, 0) if counts else 0
         return found
 
 
@@ -184,6 +188,7 @@ class Index:
     tree: Tree
     rows: DataFrame  # id, v, leaf, block
     blocks: dict[int, int] = field(default_factory=dict)
+    counts: dict[int, int] = field(default_factory=dict)  # rows of each leaf
     visits: int = 1
     recall: float | None = None
 
@@ -201,13 +206,15 @@ def build_index(
 
     ``sample_rows`` is the expected size of the sample, drawn by a hash of the id. A leaf of more than
     ``block_rows`` rows is dealt over several blocks by the same hash, so that a leaf with a third of all rows (copies of
-    one vector) is many tasks. The driver holds the sample, the tree and one number per leaf.
+    one vector) is many tasks. The driver holds the sample, the tree and one number per leaf. A vector that is shorter
+    than the longest counts as one with zeros behind, which leaves inner products with vectors of its length as they are.
     """
     rows = stored(usable_vectors(vectors, id_col, vector_col), "vectors")
-    sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if sizes is None:
+    sizes = rows.agg(F.max(F.size("v")).alias("d"), F.min(F.size("v")).alias("low"), F.count(F.lit(1)).alias("count")).first()
+    if not sizes["count"]:
         return Index(Tree(), rows.withColumn("leaf", F.lit(0)).withColumn("block", F.lit(0)))
-    rows = rows.filter(F.size("v") == sizes.d)
+    if sizes.low < sizes.d:
+        rows = rows.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(sizes.d) - F.size("v"))))
     square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     radius2 = rows.agg(F.max(square)).first()[0]
     draw = F.pmod(F.xxhash64(F.lit("tree"), "id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
@@ -223,7 +230,7 @@ def build_index(
         if n > 1:
             many = F.when(F.col("leaf") == k, n).otherwise(many)
     block = F.pmod(F.xxhash64(F.lit("block"), "id"), many.cast("long")).cast("int")
-    return Index(tree, placed.withColumn("block", block), blocks)
+    return Index(tree, placed.withColumn("block", block), blocks, counts)
 
 
 def _leaf_column(tree: Tree):
@@ -252,14 +259,15 @@ def search(index: Index, queries: DataFrame, k: int, visits: int | None = None,
 
     Queries go to the blocks of the leaves that their search visits. A leaf with more than ``query_rows`` queries has
     them dealt by a hash as well, so that a cogrouped task holds a bounded number of rows and of queries however
-    large a leaf and its demand are.
+    large a leaf and its demand are. A query's visits go on until its leaves hold ``k`` rows besides its own, so only a
+    table of fewer gives fewer than ``k``.
     """
-    tree, blocks, limit = index.tree, index.blocks, visits or index.visits
+    tree, blocks, counts, limit = index.tree, index.blocks, index.counts, visits or index.visits
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("id").to_numpy()
-            found = [(i, leaf) for i, v in enumerate(_matrix(batch.column("v"))) for leaf in tree.visits(v, limit)]
+            found = [(i, leaf) for i, v in enumerate(_matrix(batch.column("v"))) for leaf in tree.visits(v, limit, counts, k + 1)]
             at, leaf = (np.array(x, np.int32) for x in zip(*found)) if found else (np.zeros(0, np.int32),) * 2
             yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(leaf)], ["id", "leaf"])
 

@@ -75,7 +75,7 @@ def test_unusable_rows_take_no_part(spark):
     index = ann.build_index(frame)
     asked = index.rows.filter("id % 20 = 0").select("id", "v")
     got = results(ann.search(ann.calibrate(index, asked, 20), asked, 20))
-    assert got == {20: [(1, 1, 0.5), (2, 9, 0.5)]}
+    assert got == {20: [(1, 7, 1.0), (2, 1, 0.5), (3, 9, 0.5)]}  # a shorter vector takes part, with zeros behind
 
 
 def test_empty_table(spark):
@@ -92,3 +92,25 @@ def test_visits_are_a_permutation_of_the_leaves():
         order = tree.visits(q, tree.leaves)
         assert sorted(order) == list(range(tree.leaves)) and tree.visits(q, 3) == order[:3]
     assert set(tree.leaf_of(x).tolist()) <= set(range(tree.leaves))
+
+
+def test_one_visit_still_gives_k_rows(spark, index_of):
+    """A dense crowd and a few rows far off: leaves of one row or two must not leave a query with fewer than k."""
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.normal(size=(600, 4)) * 0.01 + 1, rng.normal(size=(40, 4)) * 30])
+    vectors = dict(enumerate(x))
+    index = index_of(vectors, sample_rows=10_000, leaf_rows=4)
+    got = results(ann.search(index, index.rows.filter("id % 7 = 0 or id >= 600").select("id", "v"), 20, visits=1))
+    assert min(index.counts.values()) < 20 and {len(rows) for rows in got.values()} == {20}
+    few = index_of(dict(enumerate(x[:5])))
+    assert {len(r) for r in results(ann.search(few, few.rows.select("id", "v"), 20)).values()} == {4}
+
+
+def test_vectors_of_several_lengths_are_all_searched(spark, index_of):
+    vectors = {k: [1.0 + k, 2.0, 3.0][: 2 + k % 2] for k in range(8)}
+    index = index_of(vectors)
+    got = results(ann.search(index, index.rows.select("id", "v"), 10))
+    assert len(got) == 8 and all(len(rows) == 7 for rows in got.values())
+    for q, rows in got.items():
+        for _, i, s in rows:
+            assert s == pytest.approx(sum(a * b for a, b in zip(vectors[q], vectors[i])))
