@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 import csv
+import json
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import null_if, trim_space
 from ..operators.skew import stored
-from ..session import session_conf
+from ..session import session_conf, ship_package
 from .copytext import CORRUPT
 
 # --- records -------------------------------------------------------------------------
 
+BROADCAST_FILES = 500_000  # a path and two numbers each
 # A record that grows beyond this many characters has a quote that nobody closed.
 MAX_RECORD_CHARS = 64 * 1024 * 1024
 PLACE = ("_file", "_start", "_at")  # file, its split, line within the split: the order of lines
@@ -199,10 +201,10 @@ _WHOLE, _FIRST, _MIDDLE, _LAST = range(4)
 
 
 def _heads(records: DataFrame, n: int) -> DataFrame:
-    """``_file, _start, _at`` of record number ``n`` (from 1) of every file, or of its last if it has fewer.
+    """Place and text of record number ``n`` (from 1) of every file, or of its last if it has fewer; stored.
 
-    Records of the splits that files begin with are enough unless one of these has fewer than ``n``;
-    their text is not read for it, and of each split only the first ``n`` places travel.
+    One read: the records of the splits that files begin with tell, unless one of these has fewer than ``n``. Of
+    each split only the first ``n`` travel.
     """
 
     def first(batches):
@@ -213,34 +215,36 @@ def _heads(records: DataFrame, n: int) -> DataFrame:
             files, starts = batch.column("_file").to_pylist(), batch.column("_start").to_pylist()
             if key == (files[0], starts[0]) == (files[-1], starts[-1]) and seen >= n:
                 continue
-            for file, start, at in zip(files, starts, batch.column("_at").to_pylist()):
+            ats = batch.column("_at").to_pylist()
+            for k, (file, start, at) in enumerate(zip(files, starts, ats)):
                 if (file, start) != key:
                     key, seen = (file, start), 0
                 if seen < n:
                     seen += 1
-                    out.append((file, start, at))
+                    out.append((file, start, at, batch.column("value")[k].as_py()))
         if out:
-            columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, list(PLACE))
+            columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int64(), pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, [*PLACE, "value"])
 
-    def numbered(places: DataFrame) -> DataFrame:
+    def numbered(some: DataFrame) -> DataFrame:
         order = Window.partitionBy("_file").orderBy("_start", "_at")
-        found = places.mapInArrow(first, "_file string, _start long, _at long")
+        found = some.select(*PLACE, "value").mapInArrow(first, "_file string, _start long, _at long, value string")
         found = found.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n)
-        return found.groupBy("_file").agg(F.max(F.struct("_start", "_at")).alias("p"), F.count(F.lit(1)).alias("_n"))
+        return found.groupBy("_file").agg(F.max(F.struct("_start", "_at", "value")).alias("p"), F.count(F.lit(1)).alias("_n"))
 
-    places = records.select(*PLACE)
-    heads = stored(numbered(places.filter("_start = 0")), "heads")
-    files = places.filter("_start > 0").select("_file").distinct()
-    short = files.join(heads.filter(F.col("_n") == n), "_file", "left_anti")
-    if short.head(1):
-        heads = stored(numbered(places), "heads")
-    return heads.select("_file", F.col("p._start").alias("_head_start"), F.col("p._at").alias("_head_at"), "_n")
+    heads = stored(numbered(records.filter("_start = 0")), "heads")
+    begun = records.select("_file", "_start")
+    if heads.filter(F.col("_n") < n).head(1) or not heads.head(1):
+        whole = heads.filter(F.col("_n") == n).select("_file")
+        if begun.filter("_start > 0").join(whole, "_file", "left_anti").head(1):  # a record may lie in a later split
+            heads = stored(numbered(records), "heads")
+    return heads.select("_file", F.col("p._start").alias("_head_start"), F.col("p._at").alias("_head_at"), F.col("p.value").alias("_head"), "_n")
 
 
 def _after_head(records: DataFrame, heads: DataFrame) -> DataFrame:
     """The records after their file's head; ``heads`` has a row a file."""
-    met = records.join(F.broadcast(heads), "_file")
+    places = heads.select("_file", "_head_start", "_head_at")
+    met = records.join(F.broadcast(places) if places.count() <= BROADCAST_FILES else places, "_file")
     later = (F.col("_start") > F.col("_head_start")) | ((F.col("_start") == F.col("_head_start")) & (F.col("_at") > F.col("_head_at")))
     # Blanked before they are left out: no check of a record can be moved ahead of this and meet a head.
     return met.select(F.when(later, F.col("value")).alias("value"), *PLACE).filter("value IS NOT NULL")
@@ -260,8 +264,6 @@ def _fields(record: str, fmt: _Format) -> list[str]:
 
 # --- reading -------------------------------------------------------------------------
 
-HEADERS_SHOWN = 1000
-
 
 def read_delimited(
     spark: SparkSession,
@@ -294,26 +296,39 @@ def read_delimited(
     takes stray quotes as text. An empty ``quote_char`` turns quoting off.
 
     ``multiline`` says whether quoted fields may hold newlines: if so, lines are joined by the parity of quotes, carried
-    over the splits of a file. None looks whether any line has an odd number of quotes; False spares that pass, and such a
-    line is then a bad record.
+    over the splits of a file. None looks whether any line has an odd number of quotes; with False such a line is a bad
+    record. The input is read once for heads and quotes, if there is anything to skip or look for, and once for its
+    rows; joining lines takes another read, for how each split ends.
     """
     if on_ragged not in ("fail", "reject"):
         raise ValueError(f"on_ragged must be fail or reject, not {on_ragged!r}")
     fmt = _Format(delimiter, quote_char, escape, comment, lazy_quotes)
     records = lines = _lines(spark, path, encoding)
     is_comment = F.startswith("value", F.lit(comment)) if comment else F.lit(False)
+    dropped = skip_records + int(header)
+
+    def kept(of: DataFrame) -> DataFrame:
+        return of.filter((F.col("value") != "") & ~is_comment)
+
+    heads = None
     if fmt.quoted and multiline is None:
-        multiline = bool(lines.filter(~is_comment & fmt.odd(F.col("value"))).head(1))
+        open_line = ~is_comment & fmt.odd(F.col("value"))
+        if dropped:  # the read that finds the heads looks at every line
+            seen = Observation()
+            heads = _heads(kept(lines.observe(seen, F.max(open_line.cast("int")).alias("open"))), dropped)
+            multiline = bool(seen.get["open"])
+        else:
+            multiline = bool(lines.filter(open_line).head(1))
     if fmt.quoted and multiline:
-        records = _joined(lines, fmt)
-    records = records.filter((F.col("value") != "") & ~is_comment)
+        records, heads = _joined(lines, fmt), None
+    records = kept(records)
 
     names = list(columns) if columns else None
-    dropped = skip_records + int(header)
     if dropped:
-        heads = _heads(records, dropped)
+        if heads is None:
+            heads = _heads(records, dropped)
         if header and not names:
-            names = _header_names(records, heads.filter(F.col("_n") == dropped), fmt)
+            names = _header_names(heads.filter(F.col("_n") == dropped), fmt)
         records = _after_head(records, heads)
     if not names and not header:
         first = records.head(1)
@@ -350,16 +365,27 @@ def read_delimited(
     return cleaned.drop(CORRUPT) if on_ragged == "fail" else cleaned
 
 
-def _header_names(records: DataFrame, heads: DataFrame, fmt: _Format) -> list[str] | None:
-    """The names that the headers of all files agree on; None without any header."""
-    place = (F.col("_start") == F.col("_head_start")) & (F.col("_at") == F.col("_head_at"))
-    found = records.join(F.broadcast(heads), "_file").filter(place)
-    found = found.groupBy("value").agg(F.min("_file").alias("file")).orderBy("file").limit(HEADERS_SHOWN).collect()
-    headers = {tuple(h.strip() for h in _fields(r.value, fmt)): r.file for r in reversed(found)}
-    if len(headers) > 1:
-        (one, a), (two, b) = list(headers.items())[:2]
-        raise ValueError(f"headers differ: {list(one)} in {a}, {list(two)} in {b}")
-    return list(next(iter(headers))) if headers else None
+def _header_names(heads: DataFrame, fmt: _Format) -> list[str] | None:
+    """The names that the headers of all files agree on; None without any header. Tasks read the headers' fields."""
+
+    def names(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = {}
+            for text, file in zip(batch.column("_head").to_pylist(), batch.column("_file").to_pylist()):
+                key = json.dumps([h.strip() for h in _fields(text, fmt)])
+                found[key] = min(file, found.get(key, file))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array(list(found.values()))], ["names", "file"])
+
+    ship_package(heads.sparkSession)
+    parsed = heads.select("_head", "_file").mapInArrow(names, "names string, file string")
+    found = parsed.groupBy("names").agg(F.min("file").alias("file")).orderBy("file").limit(2).collect()
+    if len(found) > 1:
+        (one, a), (two, b) = found
+        raise ValueError(f"headers differ: {json.loads(one)} in {a}, {json.loads(two)} in {b}")
+    return json.loads(found[0].names) if found else None
 
 
 # --- format guess --------------------------------------------------------------------
