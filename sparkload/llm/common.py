@@ -13,7 +13,7 @@ from ..functions.text import quote
 from ..operators.skew import stored
 from ..session import ship_package
 
-__all__ = ["col", "held", "id_and_text", "map_texts", "packed", "query_partitions", "release", "stored", "text_of", "unpacked", "with_ids", "without_ids"]
+__all__ = ["begin", "col", "held", "id_and_text", "map_texts", "packed", "query_partitions", "release", "stored", "text_of", "unpacked", "with_ids", "without_ids"]
 
 
 def col(name: str) -> Column:
@@ -92,6 +92,11 @@ def held(kind: str, key, make):
     return _HELD[kind, key]
 
 
+def begin(kind: str) -> None:
+    """For tasks without a large helper of their own: let go of what other operators left in this worker."""
+    held(kind, None, object)
+
+
 def release() -> None:
     """Let go of the helper held and give the memory back to the system."""
     if _HELD:

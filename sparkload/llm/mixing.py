@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, col, stored, text_of, unpacked
+from .common import BROADCAST_ROWS, begin, col, stored, text_of, unpacked
 
 TRAINING_ROWS = 1_000  # expected number of sampled rows of each domain at most
 SAMPLE_ROWS = 64_000  # expected number of sampled rows of all domains, unless there are more domains
@@ -68,6 +68,7 @@ def fit_domain_model(
 
     @F.pandas_udf("binary")
     def features(texts: pd.Series) -> pd.Series:
+        begin("mixing")
         return pd.Series([zlib.compress(pair_frequencies(t).tobytes(), 1) for t in texts])
 
     # bounded by the documented number of rows, each of bounded size
@@ -115,6 +116,7 @@ def soft_domains(model: DomainModel, text: Column) -> Column:
 
     @F.pandas_udf("p array<double>, n_tokens long")
     def membership(texts: pd.Series) -> pd.DataFrame:
+        begin("mixing")
         return pd.DataFrame({"p": [model.posteriors(t or "").tolist() for t in texts], "n_tokens": [len((t or "").split()) for t in texts]})
 
     return membership(text)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, id_and_text, stored, text_of, unpacked
+from .common import begin, col, id_and_text, stored, text_of, unpacked
 
 TRAINING_ROWS = 2_500  # expected number of sampled rows of each combination of labels
 WORDS = 200  # words with a weight of their own, for each label
@@ -142,6 +142,7 @@ def fit_quality_model(
     sample = stored(texts, "training")
 
     def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("quality")
         for batch in batches:
             q, t = batch.column("q").to_pylist(), batch.column("t").to_pylist()
             out = [(w, q[k], t[k]) for k, text in enumerate(batch.column("text").to_pylist()) for w in set(words_of(text))]
@@ -209,6 +210,7 @@ def evidence_column(model: QualityModel, text: Column) -> Column:
 
     @F.pandas_udf("good double, toxic double")
     def evidence(texts: pd.Series) -> pd.DataFrame:
+        begin("quality")
         return pd.DataFrame([model.evidence(t or "") for t in texts], columns=["good", "toxic"], dtype="float64")
 
     return evidence(text)

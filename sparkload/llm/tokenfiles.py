@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import held, id_and_text, query_partitions, stored
+from .common import begin, held, id_and_text, query_partitions, stored
 from .wordbpe import ChunkEncoder
 
 MAGIC = b"PFORIDS1"
@@ -259,6 +259,7 @@ def read_token_files(spark: SparkSession, files: DataFrame, folder: str, with_id
         return empty.select("doc_id", F.col("at").alias("start"), *names[4:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("token files")
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 part, piece = map(int, path.rpartition("/")[2].removesuffix(".pfor").split("-")[1:])

@@ -18,7 +18,7 @@ from functools import cached_property
 import numpy as np
 
 TEXT_CHARS = 1 << 20  # texts encoded at once
-CACHE_BYTES = 64 << 20  # of what is remembered, in each of two generations
+CACHE_BYTES = 48 << 20  # of what is remembered, in each of two generations
 CACHED_CHUNK = 64  # characters; longer chunks are not remembered
 ENTRY_BYTES = 200  # a key, its ids and their places in a table, besides their contents
 _ASKED_AT_ONCE = 512
