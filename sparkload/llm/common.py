@@ -102,6 +102,7 @@ def release() -> None:
     if _HELD:
         _HELD.clear()
         gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         import ctypes
 

@@ -213,7 +213,8 @@ def evidence_column(model: QualityModel, text: Column) -> Column:
         begin("quality")
         return pd.DataFrame([model.evidence(t or "") for t in texts], columns=["good", "toxic"], dtype="float64")
 
-    return evidence(text)
+    # Spark would evaluate a deterministic one again for each filter that it derives from the result.
+    return evidence.asNondeterministic()(text)
 
 
 def document_site(source: str = "source", part: str = "lang") -> tuple[Column, Column]:
