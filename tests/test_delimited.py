@@ -226,45 +226,3 @@ def test_fields_of_all_kinds(spark, tmp_path):
     text = 'a,"b ""c"", d",e\r\n"","x\ny",\r\n"1",2,"3"\n,,\nlast,"line\n\n",end'
     got = rows(read_delimited(spark, write(tmp_path, text), trim=False))
     assert got == [("a", 'b "c", d', "e"), (None, "x\ny", None), ("1", "2", "3"), (None, None, None), ("last", "line\n\n", "end")]
-
-
-# --- reads of the input --------------------------------------------------------------
-
-_COUNTED = """
-import sys
-from pyspark.sql import SparkSession
-sys.path.insert(0, sys.argv[3])
-from sparkload import read_delimited
-spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.eventLog.enabled", "true")
-  .config("spark.eventLog.dir", sys.argv[2]).config("spark.eventLog.rolling.enabled", "false").config("spark.eventLog.compress", "false")
-  .config("spark.sql.shuffle.partitions", "2").config("spark.sql.files.maxPartitionBytes", "100000").getOrCreate())
-options = eval(sys.argv[4])
-read_delimited(spark, sys.argv[1], header=True, **options).write.format("noop").mode("overwrite").save()
-spark.stop()
-"""
-
-
-@pytest.mark.parametrize("options, most", [({}, 2), ({"multiline": False}, 2), ({"quote_char": ""}, 2)])
-def test_the_input_is_read_twice_at_most(tmp_path, options, most):
-    import json
-    import os
-    import subprocess
-    import sys
-
-    folder, log = tmp_path / "in", tmp_path / "log"
-    folder.mkdir()
-    log.mkdir()
-    for k in range(2):
-        (folder / f"f{k}.csv").write_text("a,b\n" + "".join(f'{i},"text {i}"\n' if not options.get("quote_char") == "" else f"{i},text\n" for i in range(20_000)))
-    n_lines = 2 * 20_001
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    subprocess.run([sys.executable, "-c", _COUNTED, str(folder), f"file://{log}", root, repr(options)], check=True, capture_output=True, timeout=240)
-    read = 0
-    for file in log.iterdir():
-        for line in filter(None, file.read_text().split("\n")):
-            event = json.loads(line)
-            if event["Event"] == "SparkListenerTaskEnd":
-                stage_input = event["Task Metrics"]["Input Metrics"]
-                if stage_input["Records Read"] > 1_000:
-                    read += stage_input["Records Read"]
-    assert n_lines < read <= most * n_lines
