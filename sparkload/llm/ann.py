@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import col, stored, with_ids, without_ids
@@ -225,12 +225,17 @@ def build_index(
     placed = stored(rows.withColumn("leaf", leaf("v")), "leaves")
     counts = {r.leaf: r["count"] for r in placed.groupBy("leaf").count().collect()}  # bounded by the sample
     blocks = {k: -(-n // block_rows) for k, n in counts.items()}
-    many = F.lit(1)
-    for k, n in blocks.items():
-        if n > 1:
-            many = F.when(F.col("leaf") == k, n).otherwise(many)
-    block = F.pmod(F.xxhash64(F.lit("block"), "id"), many.cast("long")).cast("int")
-    return Index(tree, placed.withColumn("block", block), blocks, counts)
+    block = F.pmod(F.xxhash64(F.lit("block"), "id"), F.col("many").cast("long")).cast("int")
+    placed = _with_number(placed, blocks, "many").withColumn("block", block).drop("many")
+    return Index(tree, placed, blocks, counts)
+
+
+def _with_number(rows: DataFrame, of: dict[int, int], name: str) -> DataFrame:
+    """Rows with the number of their leaf, 1 where it has none: a broadcast join, as an expression over all leaves
+    would be as deep as there are leaves and from some hundreds on overflow the stack of Spark's planner."""
+    more = [(leaf, n) for leaf, n in of.items() if n > 1]
+    numbers = rows.sparkSession.createDataFrame(more, f"leaf int, {name} int")
+    return rows.join(F.broadcast(numbers), "leaf", "left").withColumn(name, F.coalesce(name, F.lit(1)))
 
 
 def _leaf_column(tree: Tree):
@@ -274,19 +279,12 @@ def search(index: Index, queries: DataFrame, k: int, visits: int | None = None,
     routed = stored(queries.mapInArrow(route, "id long, leaf int"), "visits")
     asked = {r.leaf: r["count"] for r in routed.groupBy("leaf").count().collect()}  # a number for each leaf
     parts = {leaf: -(-n // query_rows) for leaf, n in asked.items()}
-
-    def number(of: dict[int, int]) -> Column:
-        many = F.lit(1)
-        for leaf, n in of.items():
-            if n > 1:
-                many = F.when(F.col("leaf") == leaf, n).otherwise(many)
-        return many
-
-    part = F.pmod(F.xxhash64(F.lit("part"), "id"), number(parts).cast("long")).cast("int")
-    sent = routed.withColumn("part", part).withColumn("block", F.explode(F.sequence(F.lit(0), number(blocks) - 1)))
+    part = F.pmod(F.xxhash64(F.lit("part"), "id"), F.col("many_parts").cast("long")).cast("int")
+    sent = _with_number(_with_number(routed, parts, "many_parts"), blocks, "many_blocks").withColumn("part", part)
+    sent = sent.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("many_blocks") - 1)))
     sent = sent.join(queries.select(F.col("id").alias("asked"), F.col("v").alias("q")), F.col("id") == F.col("asked"))
     sent = sent.select("id", F.col("q").alias("v"), "leaf", "block", "part")
-    rows = index.rows.withColumn("part", F.explode(F.sequence(F.lit(0), number(parts) - 1)))
+    rows = _with_number(index.rows, parts, "many").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("many") - 1)))
 
     def within(rows: pa.Table, asked: pa.Table) -> pa.Table:
         schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])

@@ -114,3 +114,14 @@ def test_vectors_of_several_lengths_are_all_searched(spark, index_of):
     for q, rows in got.items():
         for _, i, s in rows:
             assert s == pytest.approx(sum(a * b for a, b in zip(vectors[q], vectors[i])))
+
+
+def test_many_split_leaves(spark, index_of):
+    """Where most of many leaves are split, as at some GB, the plan must not grow as deep as there are leaves."""
+    vectors = dict(enumerate(np.random.default_rng(3).normal(size=(4000, 4))))
+    index = index_of(vectors, sample_rows=4000, leaf_rows=8, block_rows=2)
+    assert sum(n > 1 for n in index.blocks.values()) > 400
+    asked = index.rows.filter("id % 500 = 0").select("id", "v")
+    want = brute_force(vectors, [i for i in vectors if i % 500 == 0], 5)
+    got = results(ann.search(index, asked, 5, visits=index.tree.leaves, query_rows=3))
+    assert {q: [i for _, i, _ in rows] for q, rows in got.items()} == {q: [i for i, _ in rows] for q, rows in want.items()}
