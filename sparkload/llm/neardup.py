@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, held, id_and_text, map_texts, stored, with_ids, without_ids
+from .common import BROADCAST_ROWS, col, held, id_and_text, map_texts, stored, with_ids, without_ids
 from .components import connected_components
 
 SHINGLE = 5
@@ -17,6 +17,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 5  # a pair at the threshold shares a band with probability 1 - (1 - 0.8**5)**32 > 0.99999
 ELEMENTS_AT_ONCE, SETS_AT_ONCE = 200_000, 500
 CACHED_WORDS, CACHED_LENGTH = 300_000, 64
+PARITY = 4  # words of 64 bits; a power of two
 
 _SPACED = str.maketrans({c: " " for c in string.punctuation})
 _U = np.uint64
@@ -182,7 +183,8 @@ def signatures(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFr
         columns = [batch.column("id"), pa.array(prints, pa.binary()), pa.array(sizes, pa.int64()), lists, bits]
         return pa.RecordBatch.from_arrays(columns, ["id", "print", "n", "bands", "sketch"])
 
-    return map_texts(texts, run, "id long, print binary, n long, bands array<long>, sketch array<long>")
+    schema = "id long, print binary, n long, bands array<long>, sketch array<long>"
+    return map_texts(texts, run, schema)
 
 
 # --- classes ------------------------------------------------------------------------------------
@@ -209,42 +211,91 @@ def element_sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
         found = [elements_of(words_of(t)) for t in batch.column("text").to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.int64()))], ["id", "elements"])
 
-    return stored(map_texts(with_ids(texts, ids), run, "id long, elements array<long>"), "elements")
+    made = map_texts(with_ids(texts, ids), run, "id long, elements array<long>")
+    return stored(made, "elements")
 
 
 def similar_pairs(pairs: DataFrame, texts: DataFrame, threshold: float, sets: DataFrame | None = None) -> DataFrame:
     """Those of the pairs ``a, b`` whose weighted Jaccard similarity is at least ``threshold``, computed exactly.
 
-    Only texts that occur in a pair are fetched; shingles travel to the pairs by joins on either end, whose
-    skewed partitions (a text in very many pairs) adaptive execution splits.
+    Only texts that occur in a pair are fetched, and each end meets only those that it has; shingles travel to the pairs
+    by joins on either end, whose skewed partitions (a text in very many pairs) adaptive execution splits.
     """
     pairs = stored(pairs, "pairs")
     if sets is None:
         sets = element_sets(texts, pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))))
-    left = sets.select(F.col("id").alias("a"), F.col("elements").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
+    left = with_ids(sets, pairs.select("a")).select(F.col("id").alias("a"), F.col("elements").alias("x"))
+    right = with_ids(sets, pairs.select("b")).select(F.col("id").alias("b"), F.col("elements").alias("y"))
     both = pairs.join(right, "b").join(left, "a")
     common = F.size(F.array_intersect("x", "y"))
     similar = common >= F.lit(threshold) * (F.size("x") + F.size("y") - common)
     return stored(both.filter(similar).select("a", "b"), "similar")
 
 
-def rarest_elements(sets: DataFrame, threshold: float) -> DataFrame:
-    """``id, element, rarest``: of each set the rarest elements, one of which it shares with every set as similar as the threshold.
+def rarest_elements(sets: DataFrame, facts: DataFrame, threshold: float) -> DataFrame:
+    """The rarest elements of each set, one of which it shares with every set of another component that is as similar as the threshold.
 
-    Of two such sets at least ``threshold * n`` elements of either are common, so in one order of all elements they
-    share one of the first ``n - ceil(threshold * n) + 1`` of each. The order is by the number of sets that have the element, so a
-    passage in very many sets does not bring these together. Elements in one set only come first and are shared with none.
+    ``sets`` has ``id, component, elements``, ``facts`` has ``id`` and what is known of a set, ``f.n`` its size among it. An
+    element that no two components have cannot link them; of two sets these come first, then the others by the number
+    of sets that have them, so a passage in very many sets does not bring these together. Of two such sets at least
+    ``threshold * n`` elements of either are common, so they share one of the first ``n - ceil(threshold * n) + 1`` of each.
+
+    A row for each of those that several components have: ``before`` is how many of the set's elements come before it,
+    ``alone`` how many no other component has, ``parity`` a bit for each of ``64 * PARITY`` classes of the
+    others, set where their number is odd. ``over`` is ``before`` less what the set may bring to the difference of a pair.
+    """
+    each = sets.select("id", "component", F.explode("elements").alias("element"))
+    seen = each.groupBy("element").agg(F.count(F.lit(1)).alias("df"), F.min("component").alias("low"), F.max("component").alias("high"))
+    shared = seen.filter("low < high").select("element", "df")
+    ordered = each.select("id", "element").join(shared, "element")
+    odd = [_parity(w) for w in range(PARITY)]
+    ordered = ordered.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "element"))).alias("s"), *odd)
+    rows = ordered.join(facts, "id").withColumn("alone", F.col("f.n") - F.size("s"))
+    first = F.col("f.n") - F.ceil(F.col("f.n") * F.lit(threshold) - F.lit(1e-9)) + 1
+    rows = rows.withColumn("kept", (first - F.col("alone")).cast("int")).filter("kept > 0")
+    rows = rows.withColumn("parity", F.array(*[f"parity{w}" for w in range(PARITY)]))
+    rows = rows.select("id", "f", "alone", "parity", F.posexplode(F.slice("s", F.lit(1), F.col("kept"))).alias("at", "e"))
+    rows = rows.select("id", "f", "alone", "parity", (F.col("alone") + F.col("at")).alias("before"), F.col("e.element").alias("element"))
+    return rows.withColumn("over", F.col("before") - F.col("f.n") * F.lit(_difference(threshold)))
+
+
+def _parity(word: int) -> Column:
+    """One word of the parities of a set's elements."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned("element", 8).bitwiseAND(F.lit(63)).cast("int"))
+    mine = F.col("element").bitwiseAND(F.lit(PARITY - 1)) == word
+    return F.bit_xor(F.when(mine, bit).otherwise(F.lit(0).cast("long"))).alias(f"parity{word}")
+
+
+def _difference(threshold: float) -> float:
+    """Two sets are as similar as ``threshold`` if and only if no more than this share of both sizes is in one of them only."""
+    return (1 - threshold) / (1 + threshold)
+
+
+def rare_pairs(rare: DataFrame, threshold: float, coordinates: int) -> DataFrame:
+    """Pairs ``a, b`` of rows of ``rarest_elements`` (with ``component, outside``) that may be as similar as the threshold.
+
+    At the first element that two sets have in common, what comes before it in either is in one of them only. So the
+    pair is ruled out if ``over`` adds up to more than 0, and one of the two must have no more than 0 there: rows
+    that have more meet only rows that have not. What no other component has, with the classes whose parities
+    differ, is a bound of the difference too. Neither bound drops a pair that is similar; the members of a large group that
+    lie just below the threshold are mostly apart by them before a pair is made.
     """
-    each = sets.select("id", F.explode("elements").alias("element"))
-    shared = each.groupBy("element").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    ordered = each.join(shared, "element").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "element"))).alias("s"))
-    size = F.size("elements")
-    first = size - F.ceil(size * F.lit(threshold) - F.lit(1e-9)) + 1
-    kept = (first - (size - F.size("s"))).cast("int")
-    rows = sets.select("id", "elements").join(ordered, "id").filter(kept > 0)
-    rows = rows.select("id", F.transform(F.slice("s", F.lit(1), F.greatest(kept, F.lit(0))), lambda x: x["element"]).alias("rarest"))
-    return rows.select("id", "rarest", F.explode("rarest").alias("element"))
+    x, y = rare.filter("over <= 1e-6").alias("x"), rare.alias("y")
+    odd = F.lit(0)
+    for w in range(PARITY):
+        odd = odd + F.bit_count(F.col("x.parity")[w].bitwiseXOR(F.col("y.parity")[w]))
+    allowed = (F.col("x.f.n") + F.col("y.f.n")) * F.lit(_difference(threshold)) + F.lit(1e-6)
+    found = x.join(
+        y,
+        (F.col("x.element") == F.col("y.element"))
+        & (F.col("x.component") != F.col("y.component"))
+        & (F.col("x.outside") | F.col("y.outside"))
+        & ((F.col("x.id") < F.col("y.id")) | (F.col("y.over") > 1e-6))
+        & (F.col("x.before") + F.col("y.before") <= allowed)
+        & (F.col("x.alone") + F.col("y.alone") + odd <= allowed)
+        & _may_match("x.f", "y.f", threshold, coordinates),
+    )
+    return found.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
 def near_duplicate_classes(
@@ -266,7 +317,7 @@ def near_duplicate_classes(
        buckets, which joins most of a large group with as many pairs as it has texts.
     3. It is then compared with the lead of each bucket whose component is another than its own.
     4. Texts of buckets that still hold several components are compared with those of another component, if
-       they share one of their rarest shingles (see ``rarest_elements``) and the bound that sketches give allows it. No link
+       they share one of their rarest shingles (see ``rarest_elements``) and the bounds of ``rare_pairs`` allow it. No link
        between components of a bucket is left out, and none within a component is looked for.
 
     A null or empty text, or one without words, is linked only to equal texts. Rows that repeat an id are one document, of
@@ -320,17 +371,10 @@ def near_duplicate_classes(
     open_ids = stored(open_ids.agg(F.max(F.col("component") != F.col("main")).alias("outside")), "open")
     if open_ids.head(1):
         sets = element_sets(texts, open_ids.select("id"))
-        rare = stored(rarest_elements(sets, threshold).join(open_ids, "id").join(facts, "id"), "rarest")
-        x, y = rare.filter("outside").alias("x"), rare.alias("y")
-        across = x.join(
-            y,
-            (F.col("x.element") == F.col("y.element"))
-            & (F.col("x.component") != F.col("y.component"))
-            & (~F.col("y.outside") | (F.col("x.id") < F.col("y.id")))
-            & _may_match("x.f", "y.f", threshold, bands * rows)
-            & (F.array_min(F.array_intersect("x.rarest", "y.rarest")) == F.col("x.element")),  # a pair comes once
-        ).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        linked = joined(linked, similar_pairs(across.distinct(), texts, threshold, sets))
+        known = open_ids.hint("broadcast") if open_ids.count() <= BROADCAST_ROWS else open_ids
+        rare = rarest_elements(sets.join(known.select("id", "component"), "id"), facts.join(known.select("id"), "id"), threshold)
+        across = rare_pairs(stored(rare.join(known, "id"), "rarest"), threshold, bands * rows)
+        linked = joined(linked, similar_pairs(across, texts, threshold, sets))
 
     classes = copies.join(linked.withColumnRenamed("id", "rep"), "rep", "left")
     classes = classes.select("print", F.coalesce("component", "rep").alias("class_id"))

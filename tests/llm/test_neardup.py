@@ -150,3 +150,53 @@ def test_components(spark, n):
                 label[a] = label[b] = min(label[a], label[b])
     got = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.id: r.component for r in got} == label and len(got) == len(label)
+
+
+def family(n=300, length=130, seed=11):
+    """Versions of one text with 0 to 8 words replaced: linked to each other where few are, nearly so where more are."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(900)}" for _ in range(length)]
+    rows = []
+    for k in range(n):
+        words = list(base)
+        for at in rng.sample(range(length), k % 9):
+            words[at] = f"v{rng.randrange(60)}" if k % 2 else f"own{k}x{at}"
+        rows.append((k, " ".join(words)))
+    return rows
+
+
+def test_a_group_just_below_the_threshold_makes_few_pairs(spark, monkeypatch):
+    rows = family()
+    compared = []
+    original = neardup.similar_pairs
+
+    def counted(pairs, *rest):
+        pairs = neardup.stored(pairs, "counted")
+        compared.append(pairs.count())
+        return original(pairs, *rest)
+
+    monkeypatch.setattr(neardup, "similar_pairs", counted)
+    got = {r.doc_id: r.class_id for r in near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_force(rows)
+    assert len(compared) == 3 and compared[2] < 2 * len(rows)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_bounds_of_rare_pairs_drop_no_similar_pair(spark, seed):
+    """With every text a component of its own, all similar pairs must be among the pairs made."""
+    rng = random.Random(seed)
+    rows = [(i, t) for i, t in corpus(seed) if i is not None and t and counts_of(t)] + [(1000 + i, t) for i, t in family(150, 80, seed)]
+    rows += [(2000 + k, " ".join(rng.choice("abc") for _ in range(30 + k % 7))) for k in range(40)]  # sets with many repeats
+    texts = list({t: i for i, t in rows}.items())
+    sets = [(i, i, elements_of(words_of(t)).tolist()) for t, i in texts]
+    frame = spark.createDataFrame(sets, "id long, component long, elements array<long>")
+    facts = frame.selectExpr("id", "struct(cast(size(elements) as bigint) AS n, array(0L) AS sketch) AS f")
+    rare = neardup.rarest_elements(frame, facts, 0.8).withColumn("component", neardup.F.col("id")).withColumn("outside", neardup.F.lit(True))
+    pairs = [(r.a, r.b) for r in neardup.rare_pairs(rare, 0.8, 64).collect()]
+    want = {
+        (min(i, j), max(i, j))
+        for k, (i, _, a) in enumerate(sets)
+        for j, _, b in sets[k + 1 :]
+        if len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b))
+    }
+    assert len(want) > 30 and want <= set(pairs) and len(pairs) == len(set(pairs)) < len(sets) * (len(sets) - 1) / 4
