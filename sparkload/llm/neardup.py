@@ -16,6 +16,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 5  # a pair at the threshold shares a band with probability 1 - (1 - 0.8**5)**32 > 0.99999
 ELEMENTS_AT_ONCE, SETS_AT_ONCE = 200_000, 500
+TEXTS_AT_ONCE = 1_000  # of an Arrow batch, whose words and shingles a Python worker holds together
 CACHED_WORDS, CACHED_LENGTH = 300_000, 64
 PARITY = 4  # words of 64 bits; a power of two
 
@@ -184,7 +185,7 @@ def signatures(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFr
         return pa.RecordBatch.from_arrays(columns, ["id", "print", "n", "bands", "sketch"])
 
     schema = "id long, print binary, n long, bands array<long>, sketch array<long>"
-    return map_texts(texts, run, schema)
+    return map_texts(texts, run, schema, TEXTS_AT_ONCE, let_go=True)
 
 
 # --- classes ------------------------------------------------------------------------------------
@@ -211,7 +212,7 @@ def element_sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
         found = [elements_of(words_of(t)) for t in batch.column("text").to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.int64()))], ["id", "elements"])
 
-    made = map_texts(with_ids(texts, ids), run, "id long, elements array<long>")
+    made = map_texts(with_ids(texts, ids), run, "id long, elements array<long>", TEXTS_AT_ONCE, let_go=True)
     return stored(made, "elements")
 
 

@@ -200,3 +200,26 @@ def test_bounds_of_rare_pairs_drop_no_similar_pair(spark, seed):
         if len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b))
     }
     assert len(want) > 30 and want <= set(pairs) and len(pairs) == len(set(pairs)) < len(sets) * (len(sets) - 1) / 4
+
+
+def test_workers_hold_nothing_after_signatures_and_sets(spark):
+    """The stages after them need the memory; a batch is worked on in slices."""
+    import pyarrow as pa
+
+    def look(batches):
+        from sparkload.llm import common
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(common._HELD)] * batch.num_rows, pa.int64())], ["held"])
+
+    texts = spark.createDataFrame([(k, f"one two three four five six {k}") for k in range(400)], "id long, text string").repartition(4).cache()
+    assert len(neardup.signatures(texts).collect()) == 400
+    assert {r.held for r in texts.mapInArrow(look, "held long").collect()} == {0}
+    assert neardup.element_sets(texts, texts.select("id")).count() == 400
+    assert {r.held for r in texts.mapInArrow(look, "held long").collect()} == {0}
+
+    def size(batch):
+        return pa.RecordBatch.from_arrays([pa.array([batch.num_rows] * batch.num_rows, pa.int64())], ["n"])
+
+    sizes = [r.n for r in neardup.map_texts(texts, size, "n long", 30).collect()]
+    assert len(sizes) == 400 and max(sizes) == 30
